@@ -210,7 +210,13 @@ def merge_composite_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_duplicate_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that was not reduced, with keys the target does not have."""
     log = order_log(spark, sf_dir).withColumn("order_id", -1 - F.col("order_id"))
-    return merge_cdc(order_target(spark, sf_dir), log, ["order_id"])
+    batch = stage_batch(log)
+    return merge_cdc(
+        order_target(spark, sf_dir),
+        batch.rows,
+        ["order_id"],
+        broadcast_batch=batch.fits(DEFAULT_BROADCAST_BYTES),
+    )
 
 
 def merge_order_effects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,7 +145,7 @@ def _kept(
 ) -> DataFrame:
     """Target rows that survive, updated where the batch says so."""
     if unique:
-        changes = batch.rows.filter(op_is(F.col(_OP), ops.update, ops.delete))
+        changes = batch.rows.filter(F.col(_OP).isin(ops.update, ops.delete))
         op = F.col(_OP)
     else:
         # One row per key, so that a repeated key cannot multiply target rows;
@@ -183,7 +183,7 @@ def _inserted(
     target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: bool
 ) -> DataFrame:
     """Inserts and updates whose key the target does not hold."""
-    arrivals = batch.rows.filter(op_is(F.col(_OP), ops.insert, ops.update))
+    arrivals = batch.rows.filter(F.col(_OP).isin(ops.insert, ops.update))
     present = _present(target, batch, arrivals, unique, broadcast)
     absent = arrivals.join(present, batch.keys, "left_anti")
     return absent.select(
