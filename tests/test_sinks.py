@@ -1,0 +1,181 @@
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from tidemark.sinks import lakehouse, tables
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def names(spark, database):
+    return sorted(t.name for t in spark.catalog.listTables(database))
+
+
+def test_schema_leaves_out_the_op(spark):
+    df = spark.createDataFrame([(1, "I")], "k int not null, op string")
+    assert tables.table_schema(df.schema, "op").simpleString() == "struct<k:int>"
+    assert tables.table_schema(df.schema, "OP").simpleString() == "struct<k:int,op:string>"
+    assert tables.table_schema(df.schema)["k"].nullable
+
+
+def test_create_once(spark, database):
+    target = f"{database}.t"
+    first = spark.createDataFrame([], "k int, v string, op string")
+    assert tables.ensure_table(spark, target, first.schema, "op")
+    assert spark.table(target).columns == ["k", "v"]
+    other = spark.createDataFrame([], "z int")
+    assert not tables.ensure_table(spark, target, other.schema)
+    assert spark.table(target).columns == ["k", "v"]
+
+
+def test_creation_can_be_off(spark, database):
+    df = spark.createDataFrame([], "k int")
+    assert not tables.ensure_table(spark, f"{database}.t", df.schema, enabled=False)
+    assert names(spark, database) == []
+
+
+TYPES = (
+    "a boolean, b tinyint, c smallint, d int, e bigint, f float, g double, h string, "
+    "i decimal(12,3), j date, k timestamp, l timestamp_ntz, m binary, n array<int>, "
+    "o map<string,int>, p struct<`x-y`: int, z: string>"
+)
+
+
+def test_types_survive(spark, database):
+    df = spark.createDataFrame([], TYPES)
+    tables.ensure_table(spark, f"{database}.t", df.schema)
+    assert spark.table(f"{database}.t").schema == df.schema
+
+
+def test_overwrite_replaces_everything(spark, database):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    tables.ensure_table(spark, target, df.schema)
+    tables.overwrite(spark, target, df)
+    assert rows(spark.table(target)) == [(1, "a"), (2, "b")]
+    tables.overwrite(spark, target, df.select("v", F.lit(3).alias("k")).limit(1))
+    assert rows(spark.table(target)) == [(3, "a")]
+    tables.overwrite(spark, target, df.limit(0))
+    assert rows(spark.table(target)) == []
+
+
+def test_publish_may_read_the_target(spark, database):
+    target = f"{database}.t"
+    df = spark.range(4).select(F.col("id").alias("k"))
+    tables.ensure_table(spark, target, df.schema)
+    tables.overwrite(spark, target, df)
+    for _ in range(4):
+        tables.publish(spark, target, spark.table(target).select((F.col("k") + 1).alias("k")))
+    assert rows(spark.table(target)) == [(4,), (5,), (6,), (7,)]
+    assert names(spark, database) == ["t", "t__v4", "t__v5"]
+
+
+def test_failed_write_changes_nothing(spark, database):
+    target = f"{database}.t"
+    df = spark.range(4).select(F.col("id").alias("k"))
+    tables.ensure_table(spark, target, df.schema)
+    tables.overwrite(spark, target, df)
+    broken = df.select(F.when(df.k == 3, F.raise_error(F.lit("no")).cast("long")).otherwise(df.k).alias("k"))
+    with pytest.raises(Exception, match="no"):
+        tables.publish(spark, target, broken)
+    assert spark.table(target).count() == 4
+    tables.overwrite(spark, target, df.limit(1))
+    assert spark.table(target).count() == 1
+
+
+def test_running_reader_keeps_its_snapshot(spark, database):
+    target = f"{database}.t"
+    df = spark.range(4).select(F.col("id").alias("k"))
+    tables.ensure_table(spark, target, df.schema)
+    tables.overwrite(spark, target, df)
+    reader = spark.table(target)
+    tables.overwrite(spark, target, df.limit(1))
+    assert reader.count() == 4
+
+
+def test_plain_table_as_target(spark, database):
+    target = f"{database}.plain"
+    spark.range(3).select(F.col("id").alias("k")).write.saveAsTable(target)
+    assert not tables.ensure_table(spark, target, spark.table(target).schema)
+    tables.publish(spark, target, spark.table(target).filter("k > 0"))
+    assert rows(spark.table(target)) == [(1,), (2,)]
+    assert names(spark, database) == ["plain"]
+
+
+def test_foreign_view_is_refused(spark, database):
+    spark.sql(f"CREATE VIEW {database}.v AS SELECT 1 AS k")
+    with pytest.raises(ValueError, match="not over snapshots"):
+        tables.publish(spark, f"{database}.v", spark.table(f"{database}.v"))
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_overwrite_partitions(spark, database, plain):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, p string")
+    if plain:
+        df.write.partitionBy("p").saveAsTable(target)
+    else:
+        tables.ensure_table(spark, target, df.schema, partition_by=["p"])
+        tables.overwrite(spark, target, df)
+    tables.overwrite_partitions(spark, target, spark.createDataFrame([("b", 9), ("c", 8)], "p string, k int"))
+    assert rows(spark.table(target).select("k", "p")) == [(1, "a"), (3, None), (8, "c"), (9, "b")]
+    tables.overwrite_partitions(spark, target, df.limit(0))
+    assert spark.table(target).count() == 4
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_overwrite_partitions_without_partitions(spark, database):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    tables.ensure_table(spark, target, df.schema)
+    tables.overwrite(spark, target, df)
+    tables.overwrite_partitions(spark, target, df.filter("k = 1"))
+    assert rows(spark.table(target)) == [(1, "a")]
+    tables.overwrite_partitions(spark, target, df.limit(0))
+    assert rows(spark.table(target)) == []
+
+
+def test_partitions_survive_publishing(spark, database):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    tables.ensure_table(spark, target, df.schema, partition_by=["p"])
+    tables.publish(spark, target, df)
+    plan = spark.table(target).filter("p = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan
+
+
+def test_missing_column_raises(spark, database):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a")], "k int, p string")
+    tables.ensure_table(spark, target, df.schema)
+    with pytest.raises(AnalysisException):
+        tables.overwrite(spark, target, df.select("k"))
+
+
+def test_lakehouse_merge_resolves(spark, database):
+    """All names resolve; the built-in Parquet table then refuses MERGE."""
+    from tidemark import OpCodes
+
+    target = f"{database}.t"
+    spark.createDataFrame([(1, "a")], "k int, `v w` string").write.saveAsTable(target)
+    batch = spark.createDataFrame([(1, "x", "U")], "k int, `v w` string, op string")
+    with pytest.raises(PySparkException, match="does not support MERGE INTO TABLE"):
+        lakehouse.merge_into(target, batch, ["k"], "op", OpCodes())
+    with pytest.raises(PySparkException, match="does not support MERGE INTO TABLE"):
+        lakehouse.merge_into(target, batch.drop("v w"), ["k"], "op", OpCodes())
+    with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
+        lakehouse.merge_into(target, batch.withColumn("more", F.lit(1)), ["k"], "op", OpCodes())

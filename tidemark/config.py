@@ -42,7 +42,7 @@ class TableSpec:
     name: str
     source_path: str
     target: str
-    has_pk: bool
+    has_pk: bool | None
     pk: tuple[str, ...] = ()
     columns: tuple[str, ...] = ()
     schema: Any = None
@@ -83,7 +83,7 @@ class JobSpec:
         )
         tables = []
         for entry in cfg["tables"]:
-            keyed = bool(entry.get("has_pk"))
+            keyed = entry.get("has_pk")
             extra = {
                 key: entry[key]
                 for key in ("schema", "target_format", "broadcast_bytes")

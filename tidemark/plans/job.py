@@ -37,13 +37,13 @@ def run_job(
         raise ValueError(f"unknown mode {mode!r}")
     if not isinstance(job, JobSpec):
         job = JobSpec.from_dict(job)
-    wanted = [
-        t for t in job.tables if mode == ALL or t.has_pk == (mode == MERGE)
-    ]
+    wanted = [t for t in job.tables if mode == ALL or bool(t.has_pk) == (mode == MERGE)]
     done = []
     for table in wanted:
         logger.info("%s: start", table.name)
         try:
+            if table.has_pk is None and mode == ALL:
+                raise ValueError(f"{table.name}: has_pk is not set")
             action = apply_table(
                 spark, table, job.changes, job.create_tables, skip_empty=mode == ALL
             )

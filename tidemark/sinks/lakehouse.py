@@ -55,7 +55,7 @@ def merge_into(
         return F.col(f"s.{quoted(name)}")
 
     stored = [c for c in staged.columns if c != op_col]
-    updates = {c: source(c) for c in stored if c not in pk}
+    updates = {quoted(c): source(c) for c in stored if c not in pk}
     matched = reduce(lambda a, b: a & b, [target(k) == source(k) for k in pk])
     op = source(op_col)
 
@@ -64,7 +64,7 @@ def merge_into(
     if updates:
         merge = merge.whenMatched(op == F.lit(ops.update)).update(updates)
     merge = merge.whenNotMatched(op.isin(ops.insert, ops.update)).insert(
-        {c: source(c) for c in stored}
+        {quoted(c): source(c) for c in stored}
     )
     merge.merge()
 
