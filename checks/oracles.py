@@ -132,6 +132,7 @@ SELECT {_COLS} FROM tgt
 UNION ALL
 SELECT -1 - order_id, customer_id, amount, status, commit_ts FROM log WHERE op IN ('I','U')""",
     "merge_replay": f"{_ALL} {_MERGE}",
+    "merge_key_slices": f"{_ALL} {_MERGE}",
     "merge_two_batches": f"""WITH {_EVENTS},
 {_newest_event("b1", "commit_ts < TIMESTAMP '2024-01-16 00:00:00'")},
 {_newest_event("b2", "commit_ts >= TIMESTAMP '2024-01-16 00:00:00'")},

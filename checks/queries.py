@@ -22,7 +22,7 @@ from tidemark.operators.latest import latest_per_pk
 from tidemark.operators.merge import merge_cdc, merge_effects
 from tidemark.operators.staging import StagedBatch, stage_batch
 from tidemark.plans.job import apply_table, run_job
-from tidemark.sinks import tables
+from tidemark.sinks import slices, tables
 from tidemark.sources.landed import drop_op, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +107,7 @@ def latest_no_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_orders(spark: SparkSession, sf_dir: str) -> StagedBatch:
-    return stage_batch(latest_orders(spark, sf_dir))
+    return stage_batch(latest_orders(spark, sf_dir), ["order_id"])
 
 
 def _merge(target: DataFrame, batch: StagedBatch, rows: DataFrame | None = None) -> DataFrame:
@@ -117,7 +117,7 @@ def _merge(target: DataFrame, batch: StagedBatch, rows: DataFrame | None = None)
         batch.rows if rows is None else rows,
         ["order_id"],
         staged_unique=True,
-        broadcast_batch=batch.fits(DEFAULT_BROADCAST_BYTES),
+        broadcast=batch.broadcast(DEFAULT_BROADCAST_BYTES),
     )
 
 
@@ -196,26 +196,27 @@ def merge_composite_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_linenumber") + 1).alias("l_linenumber"),
             (F.col("qty") + 100).alias("qty"),
             F.when(kind == 0, "I").when(kind == 1, "U").otherwise("D").alias("op"),
-        )
+        ),
+        keys,
     )
     return merge_cdc(
         target,
         batch.rows,
         keys,
         staged_unique=True,
-        broadcast_batch=batch.fits(DEFAULT_BROADCAST_BYTES),
+        broadcast=batch.broadcast(DEFAULT_BROADCAST_BYTES),
     )
 
 
 def merge_duplicate_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that was not reduced, with keys the target does not have."""
     log = order_log(spark, sf_dir).withColumn("order_id", -1 - F.col("order_id"))
-    batch = stage_batch(log)
+    batch = stage_batch(log, ["order_id"])
     return merge_cdc(
         order_target(spark, sf_dir),
         batch.rows,
         ["order_id"],
-        broadcast_batch=batch.fits(DEFAULT_BROADCAST_BYTES),
+        broadcast=batch.broadcast(DEFAULT_BROADCAST_BYTES),
     )
 
 
@@ -226,7 +227,7 @@ def merge_order_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.rows,
         ["order_id"],
         staged_unique=True,
-        broadcast_batch=batch.fits(DEFAULT_BROADCAST_BYTES),
+        broadcast=batch.broadcast(DEFAULT_BROADCAST_BYTES),
     )
 
 
@@ -268,6 +269,18 @@ def merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.target)
 
 
+def merge_key_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge on a target of which only the touched slices are rewritten."""
+    name = f"{scratch_database(spark)}.orders"
+    target = order_target(spark, sf_dir)
+    slices.ensure_table(spark, name, target.schema, "order_id div 5000")
+    slices.overwrite(spark, name, target)
+    slices.merge(
+        spark, name, _staged_orders(spark, sf_dir), ["order_id"], staged_unique=True
+    )
+    return spark.table(name)
+
+
 def merge_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches in turn, into a target the first one creates."""
     database = scratch_database(spark)
@@ -379,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "merge_composite_pk": merge_composite_pk,
     "merge_duplicate_inserts": merge_duplicate_inserts,
     "merge_replay": merge_replay,
+    "merge_key_slices": merge_key_slices,
     "merge_two_batches": merge_two_batches,
     "merge_effects": merge_order_effects,
     "create_table_schema": create_table_schema,

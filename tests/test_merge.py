@@ -33,7 +33,7 @@ def merge(spark):
 
 
 BOTH = pytest.mark.parametrize("unique", [True, False])
-JOINS = pytest.mark.parametrize("broadcast", [True, False])
+JOINS = pytest.mark.parametrize("broadcast", ["rows", "keys", "nothing"])
 
 
 @BOTH
@@ -60,7 +60,7 @@ JOINS = pytest.mark.parametrize("broadcast", [True, False])
     ],
 )
 def test_effect(merge, target, batch, expected, unique, broadcast):
-    got = merge(target, batch, staged_unique=unique, broadcast_batch=broadcast)
+    got = merge(target, batch, staged_unique=unique, broadcast=broadcast)
     assert got == expected
 
 
@@ -77,7 +77,7 @@ def test_null_key_duplicates_are_all_inserted(merge):
 @pytest.mark.parametrize("second", ["U", "I", "Z"])
 def test_matched_duplicate_raises(merge, second, broadcast):
     with pytest.raises(PySparkException, match="several batch rows"):
-        merge([(1, "a")], [(1, "x", "U"), (1, "y", second)], broadcast_batch=broadcast)
+        merge([(1, "a")], [(1, "x", "U"), (1, "y", second)], broadcast=broadcast)
 
 
 def test_other_codes(merge):
@@ -189,5 +189,5 @@ def test_effects(spark, broadcast):
         ],
         BATCH,
     )
-    counted = merge_effects(target, batch, ["k"], broadcast_batch=broadcast)
+    counted = merge_effects(target, batch, ["k"], broadcast=broadcast)
     assert rows(counted) == [("delete", 1), ("ignored", 3), ("insert", 3), ("update", 1)]

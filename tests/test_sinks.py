@@ -95,6 +95,7 @@ def test_failed_write_changes_nothing(spark, database):
     assert spark.table(target).count() == 4
     tables.overwrite(spark, target, df.limit(1))
     assert spark.table(target).count() == 1
+    assert names(spark, database) == ["t", "t__v1", "t__v3"]
 
 
 def test_running_reader_keeps_its_snapshot(spark, database):

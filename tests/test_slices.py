@@ -1,0 +1,181 @@
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from tidemark import ChangeSpec, TableSpec, apply_table, stage_batch
+from tidemark.sinks import slices, tables
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@pytest.fixture
+def target(spark, database):
+    """Keys 0 to 49 in slices of ten."""
+    name = f"{database}.t"
+    df = spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    slices.ensure_table(spark, name, df.schema, "k div 10")
+    slices.overwrite(spark, name, df)
+    return name
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def parts(spark, target):
+    """Slice -> version of the current partitions."""
+    return dict(p.split("@") for p in slices._current(spark, target))
+
+
+def apply(spark, target, data, **options):
+    batch = stage_batch(spark.createDataFrame(data, "k int, v string, op string"), ["k"])
+    slices.merge(spark, target, batch, ["k"], **options)
+
+
+def test_load(spark, target):
+    assert spark.table(target).columns == ["k", "v"]
+    assert spark.table(target).count() == 50
+    assert sorted(parts(spark, target)) == ["0", "1", "2", "3", "4"]
+    assert len(set(parts(spark, target).values())) == 1
+
+
+@pytest.mark.parametrize("limit", [0, 100, 1 << 20])
+@pytest.mark.parametrize("unique", [True, False])
+def test_only_touched_slices_are_written(spark, target, limit, unique):
+    before = parts(spark, target)
+    apply(
+        spark,
+        target,
+        [(3, "x", "U"), (21, "x", "D"), (77, "x", "I"), (78, "x", "D")],
+        staged_unique=unique,
+        broadcast_bytes=limit,
+    )
+    after = parts(spark, target)
+    assert sorted(after) == ["0", "1", "2", "3", "4", "7"]
+    assert {s for s in before if after[s] != before[s]} == {"0", "2"}
+    expected = [(k, "x" if k == 3 else "a") for k in range(50) if k != 21] + [(77, "x")]
+    assert rows(spark.table(target)) == sorted(expected, key=str)
+
+
+def test_emptied_slice(spark, target):
+    apply(spark, target, [(k, "", "D") for k in range(10, 20)])
+    assert sorted(parts(spark, target)) == ["0", "2", "3", "4"]
+    assert spark.table(target).count() == 40
+    apply(spark, target, [(11, "back", "I")])
+    assert spark.table(target).filter("k = 11").collect()[0]["v"] == "back"
+
+
+def test_everything_deleted(spark, target):
+    apply(spark, target, [(k, "", "D") for k in range(50)])
+    assert spark.table(target).count() == 0
+    apply(spark, target, [(1, "b", "U")])
+    assert rows(spark.table(target)) == [(1, "b")]
+
+
+def test_null_keys(spark, target):
+    apply(spark, target, [(None, "x", "U"), (None, "y", "D")])
+    apply(spark, target, [(None, "z", "I")])
+    assert rows(spark.table(target).filter("k IS NULL")) == [(None, "x"), (None, "z")]
+
+
+def test_empty_batch(spark, target):
+    apply(spark, target, [])
+    assert spark.table(target).count() == 50
+
+
+def test_old_versions_are_dropped_one_merge_later(spark, target):
+    reader = spark.table(target)
+    apply(spark, target, [(1, "x", "U")])
+    assert reader.filter("k = 1").collect()[0]["v"] == "a"
+    previous = parts(spark, target)["0"]
+    apply(spark, target, [(2, "x", "U")])
+    kept = {p for p in slices._written(spark, target) if p.startswith("0@")}
+    assert kept == {f"0@{previous}", "0@" + parts(spark, target)["0"]}
+
+
+def test_failed_merge_changes_nothing(spark, target):
+    with pytest.raises(PySparkException, match="several batch rows"):
+        apply(spark, target, [(1, "x", "U"), (1, "y", "U"), (30, "x", "D")])
+    assert spark.table(target).filter("v = 'a'").count() == 50
+    apply(spark, target, [(1, "x", "U")])
+    assert spark.table(target).filter("v = 'x'").count() == 1
+
+
+def test_scan_is_pruned(spark, target):
+    apply(spark, target, [(1, "x", "U")])
+    plan = spark.table(target)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [__slice" in plan
+
+
+def test_hash_slices_use_the_stored_type(spark, database):
+    """The batch has int keys, the target bigint: their hashes differ."""
+    name = f"{database}.t"
+    df = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    slices.ensure_table(spark, name, df.schema, "pmod(xxhash64(k), 7)")
+    slices.overwrite(spark, name, df)
+    apply(spark, name, [(k, "x", "U") for k in range(0, 100, 9)])
+    assert spark.table(name).count() == 100
+    assert spark.table(name).filter("v = 'x'").count() == 12
+
+
+def test_odd_slice_names(spark, database):
+    name = f"{database}.t"
+    df = spark.createDataFrame([("it's", 1), ("a/b=c%d", 2), ("x\\y", 3), ("", 4), ("n@2 :", 5)], "k string, v int")
+    slices.ensure_table(spark, name, df.schema, "k")
+    slices.overwrite(spark, name, df)
+    assert rows(spark.table(name)) == rows(df)
+    batch = stage_batch(df.withColumn("v", F.col("v") * 10).withColumn("op", F.lit("U")), ["k"])
+    slices.merge(spark, name, batch, ["k"], staged_unique=True)
+    assert rows(spark.table(name)) == rows(df.withColumn("v", F.col("v") * 10))
+
+
+def test_slice_must_follow_from_the_key(spark, database):
+    name = f"{database}.t"
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    slices.ensure_table(spark, name, df.schema, "v")
+    with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
+        apply(spark, name, [(1, "x", "U")])
+
+
+def test_too_many_slices(spark, target, monkeypatch):
+    monkeypatch.setattr(slices, "MAX_SLICES", 5)
+    with pytest.raises(ValueError, match="coarser"):
+        apply(spark, target, [(k, "x", "U") for k in range(0, 60, 10)])
+    with pytest.raises(ValueError, match="coarser"):
+        apply(spark, target, [(70, "x", "U")])
+    assert spark.table(target).filter("v = 'a'").count() == 50
+
+
+def test_other_targets_are_refused(spark, database, target):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.ensure_table(spark, f"{database}.s", df.schema)
+    with pytest.raises(ValueError, match="not a target kept in slices"):
+        apply(spark, f"{database}.s", [(1, "x", "U")])
+    with pytest.raises(ValueError, match="not over snapshots"):
+        tables.overwrite(spark, target, df)
+
+
+def test_as_a_job(spark, database, tmp_path):
+    path = str(tmp_path / "landed")
+    spark.createDataFrame(
+        [(1, "a", 1, "I"), (1, "b", 2, "U"), (25, "c", 1, "U")], "k int, v string, ts int, op string"
+    ).write.parquet(path)
+    spec = TableSpec("t", path, f"{database}.t", True, ("k",), slice_by="k div 10")
+    for _ in range(2):
+        assert apply_table(spark, spec, ChangeSpec(ts_column="ts")) == "merge"
+        assert rows(spark.table(f"{database}.t")) == [(1, "b", 2), (25, "c", 1)]
+
+
+def test_slice_by_needs_a_key():
+    with pytest.raises(ValueError, match="slice_by"):
+        TableSpec("t", "/p", "d.t", False, slice_by="k")

@@ -37,7 +37,11 @@ class ChangeSpec:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One table: where its changes land and which target they go to."""
+    """One table: where its changes land and which target they go to.
+
+    ``slice_by`` is for targets far larger than their batches, see
+    :mod:`tidemark.sinks.slices`.
+    """
 
     name: str
     source_path: str
@@ -47,11 +51,14 @@ class TableSpec:
     columns: tuple[str, ...] = ()
     schema: Any = None
     target_format: str = DEFAULT_FORMAT
+    slice_by: str | None = None
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
 
     def __post_init__(self) -> None:
         if self.has_pk and not self.pk:
             raise ValueError(f"{self.name}: a keyed table needs at least one key column")
+        if self.slice_by and not (self.has_pk and self.target_format == DEFAULT_FORMAT):
+            raise ValueError(f"{self.name}: slice_by is for keyed {DEFAULT_FORMAT} targets")
 
 
 @dataclass(frozen=True)
@@ -86,7 +93,7 @@ class JobSpec:
             keyed = entry.get("has_pk")
             extra = {
                 key: entry[key]
-                for key in ("schema", "target_format", "broadcast_bytes")
+                for key in ("schema", "target_format", "slice_by", "broadcast_bytes")
                 if key in entry
             }
             tables.append(

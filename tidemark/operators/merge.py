@@ -27,6 +27,11 @@ from pyspark.sql import types as T
 from tidemark.config import DEFAULT_OP_COLUMN, OpCodes
 from tidemark.functions.columns import all_set, named, op_is, quoted, require_columns
 
+# What of a batch is sent to every task.
+ROWS = "rows"
+KEYS = "keys"
+NOTHING = "nothing"
+
 _OP = "__op"
 _COPIES = "__copies"
 _IN_TARGET = "__in_target"
@@ -39,17 +44,23 @@ def merge_cdc(
     op_col: str = DEFAULT_OP_COLUMN,
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
-    broadcast_batch: bool = False,
+    broadcast: str = NOTHING,
 ) -> DataFrame:
     """The target's rows after the batch is applied, in the target's schema.
 
-    The target is always the streamed side: it is scanned once in full for the
-    outer join with the updates and deletes, and once for its key columns only
-    to tell inserts from matches. With ``broadcast_batch`` (for a batch whose
-    size was measured, see :class:`~tidemark.operators.staging.StagedBatch`)
-    neither scan is shuffled. Without it both joins are left to Catalyst; a
-    target key with very many rows, NULL included, is then split by adaptive
-    skew handling, which works on the left side of these join types.
+    ``broadcast`` says what of the batch has been measured to fit into every
+    task, see :meth:`StagedBatch.broadcast
+    <tidemark.operators.staging.StagedBatch.broadcast>`:
+
+    * ``"rows"``: one full scan of the target is joined with the updates and
+      deletes, one scan of its key columns tells inserts from matches. The
+      target is not shuffled.
+    * ``"keys"``: target rows the batch does not change are passed on where
+      they are read; only the others are shuffled to meet their change. Costs
+      one more scan.
+    * ``"nothing"``: the joins are left to Catalyst. The rows of a very
+      frequent target key, NULL included, are split over tasks by adaptive
+      skew handling, which the left side of an outer join allows.
 
     ``staged`` is read more than once and must give the same rows each time.
     Pass ``staged_unique`` if it has at most one row per non-NULL key;
@@ -59,12 +70,28 @@ def merge_cdc(
     Target columns the batch lacks keep their value on update and are NULL on
     insert. Batch columns the target lacks raise ``ValueError``.
     """
-    batch = _align(target, staged, pk, op_col)
-    kept = _kept(target, batch, ops, staged_unique, broadcast_batch)
-    inserted = _inserted(target, batch, ops, staged_unique, broadcast_batch)
+    kept, inserted = kept_and_inserted(
+        target, staged, pk, op_col, ops, staged_unique, broadcast
+    )
     return kept.unionByName(inserted)
 
 
+def kept_and_inserted(
+    target: DataFrame,
+    staged: DataFrame,
+    pk: Sequence[str],
+    op_col: str = DEFAULT_OP_COLUMN,
+    ops: OpCodes = OpCodes(),
+    staged_unique: bool = False,
+    broadcast: str = NOTHING,
+) -> tuple[DataFrame, DataFrame]:
+    """The two parts of :func:`merge_cdc`: target rows that stay, and new rows."""
+    batch = _align(target, staged, pk, op_col)
+    kept = _kept(target, batch, ops, staged_unique, broadcast)
+    inserted = _inserted(target, batch, ops, staged_unique, broadcast)
+    return kept, inserted
+
+
 def merge_effects(
     target: DataFrame,
     staged: DataFrame,
@@ -72,11 +99,11 @@ def merge_effects(
     op_col: str = DEFAULT_OP_COLUMN,
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
-    broadcast_batch: bool = False,
+    broadcast: str = NOTHING,
 ) -> DataFrame:
     """How many staged rows delete, update, insert or do nothing: (effect, n)."""
     batch = _align(target, staged, pk, op_col)
-    present = _present(target, batch, batch.rows, staged_unique, broadcast_batch)
+    present = _present(target, batch, batch.rows, staged_unique, broadcast)
     flagged = present.withColumn(_IN_TARGET, F.lit(True))
     matched = F.coalesce(F.col(_IN_TARGET), F.lit(False))
     op = F.col(_OP)
@@ -141,7 +168,7 @@ def _align(target: DataFrame, staged: DataFrame, pk: Sequence[str], op_col: str)
 
 
 def _kept(
-    target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: bool
+    target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: str
 ) -> DataFrame:
     """Target rows that survive, updated where the batch says so."""
     if unique:
@@ -160,15 +187,25 @@ def _kept(
         )
         repeated = F.raise_error(F.lit("merge: several batch rows match one target row"))
         op = F.when(F.col(_COPIES) > 1, repeated).otherwise(F.col(_OP))
-    if broadcast:
-        changes = F.broadcast(changes)
 
-    on = [target[quoted(c)] == changes[k] for c, k in zip(batch.target_keys, batch.keys)]
-    survives = target.join(changes, on, "left").filter(~op_is(op, ops.delete))
+    def on(other: DataFrame) -> list[Column]:
+        return [target[quoted(c)] == other[k] for c, k in zip(batch.target_keys, batch.keys)]
+
+    if broadcast == KEYS:
+        changed = F.broadcast(changes.select(*batch.keys).filter(all_set(batch.keys)))
+        joined = target.join(changed, on(changed), "left_semi").join(changes, on(changes))
+    elif broadcast == ROWS:
+        joined = target.join(F.broadcast(changes), on(changes), "left")
+    else:
+        joined = target.join(changes, on(changes), "left")
+
     updated = op_is(F.col(_OP), ops.update)
-    return survives.select(
+    kept = joined.filter(~op_is(op, ops.delete)).select(
         *[_updated_value(f, batch, updated).alias(f.name) for f in target.schema.fields]
     )
+    if broadcast == KEYS:
+        kept = target.join(changed, on(changed), "left_anti").unionByName(kept)
+    return kept
 
 
 def _updated_value(field: T.StructField, batch: _Batch, updated: Column) -> Column:
@@ -180,7 +217,7 @@ def _updated_value(field: T.StructField, batch: _Batch, updated: Column) -> Colu
 
 
 def _inserted(
-    target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: bool
+    target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: str
 ) -> DataFrame:
     """Inserts and updates whose key the target does not hold."""
     arrivals = batch.rows.filter(F.col(_OP).isin(ops.insert, ops.update))
@@ -197,17 +234,20 @@ def _inserted(
 
 
 def _present(
-    target: DataFrame, batch: _Batch, rows: DataFrame, unique: bool, broadcast: bool
+    target: DataFrame, batch: _Batch, rows: DataFrame, unique: bool, broadcast: str
 ) -> DataFrame:
     """Those keys of ``rows`` that the target holds, each once.
 
-    Never larger than the batch, whatever the size of the target.
+    Never larger than the batch, whatever the size of the target. A broadcast
+    batch filters the target's keys where they are read, before they are made
+    distinct; otherwise they are made distinct first, so that a key with very
+    many rows leaves each map task once.
     """
     wanted = rows.select(*batch.keys).filter(all_set(batch.keys))
     if not unique:
         wanted = wanted.distinct()
-    if broadcast:
-        wanted = F.broadcast(wanted)
     held = target.select(*[named(c).alias(k) for c, k in zip(batch.target_keys, batch.keys)])
-    present = held.join(wanted, batch.keys, "left_semi").distinct()
-    return F.broadcast(present) if broadcast else present
+    if broadcast != NOTHING:
+        present = held.join(F.broadcast(wanted), batch.keys, "left_semi").distinct()
+        return F.broadcast(present)
+    return held.filter(all_set(batch.keys)).distinct().join(wanted, batch.keys, "left_semi")

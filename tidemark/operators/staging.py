@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import row_bytes
+from tidemark.functions.columns import named, require_columns, row_bytes
+from tidemark.operators.merge import KEYS, NOTHING, ROWS
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
@@ -40,10 +42,13 @@ class StagedBatch:
     path: str
     count: int
     size_bytes: int
+    key_bytes: int
 
-    def fits(self, limit: int) -> bool:
-        """Whether the whole batch may be broadcast under ``limit`` bytes."""
-        return self.size_bytes <= limit
+    def broadcast(self, limit: int) -> str:
+        """What of the batch may be broadcast: at most ``limit`` bytes of it."""
+        if self.size_bytes <= limit:
+            return ROWS
+        return KEYS if self.key_bytes <= limit else NOTHING
 
     def release(self) -> None:
         """Give the space back: the folder is left with an empty batch."""
@@ -51,14 +56,15 @@ class StagedBatch:
         empty.coalesce(1).write.mode("overwrite").parquet(self.path)
 
 
-def stage_batch(df: DataFrame) -> StagedBatch:
-    """Write ``df`` once and read it back.
+def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:
+    """Write the changes ``df`` of a table with key ``pk``, and read them back.
 
     A merge reads its batch more than once. Staging fixes which row won among
     tied timestamps, cuts the lineage in a way that survives lost executors,
     and lets later reads prune columns and push filters. The row count and the
-    size in memory are measured by the same job, as the rows are written.
+    sizes in memory are measured by the same job, as the rows are written.
     """
+    require_columns(df, pk, "stage_batch")
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
     seen = Observation()
@@ -66,8 +72,9 @@ def stage_batch(df: DataFrame) -> StagedBatch:
         seen,
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("size"),
+        F.coalesce(F.sum(row_bytes(df.select(*map(named, pk)).schema)), F.lit(0)).alias("keys"),
     )
     measured.write.parquet(path)
     totals = seen.get
     rows = spark.read.schema(df.schema).parquet(path)
-    return StagedBatch(rows, path, totals["n"], totals["size"])
+    return StagedBatch(rows, path, totals["n"], totals["size"], totals["keys"])

@@ -12,7 +12,7 @@ from tidemark.config import DEFAULT_FORMAT, ChangeSpec, JobSpec, TableSpec
 from tidemark.operators.latest import latest_per_pk
 from tidemark.operators.merge import merge_cdc
 from tidemark.operators.staging import stage_batch
-from tidemark.sinks import lakehouse, tables
+from tidemark.sinks import lakehouse, slices, tables
 from tidemark.sources.landed import drop_op, read_landed
 
 logger = logging.getLogger(__name__)
@@ -102,17 +102,35 @@ def _merge(
         )
         lakehouse.merge_into(table.target, latest, table.pk, op_col, changes.ops)
         return
-    tables.ensure_table(spark, table.target, latest.schema, op_col, create)
-    batch = stage_batch(latest)
+    unique = latest is not landed
+    if table.slice_by:
+        slices.ensure_table(
+            spark, table.target, latest.schema, table.slice_by, op_col, create
+        )
+    else:
+        tables.ensure_table(spark, table.target, latest.schema, op_col, create)
+    batch = stage_batch(latest, table.pk)
     try:
+        if table.slice_by:
+            slices.merge(
+                spark,
+                table.target,
+                batch,
+                table.pk,
+                op_col,
+                changes.ops,
+                staged_unique=unique,
+                broadcast_bytes=table.broadcast_bytes,
+            )
+            return
         merged = merge_cdc(
             spark.table(table.target),
             batch.rows,
             table.pk,
             op_col,
             changes.ops,
-            staged_unique=latest is not landed,
-            broadcast_batch=batch.fits(table.broadcast_bytes),
+            staged_unique=unique,
+            broadcast=batch.broadcast(table.broadcast_bytes),
         )
         tables.publish(spark, table.target, merged)
     finally:

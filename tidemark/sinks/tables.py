@@ -56,8 +56,11 @@ def ensure_table(
         return False
     if spark.catalog.tableExists(ident):
         return False
-    empty = spark.createDataFrame([], table_schema(schema, op_col))
-    _write_snapshot(empty, ident, 0, partition_by)
+    empty = spark.createDataFrame([], table_schema(schema, op_col)).coalesce(1)
+    writer = empty.write.format("parquet").mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(sql_name(_snapshot(ident, 0)))
     _point_view(spark, ident, 0)
     logger.info("%s: created", ident)
     return True
@@ -73,19 +76,18 @@ def publish(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     rows = _in_target_order(spark, ident, rows)
     partition_by = _partition_columns(spark, ident)
     version = _current_version(spark, ident)
+    existing = _snapshots(spark, ident)
+    latest = max(existing, default=0) + 1
+    _write_snapshot(spark, rows, ident, version, latest, partition_by)
     if version is None:
-        _write_snapshot(rows, ident, 0, partition_by)
-        copy = spark.table(_snapshot(ident, 0))
+        finished = spark.table(_snapshot(ident, latest))
         with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-            copy.write.insertInto(ident, overwrite=True)
-        spark.sql(f"DROP TABLE {_sql_name(_snapshot(ident, 0))}")
-        return
-    written = _snapshots(spark, ident)
-    latest = max([version, *written]) + 1
-    _write_snapshot(rows, ident, latest, partition_by)
-    _point_view(spark, ident, latest)
-    for old in set(written) - {version, latest}:
-        spark.sql(f"DROP TABLE IF EXISTS {_sql_name(_snapshot(ident, old))}")
+            finished.write.insertInto(ident, overwrite=True)
+        existing.append(latest)
+    else:
+        _point_view(spark, ident, latest)
+    for old in set(existing) - {version}:
+        spark.sql(f"DROP TABLE IF EXISTS {sql_name(_snapshot(ident, old))}")
 
 
 def overwrite(spark: SparkSession, ident: str, rows: DataFrame) -> None:
@@ -122,21 +124,31 @@ def _in_target_order(spark: SparkSession, ident: str, rows: DataFrame) -> DataFr
 
 
 def _write_snapshot(
-    rows: DataFrame, ident: str, version: int, partition_by: Sequence[str]
+    spark: SparkSession,
+    rows: DataFrame,
+    ident: str,
+    version: int | None,
+    latest: int,
+    partition_by: Sequence[str],
 ) -> None:
+    """Fill a new table made like the current one.
+
+    The table is registered before it is filled: what a failed write leaves is
+    known by name, not used again, and dropped after the next success.
+    """
+    like = ident if version is None else _snapshot(ident, version)
+    new = sql_name(_snapshot(ident, latest))
+    spark.sql(f"CREATE TABLE {new} LIKE {sql_name(like)} USING parquet")
     if partition_by:
         rows = rows.hint("rebalance", *[named(c) for c in partition_by])
-    writer = rows.write.format("parquet").mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(_sql_name(_snapshot(ident, version)))
+    rows.write.insertInto(new)
 
 
 def _point_view(spark: SparkSession, ident: str, version: int) -> None:
     spark.sql(
-        f"CREATE OR REPLACE VIEW {_sql_name(ident)} "
+        f"CREATE OR REPLACE VIEW {sql_name(ident)} "
         f"TBLPROPERTIES ('{_VERSION}' = '{version}') "
-        f"AS SELECT * FROM {_sql_name(_snapshot(ident, version))}"
+        f"AS SELECT * FROM {sql_name(_snapshot(ident, version))}"
     )
 
 
@@ -144,7 +156,7 @@ def _current_version(spark: SparkSession, ident: str) -> int | None:
     """The version the view shows; None for an ordinary table."""
     if spark.catalog.getTable(ident).tableType != "VIEW":
         return None
-    for row in spark.sql(f"SHOW TBLPROPERTIES {_sql_name(ident)}").collect():
+    for row in spark.sql(f"SHOW TBLPROPERTIES {sql_name(ident)}").collect():
         if row["key"] == _VERSION:
             return int(row["value"])
     raise ValueError(f"{ident}: a view that is not over snapshots cannot be a target")
@@ -155,7 +167,7 @@ def _snapshots(spark: SparkSession, ident: str) -> list[int]:
     database, _, table = ident.rpartition(".")
     prefix = f"{table}__v".lower()
     listed = spark.sql(
-        "SHOW TABLES" + (f" IN {_sql_name(database)}" if database else "")
+        "SHOW TABLES" + (f" IN {sql_name(database)}" if database else "")
     ).collect()
     tails = [
         row["tableName"][len(prefix):]
@@ -175,7 +187,7 @@ def _snapshot(ident: str, version: int) -> str:
     return f"{ident}__v{version}"
 
 
-def _sql_name(ident: str) -> str:
+def sql_name(ident: str) -> str:
     return ".".join(quoted(part.strip("`")) for part in ident.split("."))
 
 
