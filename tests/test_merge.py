@@ -36,41 +36,57 @@ BOTH = pytest.mark.parametrize("unique", [True, False])
 JOINS = pytest.mark.parametrize("broadcast", ["rows", "keys", "nothing"])
 
 
+# (target rows, batch rows, merged rows) of (k, v[, op])
+CASES = [
+    ([(1, "a")], [(1, "x", "I")], [(1, "a")]),
+    ([(1, "a")], [(1, "x", "U")], [(1, "x")]),
+    ([(1, "a")], [(1, "x", "D")], []),
+    ([], [(1, "x", "I")], [(1, "x")]),
+    ([], [(1, "x", "U")], [(1, "x")]),
+    ([], [(1, "x", "D")], []),
+    ([(1, "a")], [(1, "x", None), (2, "y", None)], [(1, "a")]),
+    ([(1, "a")], [(1, "x", "u"), (2, "y", "i")], [(1, "a")]),
+    ([(1, "a")], [(1, "x", "Z"), (2, "y", "Z")], [(1, "a")]),
+    ([(None, "a")], [(None, "x", "U")], [(None, "a"), (None, "x")]),
+    ([(None, "a")], [(None, "x", "D")], [(None, "a")]),
+    ([(1, "a")], [(1, None, "U")], [(1, None)]),
+    ([(1, "a"), (1, "b")], [(1, "x", "U")], [(1, "x"), (1, "x")]),
+    ([(1, "a"), (1, "b")], [(1, "x", "D")], []),
+    ([(1, "a")], [], [(1, "a")]),
+    ([(1, "a"), (2, "b")], [(2, "c", "U")], [(1, "a"), (2, "c")]),
+    # Repeated NULL keys match nothing, so they are no repeats.
+    ([(None, "a")], [(None, "x", "I"), (None, "y", "U")], [(None, "a"), (None, "x"), (None, "y")]),
+]
+# Repeated keys that match nothing; only for a batch that may repeat keys.
+REPEATS = [
+    ([(9, "z")], [(1, "x", "I"), (1, "y", "U")], [(1, "x"), (1, "y"), (9, "z")]),
+    ([(9, "z")], [(1, "x", "D"), (1, "y", "Z")], [(9, "z")]),
+]
+
+
 @BOTH
 @JOINS
-@pytest.mark.parametrize(
-    ("target", "batch", "expected"),
-    [
-        ([(1, "a")], [(1, "x", "I")], [(1, "a")]),
-        ([(1, "a")], [(1, "x", "U")], [(1, "x")]),
-        ([(1, "a")], [(1, "x", "D")], []),
-        ([], [(1, "x", "I")], [(1, "x")]),
-        ([], [(1, "x", "U")], [(1, "x")]),
-        ([], [(1, "x", "D")], []),
-        ([(1, "a")], [(1, "x", None), (2, "y", None)], [(1, "a")]),
-        ([(1, "a")], [(1, "x", "u"), (2, "y", "i")], [(1, "a")]),
-        ([(1, "a")], [(1, "x", "Z"), (2, "y", "Z")], [(1, "a")]),
-        ([(None, "a")], [(None, "x", "U")], [(None, "a"), (None, "x")]),
-        ([(None, "a")], [(None, "x", "D")], [(None, "a")]),
-        ([(1, "a")], [(1, None, "U")], [(1, None)]),
-        ([(1, "a"), (1, "b")], [(1, "x", "U")], [(1, "x"), (1, "x")]),
-        ([(1, "a"), (1, "b")], [(1, "x", "D")], []),
-        ([(1, "a")], [], [(1, "a")]),
-        ([(1, "a"), (2, "b")], [(2, "c", "U")], [(1, "a"), (2, "c")]),
-    ],
-)
-def test_effect(merge, target, batch, expected, unique, broadcast):
-    got = merge(target, batch, staged_unique=unique, broadcast=broadcast)
-    assert got == expected
-
-
-def test_unmatched_duplicates_are_all_inserted(merge):
-    assert merge([(9, "z")], [(1, "x", "I"), (1, "y", "U")]) == [(1, "x"), (1, "y"), (9, "z")]
-
-
-def test_null_key_duplicates_are_all_inserted(merge):
-    batch = [(None, "x", "I"), (None, "y", "U")]
-    assert merge([(None, "a")], batch) == [(None, "a"), (None, "x"), (None, "y")]
+def test_effects_of_each_case(spark, unique, broadcast):
+    """All cases in one merge, told apart by a further key column."""
+    cases = CASES if unique else CASES + REPEATS
+    target = [(n, *r) for n, (rows, _, _) in enumerate(cases) for r in rows]
+    batch = [(n, *r) for n, (_, rows, _) in enumerate(cases) for r in rows]
+    merged = merge_cdc(
+        spark.createDataFrame(target, "n int, " + TARGET),
+        spark.createDataFrame(batch, "n int, " + BATCH),
+        ["n", "k"],
+        staged_unique=unique,
+        broadcast=broadcast,
+    )
+    got = rows(merged)
+    for n, (_, _, expected) in enumerate(cases):
+        assert [r[1:] for r in got if r[0] == n] == expected, f"case {n}"
+
+
+@JOINS
+def test_empty_batch_and_empty_target(merge, broadcast):
+    assert merge([(1, "a")], [], broadcast=broadcast) == [(1, "a")]
+    assert merge([], [(1, "x", "U")], broadcast=broadcast) == [(1, "x")]
 
 
 @JOINS

@@ -45,7 +45,7 @@ def merged_by_duckdb(target, staged):
     return sorted(con.execute("FROM t").fetchall(), key=str)
 
 
-@pytest.mark.parametrize("seed", range(12))
+@pytest.mark.parametrize("seed", range(8))
 def test_merge(spark, tmp_path, seed):
     target, log = draw(seed)
     rng = random.Random(seed)

@@ -159,12 +159,14 @@ def test_partitions_survive_publishing(spark, database):
     assert "PartitionFilters: [isnotnull(p" in plan
 
 
-def test_missing_column_raises(spark, database):
+def test_other_columns_raise(spark, database):
     target = f"{database}.t"
     df = spark.createDataFrame([(1, "a")], "k int, p string")
     tables.ensure_table(spark, target, df.schema)
     with pytest.raises(AnalysisException):
         tables.overwrite(spark, target, df.select("k"))
+    with pytest.raises(ValueError, match="more"):
+        tables.overwrite(spark, target, df.withColumn("more", F.lit(1)))
 
 
 def test_lakehouse_merge_resolves(spark, database):

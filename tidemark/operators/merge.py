@@ -70,13 +70,13 @@ def merge_cdc(
     Target columns the batch lacks keep their value on update and are NULL on
     insert. Batch columns the target lacks raise ``ValueError``.
     """
-    kept, inserted = kept_and_inserted(
+    in_place, moved = merge_parts(
         target, staged, pk, op_col, ops, staged_unique, broadcast
     )
-    return kept.unionByName(inserted)
+    return moved if in_place is None else in_place.unionByName(moved)
 
 
-def kept_and_inserted(
+def merge_parts(
     target: DataFrame,
     staged: DataFrame,
     pk: Sequence[str],
@@ -84,12 +84,18 @@ def kept_and_inserted(
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
     broadcast: str = NOTHING,
-) -> tuple[DataFrame, DataFrame]:
-    """The two parts of :func:`merge_cdc`: target rows that stay, and new rows."""
+) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of :func:`merge_cdc` in two parts.
+
+    Those of the first are still in the task that read them from the target,
+    those of the second went through a shuffle. A writer that groups rows needs
+    to do so for the second part only. There is no first part when the whole
+    target is shuffled.
+    """
     batch = _align(target, staged, pk, op_col)
-    kept = _kept(target, batch, ops, staged_unique, broadcast)
+    in_place, moved = _kept(target, batch, ops, staged_unique, broadcast)
     inserted = _inserted(target, batch, ops, staged_unique, broadcast)
-    return kept, inserted
+    return in_place, inserted if moved is None else moved.unionByName(inserted)
 
 
 def merge_effects(
@@ -169,8 +175,11 @@ def _align(target: DataFrame, staged: DataFrame, pk: Sequence[str], op_col: str)
 
 def _kept(
     target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: str
-) -> DataFrame:
-    """Target rows that survive, updated where the batch says so."""
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Target rows that survive, updated where the batch says so.
+
+    In two parts, see :func:`merge_parts`; either may be missing.
+    """
     if unique:
         changes = batch.rows.filter(F.col(_OP).isin(ops.update, ops.delete))
         op = F.col(_OP)
@@ -191,21 +200,22 @@ def _kept(
     def on(other: DataFrame) -> list[Column]:
         return [target[quoted(c)] == other[k] for c, k in zip(batch.target_keys, batch.keys)]
 
+    # Always an outer join: above it a repeat is looked at for matches only.
+    rows = target
     if broadcast == KEYS:
         changed = F.broadcast(changes.select(*batch.keys).filter(all_set(batch.keys)))
-        joined = target.join(changed, on(changed), "left_semi").join(changes, on(changes))
+        rows = target.join(changed, on(changed), "left_semi")
     elif broadcast == ROWS:
-        joined = target.join(F.broadcast(changes), on(changes), "left")
-    else:
-        joined = target.join(changes, on(changes), "left")
+        changes = F.broadcast(changes)
+    joined = rows.join(changes, on(changes), "left")
 
     updated = op_is(F.col(_OP), ops.update)
     kept = joined.filter(~op_is(op, ops.delete)).select(
         *[_updated_value(f, batch, updated).alias(f.name) for f in target.schema.fields]
     )
     if broadcast == KEYS:
-        kept = target.join(changed, on(changed), "left_anti").unionByName(kept)
-    return kept
+        return target.join(changed, on(changed), "left_anti"), kept
+    return (kept, None) if broadcast == ROWS else (None, kept)
 
 
 def _updated_value(field: T.StructField, batch: _Batch, updated: Column) -> Column:

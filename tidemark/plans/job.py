@@ -96,22 +96,20 @@ def _merge(
     if op_col not in landed.columns:
         raise ValueError(f"{table.name}: op column {op_col!r} missing")
     latest = latest_per_pk(landed, table.pk, changes.ts_column, changes.tie_columns)
-    if table.target_format != DEFAULT_FORMAT:
-        lakehouse.ensure_table(
-            spark, table.target, latest.schema, table.target_format, op_col, create
-        )
-        lakehouse.merge_into(table.target, latest, table.pk, op_col, changes.ops)
-        return
     unique = latest is not landed
-    if table.slice_by:
-        slices.ensure_table(
-            spark, table.target, latest.schema, table.slice_by, op_col, create
-        )
+    schema = latest.schema
+    if table.target_format != DEFAULT_FORMAT:
+        lakehouse.ensure_table(spark, table.target, schema, table.target_format, op_col, create)
+    elif table.slice_by:
+        slices.ensure_table(spark, table.target, schema, table.slice_by, op_col, create)
     else:
-        tables.ensure_table(spark, table.target, latest.schema, op_col, create)
+        tables.ensure_table(spark, table.target, schema, op_col, create)
+
     batch = stage_batch(latest, table.pk)
     try:
-        if table.slice_by:
+        if table.target_format != DEFAULT_FORMAT:
+            lakehouse.merge_into(table.target, batch.rows, table.pk, op_col, changes.ops)
+        elif table.slice_by:
             slices.merge(
                 spark,
                 table.target,
@@ -122,17 +120,17 @@ def _merge(
                 staged_unique=unique,
                 broadcast_bytes=table.broadcast_bytes,
             )
-            return
-        merged = merge_cdc(
-            spark.table(table.target),
-            batch.rows,
-            table.pk,
-            op_col,
-            changes.ops,
-            staged_unique=unique,
-            broadcast=batch.broadcast(table.broadcast_bytes),
-        )
-        tables.publish(spark, table.target, merged)
+        else:
+            merged = merge_cdc(
+                spark.table(table.target),
+                batch.rows,
+                table.pk,
+                op_col,
+                changes.ops,
+                staged_unique=unique,
+                broadcast=batch.broadcast(table.broadcast_bytes),
+            )
+            tables.publish(spark, table.target, merged)
     finally:
         batch.release()
 

@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_BROADCAST_BYTES, DEFAULT_OP_COLUMN, OpCodes
 from tidemark.functions.columns import named, quoted
-from tidemark.operators.merge import ROWS, kept_and_inserted
+from tidemark.operators.merge import merge_parts
 from tidemark.operators.staging import StagedBatch
-from tidemark.sinks.tables import sql_name, table_schema
+from tidemark.sinks.tables import in_target_order, sql_name, table_schema
 
 logger = logging.getLogger(__name__)
 
@@ -69,8 +69,7 @@ def overwrite(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     """Replace the whole contents; ``rows`` may read the target."""
     current = _current(spark, ident)
     version = _new_version()
-    fields = spark.table(ident).schema.fields
-    ordered = rows.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    ordered = in_target_order(spark, ident, rows)
     sliced = ordered.withColumn(_SLICE, _part(_slice_by(spark, ident), version))
     _write(spark, ident, sliced.hint("rebalance", named(_SLICE)))
     _publish(spark, ident, current, [], version)
@@ -100,24 +99,21 @@ def merge(
     untouched = [part for part in current if _slice(part) not in touched]
     logger.info("%s: %d of %d slices touched", ident, len(scope), len(current))
 
-    broadcast = batch.broadcast(broadcast_bytes)
-    kept, inserted = kept_and_inserted(
+    in_place, moved = merge_parts(
         store.filter(named(_SLICE).isin(scope)).drop(_SLICE),
         batch.rows,
         pk,
         op_col,
         ops,
         staged_unique,
-        broadcast,
+        batch.broadcast(broadcast_bytes),
     )
+    # Rows that were not moved are still grouped by slice, as they were read.
     part = _part(slice_by, version)
-    kept = kept.withColumn(_SLICE, part)
-    inserted = inserted.withColumn(_SLICE, part).hint("rebalance", named(_SLICE))
-    if broadcast != ROWS:
-        # A shuffled join scatters each slice over all tasks; without it rows
-        # are still grouped as they were read.
-        kept = kept.hint("rebalance", named(_SLICE))
-    _write(spark, ident, kept.unionByName(inserted))
+    sliced = moved.withColumn(_SLICE, part).hint("rebalance", named(_SLICE))
+    if in_place is not None:
+        sliced = in_place.withColumn(_SLICE, part).unionByName(sliced)
+    _write(spark, ident, sliced)
     _publish(spark, ident, current, untouched, version)
 
 

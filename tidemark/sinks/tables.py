@@ -73,7 +73,7 @@ def publish(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     view over snapshots is filled from a finished copy of the result, since it
     cannot be overwritten while it is read.
     """
-    rows = _in_target_order(spark, ident, rows)
+    rows = in_target_order(spark, ident, rows)
     partition_by = _partition_columns(spark, ident)
     version = _current_version(spark, ident)
     existing = _snapshots(spark, ident)
@@ -108,18 +108,25 @@ def overwrite_partitions(spark: SparkSession, ident: str, rows: DataFrame) -> No
         return
     version = _current_version(spark, ident)
     store = ident if version is None else _snapshot(ident, version)
-    grouped = _in_target_order(spark, ident, rows).hint(
+    grouped = in_target_order(spark, ident, rows).hint(
         "rebalance", *[named(c) for c in partition_by]
     )
     with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         grouped.write.insertInto(store, overwrite=True)
 
 
-def _in_target_order(spark: SparkSession, ident: str, rows: DataFrame) -> DataFrame:
-    """``rows`` with the target's columns, by name, cast to its types."""
+def in_target_order(spark: SparkSession, ident: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with the target's columns, by name, cast to its types.
+
+    Columns the target does not have raise: a load does not change a schema.
+    """
     fields = spark.table(ident).schema.fields
+    known = {f.name.lower() for f in fields}
+    unknown = [c for c in rows.columns if c.lower() not in known]
+    if unknown:
+        raise ValueError(f"{ident}: column(s) {unknown} are not in the target")
     return rows.select(
-        *[rows[quoted(f.name)].cast(f.dataType).alias(f.name) for f in fields]
+        *[named(f.name).cast(f.dataType).alias(f.name) for f in fields]
     )
 
 
