@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,12 @@ def all_set(names: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [named(n).isNotNull() for n in names])
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame, planned as such: it takes no tasks to compute."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns)
+
+
 def require_columns(df: DataFrame, names: Sequence[str], what: str) -> None:
     """Raise ``ValueError`` unless ``df`` has all ``names`` (exact case)."""
     missing = [n for n in names if n not in df.columns]

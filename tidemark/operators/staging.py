@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import named, require_columns, row_bytes
+from tidemark.functions.columns import named, no_rows, require_columns, row_bytes
 from tidemark.operators.merge import KEYS, NOTHING, ROWS
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -52,8 +52,8 @@ class StagedBatch:
 
     def release(self) -> None:
         """Give the space back: the folder is left with an empty batch."""
-        empty = self.rows.sparkSession.createDataFrame([], self.rows.schema)
-        empty.coalesce(1).write.mode("overwrite").parquet(self.path)
+        empty = no_rows(self.rows.sparkSession, self.rows.schema)
+        empty.write.mode("overwrite").parquet(self.path)
 
 
 def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import OpCodes
-from tidemark.functions.columns import quoted
+from tidemark.functions.columns import no_rows, quoted
 from tidemark.sinks.tables import table_schema
 
 logger = logging.getLogger(__name__)
@@ -37,7 +37,7 @@ def ensure_table(
         return False
     if spark.catalog.tableExists(ident):
         return False
-    spark.createDataFrame([], table_schema(schema, op_col)).writeTo(ident).using(fmt).create()
+    no_rows(spark, table_schema(schema, op_col)).writeTo(ident).using(fmt).create()
     logger.info("%s: created", ident)
     return True
 

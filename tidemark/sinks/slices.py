@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_BROADCAST_BYTES, DEFAULT_OP_COLUMN, OpCodes
-from tidemark.functions.columns import named, quoted
+from tidemark.functions.columns import named, no_rows, quoted
 from tidemark.operators.merge import merge_parts
 from tidemark.operators.staging import StagedBatch
 from tidemark.sinks.tables import in_target_order, sql_name, table_schema
@@ -58,7 +58,7 @@ def ensure_table(
     fields = table_schema(schema, op_col).fields
     stored = T.StructType([*fields, T.StructField(_SLICE, T.StringType())])
     store = sql_name(_store(ident))
-    spark.createDataFrame([], stored).write.mode("overwrite").partitionBy(_SLICE).saveAsTable(store)
+    no_rows(spark, stored).write.mode("overwrite").partitionBy(_SLICE).saveAsTable(store)
     spark.sql(f"ALTER TABLE {store} SET TBLPROPERTIES ('{_SLICE_BY}' = {_literal(slice_by)})")
     _point_view(spark, ident, [])
     logger.info("%s: created", ident)

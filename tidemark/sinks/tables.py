@@ -20,7 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import named, quoted
+from tidemark.functions.columns import named, no_rows, quoted
 
 logger = logging.getLogger(__name__)
 
@@ -56,7 +56,7 @@ def ensure_table(
         return False
     if spark.catalog.tableExists(ident):
         return False
-    empty = spark.createDataFrame([], table_schema(schema, op_col)).coalesce(1)
+    empty = no_rows(spark, table_schema(schema, op_col))
     writer = empty.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
