@@ -182,3 +182,16 @@ def test_lakehouse_merge_resolves(spark, database):
         lakehouse.merge_into(target, batch.drop("v w"), ["k"], "op", OpCodes())
     with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
         lakehouse.merge_into(target, batch.withColumn("more", F.lit(1)), ["k"], "op", OpCodes())
+
+
+def test_lakehouse_create_and_overwrite(spark, database):
+    """Creation is the same everywhere; the overwrite needs a v2 table."""
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "I")], "k int, op string")
+    assert not lakehouse.ensure_table(spark, target, df.schema, "parquet", "op", enabled=False)
+    assert not spark.catalog.tableExists(target)
+    assert lakehouse.ensure_table(spark, target, df.schema, "parquet", "op")
+    assert spark.table(target).columns == ["k"]
+    assert not lakehouse.ensure_table(spark, target, df.schema, "parquet")
+    with pytest.raises(AnalysisException, match="v1 table"):
+        lakehouse.overwrite_partitions(target, df.select("k"))
