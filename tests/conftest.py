@@ -8,10 +8,10 @@ from pyspark.sql import SparkSession
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tidemark-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.checkpoint.dir", str(root / "shared"))

@@ -119,6 +119,7 @@ def test_wide_batch_moves_only_the_rows_it_changes(spark, conf, tmp_path):
 def test_hot_keys_are_split_in_a_shuffled_merge(spark, conf, tmp_path):
     """A third of the target has no key, a third has one key."""
     conf(
+        shuffle__partitions="16",
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
@@ -143,4 +144,4 @@ def test_hot_keys_are_split_in_a_shuffled_merge(spark, conf, tmp_path):
     plan = execution.executedPlan().toString()
     assert "isFinalPlan=true" in plan
     final = plan.split("== Initial Plan ==")[0]
-    assert "SortMergeJoin(skew=true) [k" in final and "LeftOuter" in final
+    assert any("skew=true" in line and "LeftOuter" in line for line in final.splitlines())

@@ -173,9 +173,8 @@ def _snapshots(spark: SparkSession, ident: str) -> list[int]:
     """Versions that exist, the current one and any left by a failed run."""
     database, _, table = ident.rpartition(".")
     prefix = f"{table}__v".lower()
-    listed = spark.sql(
-        "SHOW TABLES" + (f" IN {sql_name(database)}" if database else "")
-    ).collect()
+    within = f" IN {sql_name(database)}" if database else ""
+    listed = spark.sql(f"SHOW TABLES{within} LIKE '{prefix}*'").collect()
     tails = [
         row["tableName"][len(prefix):]
         for row in listed
