@@ -273,7 +273,7 @@ def merge_key_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge on a target of which only the touched slices are rewritten."""
     name = f"{scratch_database(spark)}.orders"
     target = order_target(spark, sf_dir)
-    slices.ensure_table(spark, name, target.schema, "pmod(xxhash64(order_id), 64)")
+    slices.ensure_table(spark, name, target.schema, ["order_id"], "pmod(xxhash64(order_id), 64)")
     slices.overwrite(spark, name, target)
     slices.merge(
         spark, name, _staged_orders(spark, sf_dir), ["order_id"], staged_unique=True

@@ -63,7 +63,7 @@ def test_merge(spark, tmp_path, seed):
 
     database = f"db_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/{database}'")
-    slices.ensure_table(spark, f"{database}.t", frame.schema, "pmod(hash(a, b), 5)")
+    slices.ensure_table(spark, f"{database}.t", frame.schema, ["a", "b"], "pmod(hash(a, b), 5)")
     slices.overwrite(spark, f"{database}.t", frame)
     slices.merge(spark, f"{database}.t", batch, ["a", "b"])
     got = spark.table(f"{database}.t").collect()

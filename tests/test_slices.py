@@ -23,7 +23,7 @@ def target(spark, database):
     """Keys 0 to 49 in slices of ten."""
     name = f"{database}.t"
     df = spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    slices.ensure_table(spark, name, df.schema, "k div 10")
+    slices.ensure_table(spark, name, df.schema, ["k"], "k div 10")
     slices.overwrite(spark, name, df)
     return name
 
@@ -34,7 +34,7 @@ def rows(df):
 
 def parts(spark, target):
     """Slice -> version of the current partitions."""
-    return dict(p.split("@") for p in slices._current(spark, target))
+    return dict(p.removeprefix("k_").split("@") for p in slices._current(spark, target))
 
 
 def apply(spark, target, data, **options):
@@ -82,10 +82,36 @@ def test_everything_deleted(spark, target):
     assert rows(spark.table(target)) == [(1, "b")]
 
 
-def test_null_keys(spark, target):
+def test_rows_without_a_key_are_only_added(spark, target, monkeypatch):
+    def keyless():
+        return {p for p in slices._current(spark, target) if p.startswith("keyless@")}
+
     apply(spark, target, [(None, "x", "U"), (None, "y", "D")])
-    apply(spark, target, [(None, "z", "I")])
+    before = keyless()
+    apply(spark, target, [(None, "z", "I"), (1, "b", "U")])
+    assert before < keyless() and len(keyless()) == 2
     assert rows(spark.table(target).filter("k IS NULL")) == [(None, "x"), (None, "z")]
+    monkeypatch.setattr(slices, "MAX_KEYLESS", 2)
+    apply(spark, target, [(None, "w", "I")])
+    assert len(keyless()) == 1
+    expected = [(None, "w"), (None, "x"), (None, "z")]
+    assert rows(spark.table(target).filter("k IS NULL")) == expected
+    assert spark.table(target).count() == 53
+
+
+def test_slice_expression_may_be_null(spark, database):
+    name = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    slices.ensure_table(spark, name, df.schema, ["k"], "nullif(k, 1)")
+    slices.overwrite(spark, name, df)
+    apply(spark, name, [(1, "x", "U"), (None, "y", "U")])
+    assert rows(spark.table(name)) == [(1, "x"), (2, "b"), (None, "c"), (None, "y")]
+
+
+def test_key_must_be_the_tables(spark, target):
+    batch = stage_batch(spark.createDataFrame([(1, "x", "U")], "k int, v string, op string"), ["v"])
+    with pytest.raises(ValueError, match="kept by key"):
+        slices.merge(spark, target, batch, ["v"])
 
 
 def test_empty_batch(spark, target):
@@ -99,8 +125,8 @@ def test_old_versions_are_dropped_one_merge_later(spark, target):
     assert reader.filter("k = 1").collect()[0]["v"] == "a"
     previous = parts(spark, target)["0"]
     apply(spark, target, [(2, "x", "U")])
-    kept = {p for p in slices._written(spark, target) if p.startswith("0@")}
-    assert kept == {f"0@{previous}", "0@" + parts(spark, target)["0"]}
+    kept = {p for p in slices._written(spark, target) if p.startswith("k_0@")}
+    assert kept == {f"k_0@{previous}", "k_0@" + parts(spark, target)["0"]}
 
 
 def test_failed_merge_changes_nothing(spark, target):
@@ -121,7 +147,7 @@ def test_hash_slices_use_the_stored_type(spark, database):
     """The batch has int keys, the target bigint: their hashes differ."""
     name = f"{database}.t"
     df = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    slices.ensure_table(spark, name, df.schema, "pmod(xxhash64(k), 7)")
+    slices.ensure_table(spark, name, df.schema, ["k"], "pmod(xxhash64(k), 7)")
     slices.overwrite(spark, name, df)
     apply(spark, name, [(k, "x", "U") for k in range(0, 100, 9)])
     assert spark.table(name).count() == 100
@@ -131,7 +157,7 @@ def test_hash_slices_use_the_stored_type(spark, database):
 def test_odd_slice_names(spark, database):
     name = f"{database}.t"
     df = spark.createDataFrame([("it's", 1), ("a/b=c%d", 2), ("x\\y", 3), ("", 4), ("n@2 :", 5)], "k string, v int")
-    slices.ensure_table(spark, name, df.schema, "k")
+    slices.ensure_table(spark, name, df.schema, ["k"], "k")
     slices.overwrite(spark, name, df)
     assert rows(spark.table(name)) == rows(df)
     batch = stage_batch(df.withColumn("v", F.col("v") * 10).withColumn("op", F.lit("U")), ["k"])
@@ -142,7 +168,7 @@ def test_odd_slice_names(spark, database):
 def test_slice_must_follow_from_the_key(spark, database):
     name = f"{database}.t"
     df = spark.createDataFrame([(1, "a")], "k int, v string")
-    slices.ensure_table(spark, name, df.schema, "v")
+    slices.ensure_table(spark, name, df.schema, ["k"], "v")
     with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
         apply(spark, name, [(1, "x", "U")])
 

@@ -101,7 +101,9 @@ def _merge(
     if table.target_format != DEFAULT_FORMAT:
         lakehouse.ensure_table(spark, table.target, schema, table.target_format, op_col, create)
     elif table.slice_by:
-        slices.ensure_table(spark, table.target, schema, table.slice_by, op_col, create)
+        slices.ensure_table(
+            spark, table.target, schema, table.pk, table.slice_by, op_col, create
+        )
     else:
         tables.ensure_table(spark, table.target, schema, op_col, create)
 

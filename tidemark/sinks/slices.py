@@ -10,12 +10,16 @@ the rest alone. The view ``db.orders`` names the partitions that are current,
 so a merge becomes visible at once when the view is replaced; a slice that was
 emptied is simply no longer named.
 
+Rows without a full key match nothing, so they are only ever added: each batch
+puts its own into a new partition, whatever their number in the target.
+
 The number of slices is limited, because their names pass through the driver.
 One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import uuid
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_BROADCAST_BYTES, DEFAULT_OP_COLUMN, OpCodes
-from tidemark.functions.columns import named, no_rows, quoted
+from tidemark.functions.columns import all_set, named, no_rows, quoted
 from tidemark.operators.merge import merge_parts
 from tidemark.operators.staging import StagedBatch
 from tidemark.sinks.tables import in_target_order, sql_name, table_schema
@@ -35,21 +39,31 @@ from tidemark.sinks.tables import in_target_order, sql_name, table_schema
 logger = logging.getLogger(__name__)
 
 MAX_SLICES = 10_000
+MAX_KEYLESS = 100
 
 _SLICE = "__slice"
 _SLICE_BY = "tidemark.slice_by"
-_NULL = "null"
+_KEY = "tidemark.key"
+
+# Keyed slices have a prefix, so that no value can be taken for the other.
+_KEYED = "k_"
+_KEYLESS = "keyless"
 
 
 def ensure_table(
     spark: SparkSession,
     ident: str,
     schema: T.StructType,
+    pk: Sequence[str],
     slice_by: str,
     op_col: str | None = None,
     enabled: bool = True,
 ) -> bool:
-    """Create the target, empty, if it does not exist; say whether it did."""
+    """Create the target, empty, if it does not exist; say whether it did.
+
+    The key and the expression stay with the table: rows found by one rule must
+    not be looked for by another.
+    """
     if not enabled:
         logger.info("%s: table creation is off", ident)
         return False
@@ -59,7 +73,10 @@ def ensure_table(
     stored = T.StructType([*fields, T.StructField(_SLICE, T.StringType())])
     store = sql_name(_store(ident))
     no_rows(spark, stored).write.mode("overwrite").partitionBy(_SLICE).saveAsTable(store)
-    spark.sql(f"ALTER TABLE {store} SET TBLPROPERTIES ('{_SLICE_BY}' = {_literal(slice_by)})")
+    spark.sql(
+        f"ALTER TABLE {store} SET TBLPROPERTIES ("
+        f"'{_KEY}' = {_literal(json.dumps(list(pk)))}, '{_SLICE_BY}' = {_literal(slice_by)})"
+    )
     _point_view(spark, ident, [])
     logger.info("%s: created", ident)
     return True
@@ -70,7 +87,7 @@ def overwrite(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     current = _current(spark, ident)
     version = _new_version()
     ordered = in_target_order(spark, ident, rows)
-    sliced = ordered.withColumn(_SLICE, _part(_slice_by(spark, ident), version))
+    sliced = ordered.withColumn(_SLICE, _part(*_rule(spark, ident), version))
     _write(spark, ident, sliced.hint("rebalance", named(_SLICE)))
     _publish(spark, ident, current, [], version)
 
@@ -91,10 +108,14 @@ def merge(
     """
     current = _current(spark, ident)
     version = _new_version()
-    slice_by = _slice_by(spark, ident)
+    key, slice_by = _rule(spark, ident)
+    if sorted(key) != sorted(pk):
+        raise ValueError(f"{ident}: kept by key {key}, not by {list(pk)}")
     store = spark.table(_store(ident))
 
     touched = _touched(batch.rows, store.schema, pk, slice_by, op_col, ops, staged_unique)
+    if sum(_slice(part) == _KEYLESS for part in current) >= MAX_KEYLESS:
+        touched.add(_KEYLESS)  # write them anew, as one partition
     scope = [part for part in current if _slice(part) in touched]
     untouched = [part for part in current if _slice(part) not in touched]
     logger.info("%s: %d of %d slices touched", ident, len(scope), len(current))
@@ -109,7 +130,7 @@ def merge(
         batch.broadcast(broadcast_bytes),
     )
     # Rows that were not moved are still grouped by slice, as they were read.
-    part = _part(slice_by, version)
+    part = _part(key, slice_by, version)
     sliced = moved.withColumn(_SLICE, part).hint("rebalance", named(_SLICE))
     if in_place is not None:
         sliced = in_place.withColumn(_SLICE, part).unionByName(sliced)
@@ -126,7 +147,7 @@ def _touched(
     ops: OpCodes,
     unique: bool,
 ) -> set[str]:
-    """Slices of the batch's keys, at most :data:`MAX_SLICES`.
+    """Slices of the batch's full keys, at most :data:`MAX_SLICES`.
 
     Keys take the stored type first: a hash depends on it. In a batch with
     repeated keys even a row without effect is looked up, as a repeat is an
@@ -136,18 +157,19 @@ def _touched(
     if unique:
         rows = rows.filter(named(op_col).isin(ops.insert, ops.update, ops.delete))
     keys = rows.select(*[named(k).cast(types[k.lower()]).alias(k) for k in pk])
-    found = keys.select(_slice_name(slice_by).alias(_SLICE)).distinct()
+    found = keys.filter(all_set(pk)).select(_slice_name(pk, slice_by).alias(_SLICE)).distinct()
     names = {row[_SLICE] for row in found.limit(MAX_SLICES + 1).collect()}
     _check_count(names)
     return names
 
 
-def _slice_name(slice_by: str) -> Column:
-    return F.coalesce(F.expr(slice_by).cast("string"), F.lit(_NULL))
+def _slice_name(pk: Sequence[str], slice_by: str) -> Column:
+    value = F.coalesce(F.expr(slice_by).cast("string"), F.lit("null"))
+    return F.when(all_set(pk), F.concat(F.lit(_KEYED), value)).otherwise(_KEYLESS)
 
 
-def _part(slice_by: str, version: str) -> Column:
-    return F.concat(_slice_name(slice_by), F.lit(f"@{version}"))
+def _part(pk: Sequence[str], slice_by: str, version: str) -> Column:
+    return F.concat(_slice_name(pk, slice_by), F.lit(f"@{version}"))
 
 
 def _slice(part: str) -> str:
@@ -209,10 +231,11 @@ def _written(spark: SparkSession, ident: str) -> list[str]:
     return [unquote(row["partition"].partition("=")[2]) for row in listed]
 
 
-def _slice_by(spark: SparkSession, ident: str) -> str:
-    """The expression the target was created with; a later one would misplace keys."""
+def _rule(spark: SparkSession, ident: str) -> tuple[list[str], str]:
+    """The key and the slice expression the target was created with."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {sql_name(_store(ident))}").collect()
-    return next(row["value"] for row in rows if row["key"] == _SLICE_BY)
+    properties = {row["key"]: row["value"] for row in rows}
+    return json.loads(properties[_KEY]), properties[_SLICE_BY]
 
 
 def _check_count(parts) -> None:
