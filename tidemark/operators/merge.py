@@ -58,9 +58,9 @@ def merge_cdc(
     * ``"keys"``: target rows the batch does not change are passed on where
       they are read; only the others are shuffled to meet their change. Costs
       one more scan.
-    * ``"nothing"``: the joins are left to Catalyst. The rows of a very
-      frequent target key, NULL included, are split over tasks by adaptive
-      skew handling, which the left side of an outer join allows.
+    * ``"nothing"``: the joins are left to Catalyst. Target rows without a full
+      key are not shuffled; those of a very frequent key are split over tasks
+      by adaptive skew handling, which the left side of an outer join allows.
 
     ``staged`` is read more than once and must give the same rows each time.
     Pass ``staged_unique`` if it has at most one row per non-NULL key;
@@ -73,7 +73,7 @@ def merge_cdc(
     in_place, moved = merge_parts(
         target, staged, pk, op_col, ops, staged_unique, broadcast
     )
-    return moved if in_place is None else in_place.unionByName(moved)
+    return in_place.unionByName(moved)
 
 
 def merge_parts(
@@ -84,13 +84,12 @@ def merge_parts(
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
     broadcast: str = NOTHING,
-) -> tuple[DataFrame | None, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """The rows of :func:`merge_cdc` in two parts.
 
     Those of the first are still in the task that read them from the target,
     those of the second went through a shuffle. A writer that groups rows needs
-    to do so for the second part only. There is no first part when the whole
-    target is shuffled.
+    to do so for the second part only.
     """
     batch = _align(target, staged, pk, op_col)
     in_place, moved = _kept(target, batch, ops, staged_unique, broadcast)
@@ -175,10 +174,10 @@ def _align(target: DataFrame, staged: DataFrame, pk: Sequence[str], op_col: str)
 
 def _kept(
     target: DataFrame, batch: _Batch, ops: OpCodes, unique: bool, broadcast: str
-) -> tuple[DataFrame | None, DataFrame | None]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Target rows that survive, updated where the batch says so.
 
-    In two parts, see :func:`merge_parts`; either may be missing.
+    In two parts, see :func:`merge_parts`; the second may be missing.
     """
     if unique:
         changes = batch.rows.filter(F.col(_OP).isin(ops.update, ops.delete))
@@ -200,22 +199,25 @@ def _kept(
     def on(other: DataFrame) -> list[Column]:
         return [target[quoted(c)] == other[k] for c, k in zip(batch.target_keys, batch.keys)]
 
-    # Always an outer join: above it a repeat is looked at for matches only.
-    rows = target
-    if broadcast == KEYS:
+    if broadcast == ROWS:
+        in_place, rows = None, target
+        changes = F.broadcast(changes)
+    elif broadcast == KEYS:
         changed = F.broadcast(changes.select(*batch.keys).filter(all_set(batch.keys)))
+        in_place = target.join(changed, on(changed), "left_anti")
         rows = target.join(changed, on(changed), "left_semi")
-    elif broadcast == ROWS:
-        changes = F.broadcast(changes)
+    else:
+        # Rows without a full key match nothing: however many, none is moved.
+        full = all_set(batch.target_keys)
+        in_place, rows = target.filter(~full), target.filter(full)
+    # Always an outer join: above it a repeat is looked at for matches only.
     joined = rows.join(changes, on(changes), "left")
 
     updated = op_is(F.col(_OP), ops.update)
     kept = joined.filter(~op_is(op, ops.delete)).select(
         *[_updated_value(f, batch, updated).alias(f.name) for f in target.schema.fields]
     )
-    if broadcast == KEYS:
-        return target.join(changed, on(changed), "left_anti"), kept
-    return (kept, None) if broadcast == ROWS else (None, kept)
+    return (kept, None) if broadcast == ROWS else (in_place, kept)
 
 
 def _updated_value(field: T.StructField, batch: _Batch, updated: Column) -> Column:
@@ -232,7 +234,12 @@ def _inserted(
     """Inserts and updates whose key the target does not hold."""
     arrivals = batch.rows.filter(F.col(_OP).isin(ops.insert, ops.update))
     present = _present(target, batch, arrivals, unique, broadcast)
-    absent = arrivals.join(present, batch.keys, "left_anti")
+    if broadcast == NOTHING:
+        full = all_set(batch.keys)
+        absent = arrivals.filter(full).join(present, batch.keys, "left_anti")
+        absent = absent.unionByName(arrivals.filter(~full))
+    else:
+        absent = arrivals.join(present, batch.keys, "left_anti")
     return absent.select(
         *[
             (F.col(batch.values[f.name]) if f.name in batch.values else F.lit(None))

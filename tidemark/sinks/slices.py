@@ -131,10 +131,8 @@ def merge(
     )
     # Rows that were not moved are still grouped by slice, as they were read.
     part = _part(key, slice_by, version)
-    sliced = moved.withColumn(_SLICE, part).hint("rebalance", named(_SLICE))
-    if in_place is not None:
-        sliced = in_place.withColumn(_SLICE, part).unionByName(sliced)
-    _write(spark, ident, sliced)
+    moved = moved.withColumn(_SLICE, part).hint("rebalance", named(_SLICE))
+    _write(spark, ident, in_place.withColumn(_SLICE, part).unionByName(moved))
     _publish(spark, ident, current, untouched, version)
 
 
