@@ -48,6 +48,11 @@ WHERE op = 'I' AND NOT EXISTS (SELECT 1 FROM {target} WHERE {on})"""
 
 _MERGE = _merged(_COLS, ["order_id"], "tgt", "s")
 
+_MERGE_NULL_TARGET = f"""{_ALL}, t2 AS (
+  SELECT CASE WHEN order_id % 3 <> 0 THEN order_id END AS order_id,
+         customer_id, amount, status, commit_ts FROM tgt)
+{_merged(_COLS, ["order_id"], "t2", "s")}"""
+
 
 def _newest_event(name: str, condition: str) -> str:
     return f"""{name} AS (
@@ -84,6 +89,8 @@ FROM (SELECT o_custkey,
 GROUP BY o_custkey""",
     "latest_no_ts": f"WITH {_LOG} SELECT order_id, customer_id, amount, status, op FROM log",
     "merge_cdc": f"{_ALL} {_MERGE}",
+    "merge_broadcast_keys": f"{_ALL} {_MERGE}",
+    "merge_shuffled": _MERGE_NULL_TARGET,
     "merge_delete": f"""{_ALL}
 SELECT {_COLS} FROM tgt
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = tgt.order_id AND s.op = 'D')""",
@@ -106,10 +113,7 @@ FROM tgt JOIN s ON tgt.order_id = s.order_id WHERE s.op NOT IN ('U','D')""",
   SELECT CASE WHEN order_id % 50 <> 1 THEN order_id END AS order_id,
          customer_id, amount, status, commit_ts, op FROM s)
 {_merged(_COLS, ["order_id"], "tgt", "s2")}""",
-    "merge_null_target_pk": f"""{_ALL}, t2 AS (
-  SELECT CASE WHEN order_id % 3 <> 0 THEN order_id END AS order_id,
-         customer_id, amount, status, commit_ts FROM tgt)
-{_merged(_COLS, ["order_id"], "t2", "s")}""",
+    "merge_null_target_pk": _MERGE_NULL_TARGET,
     "merge_subset_columns": f"""{_ALL}
 SELECT COALESCE(tgt.order_id, s.order_id) AS order_id,
        tgt.customer_id AS customer_id, tgt.amount AS amount,

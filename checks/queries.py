@@ -19,7 +19,7 @@ from checks.frames import (
 )
 from tidemark.config import DEFAULT_BROADCAST_BYTES, ChangeSpec, JobSpec, TableSpec
 from tidemark.operators.latest import latest_per_pk
-from tidemark.operators.merge import merge_cdc, merge_effects
+from tidemark.operators.merge import KEYS, NOTHING, merge_cdc, merge_effects
 from tidemark.operators.staging import StagedBatch, stage_batch
 from tidemark.plans.job import apply_table, run_job
 from tidemark.sinks import slices, tables
@@ -125,6 +125,21 @@ def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge(order_target(spark, sf_dir), _staged_orders(spark, sf_dir))
 
 
+def merge_broadcast_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for a batch of which only the keys fit into every task."""
+    batch = _staged_orders(spark, sf_dir)
+    target = order_target(spark, sf_dir)
+    return merge_cdc(target, batch.rows, ["order_id"], staged_unique=True, broadcast=KEYS)
+
+
+def merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for a batch that does not fit, on a target partly without keys."""
+    key = F.col("order_id")
+    target = order_target(spark, sf_dir).withColumn("order_id", F.when(key % 3 != 0, key))
+    batch = _staged_orders(spark, sf_dir)
+    return merge_cdc(target, batch.rows, ["order_id"], staged_unique=True, broadcast=NOTHING)
+
+
 def merge_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _staged_orders(spark, sf_dir)
     return _merge(order_target(spark, sf_dir), batch, batch.rows.filter("op = 'D'"))
@@ -381,6 +396,8 @@ QUERIES: dict[str, Query] = {
     "latest_null_ts": latest_null_ts,
     "latest_no_ts": latest_no_ts,
     "merge_cdc": merge_orders,
+    "merge_broadcast_keys": merge_broadcast_keys,
+    "merge_shuffled": merge_shuffled,
     "merge_delete": merge_delete,
     "merge_update": merge_update,
     "merge_insert": merge_insert,

@@ -6,6 +6,7 @@ import uuid
 import pytest
 
 from tidemark import JobSpec, TableSpec, run_job
+from tidemark.sinks import lakehouse
 
 
 @pytest.fixture
@@ -205,3 +206,32 @@ def test_from_dict_defaults():
     assert (job.changes.format, job.changes.op_column, job.changes.ts_column) == ("parquet", "op", None)
     assert (job.changes.ops.insert, job.changes.ops.update, job.changes.ops.delete) == ("I", "U", "D")
     assert job.tables[0].columns == ()
+
+
+def test_row_level_targets(spark, config, database, monkeypatch):
+    """Such targets are created, merged and overwritten by their own catalog."""
+    calls = []
+    monkeypatch.setattr(
+        lakehouse, "ensure_table", lambda spark, *a, **k: calls.append(("create", a[0], a[2]))
+    )
+    monkeypatch.setattr(
+        lakehouse,
+        "merge_into",
+        lambda ident, staged, *a: calls.append(("merge", ident, rows(staged), list(a[0]), a[1])),
+    )
+    monkeypatch.setattr(
+        lakehouse,
+        "overwrite_partitions",
+        lambda ident, df: calls.append(("overwrite", ident, df.columns)),
+    )
+    for table in config["tables"]:
+        table["target_format"] = "iceberg"
+    run_job(spark, config)
+    orders, customers = f"{database}.orders", f"{database}.customers"
+    staged = [(1, 2.0, 2, "U"), (2, 5.0, 1, "I"), (3, 7.0, 1, "D")]
+    assert calls == [
+        ("create", orders, "iceberg"),
+        ("merge", orders, staged, ["order_id"], "op"),
+        ("create", customers, "iceberg"),
+        ("overwrite", customers, ["customer_id", "tier"]),
+    ]

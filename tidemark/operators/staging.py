@@ -62,7 +62,8 @@ def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:
     A merge reads its batch more than once. Staging fixes which row won among
     tied timestamps, cuts the lineage in a way that survives lost executors,
     and lets later reads prune columns and push filters. The row count and the
-    sizes in memory are measured by the same job, as the rows are written.
+    sizes in memory are measured by the same job, as the rows are written; a
+    task that has to be run again may count twice, which errs on the safe side.
     """
     require_columns(df, pk, "stage_batch")
     spark = df.sparkSession

@@ -100,7 +100,8 @@ def overwrite_partitions(spark: SparkSession, ident: str, rows: DataFrame) -> No
 
     A target without partitions is replaced as a whole. ``rows`` must not read
     the target. Rows are shuffled so that each partition is written by few
-    tasks, and adaptive execution splits the ones that are large.
+    tasks, and adaptive execution splits the ones that are large. Partitions
+    are exchanged in place, one after the other, when all rows are written.
     """
     partition_by = _partition_columns(spark, ident)
     if not partition_by:
