@@ -199,9 +199,8 @@ def test_large_batch_is_shuffle_joined(spark, config, database):
 
 
 def test_from_dict_defaults():
-    job = JobSpec.from_dict(
-        {"tables": [{"name": "t", "source_path": "/p", "target_identifier": "d.t", "has_pk": True, "pk": ["k"]}]}
-    )
+    table = {"name": "t", "source_path": "/p", "target_identifier": "d.t", "has_pk": True, "pk": ["k"]}
+    job = JobSpec.from_dict({"tables": [table]})
     assert job.create_tables
     assert (job.changes.format, job.changes.op_column, job.changes.ts_column) == ("parquet", "op", None)
     assert (job.changes.ops.insert, job.changes.ops.update, job.changes.ops.delete) == ("I", "U", "D")

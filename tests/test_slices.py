@@ -156,7 +156,8 @@ def test_hash_slices_use_the_stored_type(spark, database):
 
 def test_odd_slice_names(spark, database):
     name = f"{database}.t"
-    df = spark.createDataFrame([("it's", 1), ("a/b=c%d", 2), ("x\\y", 3), ("", 4), ("n@2 :", 5)], "k string, v int")
+    odd = ["it's", "a/b=c%d", "x\\y", "", "n@2 :"]
+    df = spark.createDataFrame(list(zip(odd, range(1, 6))), "k string, v int")
     slices.ensure_table(spark, name, df.schema, ["k"], "k")
     slices.overwrite(spark, name, df)
     assert rows(spark.table(name)) == rows(df)

@@ -135,7 +135,9 @@ def test_hot_keys_are_split_in_a_shuffled_merge(spark, conf, tmp_path):
         ["k"],
     )
     merged = merge_cdc(target, batch.rows, ["k"], staged_unique=True)
-    result = merged.groupBy((F.col("k") == -1).alias("hot")).agg(F.count("*").alias("n"), F.max("v").alias("v"))
+    result = merged.groupBy((F.col("k") == -1).alias("hot")).agg(
+        F.count("*").alias("n"), F.max("v").alias("v")
+    )
     counts = {r["hot"]: (r["n"], r["v"]) for r in result.collect()}
     # 100k NULL keys, 100k hot rows all updated, 299,999 other keys.
     assert counts == {None: (100000, 299997), True: (100000, 0), False: (299999, -1)}
