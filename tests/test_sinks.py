@@ -111,10 +111,11 @@ def test_running_reader_keeps_its_snapshot(spark, database):
 def test_plain_table_as_target(spark, database):
     target = f"{database}.plain"
     spark.range(3).select(F.col("id").alias("k")).write.saveAsTable(target)
+    spark.range(1).write.saveAsTable(f"{target}__v7")  # not ours
     assert not tables.ensure_table(spark, target, spark.table(target).schema)
     tables.publish(spark, target, spark.table(target).filter("k > 0"))
     assert rows(spark.table(target)) == [(1,), (2,)]
-    assert names(spark, database) == ["plain"]
+    assert names(spark, database) == ["plain", "plain__v7"]
 
 
 def test_foreign_view_is_refused(spark, database):

@@ -80,13 +80,15 @@ def publish(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     latest = max(existing, default=0) + 1
     _write_snapshot(spark, rows, ident, version, latest, partition_by)
     if version is None:
+        # Should the overwrite fail, the finished copy is left to repeat it from.
         finished = spark.table(_snapshot(ident, latest))
         with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
             finished.write.insertInto(ident, overwrite=True)
-        existing.append(latest)
+        outdated = {latest}
     else:
         _point_view(spark, ident, latest)
-    for old in set(existing) - {version}:
+        outdated = set(existing) - {version}
+    for old in outdated:
         spark.sql(f"DROP TABLE IF EXISTS {sql_name(_snapshot(ident, old))}")
 
 
