@@ -181,7 +181,7 @@ WITH d AS (
          rest AS (ORDER BY 2.0 * source_size / w, source NULLS LAST
                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
 ), water AS (
-  SELECT min((total - capped) / free) AS level FROM ordered WHERE (total - capped) / free < cap / w
+  SELECT max((total - capped) / free) AS level FROM ordered WHERE (total - capped) / free < cap / w
 ), goal AS (
   SELECT source, source_size, least(cap, w * (SELECT level FROM water)) AS target FROM ordered
 ), placed AS (
