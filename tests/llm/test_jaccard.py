@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from tidemark.llm.jaccard import least_agreement, near_duplicates, one_of_each_class
+
+from .conftest import edited, prose
+
+
+def grams(text):
+    words = (text or "").split()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
+
+
+def corpus():
+    rng = random.Random(2)
+    texts = [prose(rng, rng.randint(3, 120)) for _ in range(60)]
+    base = prose(rng, 200)
+    texts += [edited(rng, base, rng.randint(1, 4)) for _ in range(70)]  # a large group
+    texts += [edited(rng, t, 1) for t in texts[:40]] + texts[:30] + ["", None, "a b", "a b", "a  b"]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_against_brute_force(documents, block):
+    rows = corpus()
+    sets = {i: grams(t) for i, t in rows}
+    linked = {
+        i: {j for j in sets if sets[i] and sets[j]
+            and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+        for i in sets
+    }
+    got = {r["doc_id"]: r for r in near_duplicates(documents(rows), block=block).collect()}
+    assert got.keys() == sets.keys()
+    for i, r in got.items():
+        same = {j for j in sets if sets[j] == sets[i]} if sets[i] else {i}
+        others = linked[i] - same
+        assert r["text_id"] == min(same) and r["n_copies"] == len(same)
+        assert r["n_linked_docs"] == len(others)
+        assert r["n_links"] == len({sets[j] for j in others})
+        group, todo = {i}, [i]
+        while todo:
+            new = linked[todo.pop()] - group
+            group |= new
+            todo += new
+        assert r["class_id"] == min(group)
+
+
+def test_one_stays(documents):
+    rows = corpus()
+    classes = {r["class_id"] for r in near_duplicates(documents(rows)).collect()}
+    assert {r["doc_id"] for r in one_of_each_class(documents(rows)).collect()} == classes
+
+
+def test_pruning_keeps_what_is_likely():
+    needed = least_agreement(0.8, 1e-6)
+    assert all(m < 0.8 * n for n, m in needed.items())
+    assert needed[160] > 80

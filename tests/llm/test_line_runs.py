@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from tidemark.llm.line_runs import LineRuns, dedup_lines, drop_repeated_lines
+
+from .conftest import prose
+
+
+def corpus():
+    rng = random.Random(9)
+    shared = [prose(rng, 15) for _ in range(12)] + ["short line"]
+    rows = []
+    for i in range(120):
+        lines = [prose(rng, 10) for _ in range(rng.randint(0, 4))]
+        lines += [rng.choice(["", " \t"]) + rng.choice([s, s.upper()]) for s in rng.sample(shared, 4)]
+        lines += [lines[-1], ""] if i % 7 == 0 else []
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines)))
+    return [*rows, (200, None), (201, "")]
+
+
+def brute(rows, min_chars=40, min_docs=5):
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(fold)
+    where = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            where[key(line)].add(i)
+    out = {}
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < min_chars or len(where[key(x)]) < min_docs or i == max(where[key(x)])]
+        out[i] = ("\n".join(kept), len(lines), len(lines) - len(kept))
+    return out
+
+
+def test_against_brute_force(documents):
+    rows = corpus()
+    for options in ({}, {"batches": 7, "fanout": 3}, {"batches": 1}):
+        got = dedup_lines(documents(rows), **options).select("doc.doc_id", "rest.*").collect()
+        assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in got} == brute(rows)
+
+
+def test_documents_keep_their_columns(documents):
+    table = documents(corpus())
+    got = drop_repeated_lines(table)
+    assert got.columns == table.columns
+    for r in got.collect():
+        assert r["n_chars"] == len(r["text"])
+
+
+def test_rows_of_one_id_are_one_document(documents):
+    line = "a line that is long enough to be counted as a repeat"
+    same = dedup_lines(documents([(1, line)] * 6)).collect()
+    assert [r["rest"]["n_dropped"] for r in same] == [0] * 6
+    nulls = dedup_lines(documents([(None, line), (None, line), *((i, line) for i in range(4))])).collect()
+    assert sorted(r["rest"]["n_dropped"] for r in nulls) == [0, 1, 1, 1, 1, 1]
+
+
+def test_runs_are_compacted_by_level(spark):
+    runs = LineRuns(spark, fanout=3)
+    for b in range(10):
+        keys = spark.createDataFrame([(b"x", b), (bytes([b]), b)], "h binary, doc_id long")
+        runs.add(keys)
+    assert [len(level) for level in runs.levels] == [1, 0, 1]
+    got = {bytes(r["h"]): (r["n_docs"], r["keeper"]) for r in runs.repeated(1).collect()}
+    assert got[b"x"] == (10, 9) and len(got) == 11
+    assert runs.repeated(2).select(F.col("h").cast("string")).collect()[0][0] == "x"
+    runs.clear()

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+from tokenizers import Tokenizer
+
+from tidemark.llm.packing import encoder, pack, plan
+from tidemark.llm.queries import tokenizer
+
+from .conftest import prose
+
+ODD = ["", "  a  b ", "a <|endoftext|> b", "x y  z\n\n q 's 't", "\x1c a \x85 b", "日本 語", "".join(map(chr, range(1, 2000)))]
+
+
+def test_ids_are_those_of_the_tokenizers_file():
+    want = Tokenizer.from_file(tokenizer())
+    rng = random.Random(0)
+    encode = encoder(tokenizer())
+    for text in [*ODD, *(prose(rng, 50) for _ in range(50))]:
+        assert encode(text).tolist() == want.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_and_places(documents):
+    rng = random.Random(1)
+    rows = [(i, prose(rng, rng.choice([0, 3, 40, 300, 900]))) for i in range(150)]
+    rows += list(enumerate(ODD, 500))
+    ids = Tokenizer.from_file(tokenizer())
+    for capacity in (1024, 64):
+        got = pack(documents(rows), tokenizer(), capacity).collect()
+        pieces, sequences = defaultdict(list), defaultdict(list)
+        for r in got:
+            pieces[r["doc_id"]].append(r)
+            sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        for i, text in rows:
+            whole = np.array([*ids.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+            own = sorted(pieces[i], key=lambda r: r["piece"])
+            assert [r["piece"] for r in own] == list(range(len(own)))
+            assert all(r["length"] == capacity for r in own[1:])
+            at = 0
+            for r in own:
+                part = whole[at : at + r["length"]]
+                assert r["start"] == at and r["ids_crc32"] == zlib.crc32(part.tobytes())
+                at += r["length"]
+            assert at == len(whole)
+        for places in sequences.values():
+            at = 0
+            for offset, length in sorted(places):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        total = sum(r["length"] for r in got)
+        assert len(sequences) <= -(-total // capacity) * 1.05 + 1
+
+
+def test_plan_uses_every_piece_and_fills_gaps():
+    rng = random.Random(3)
+    for capacity, most in ((10, 6), (100, 40), (1024, 30)):
+        histogram = {x: rng.randint(1, most) for x in range(1, capacity + 1) if rng.random() < 0.7}
+        used = defaultdict(int)
+        sequences = 0
+        for lengths, copies in plan(histogram, capacity):
+            assert sum(lengths) <= capacity and copies > 0
+            sequences += copies
+            for x in lengths:
+                used[x] += copies
+        assert used == histogram
+        lower = -(-sum(x * n for x, n in histogram.items()) // capacity)
+        lower = max(lower, sum(n for x, n in histogram.items() if 2 * x > capacity))
+        assert sequences <= 1.02 * lower + 2
+    assert plan({700: 5, 200: 5, 124: 5}, 1024) == [((700, 200, 124), 5)]
+    assert plan({}, 8) == []
+
+
+def test_hot_length_is_numbered_over_buckets(documents, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.packing.BUCKET_ROWS", 10)
+    got = pack(documents([(i, "same text") for i in range(200)]), tokenizer(), 16).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 200

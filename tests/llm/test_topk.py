@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemark.llm.topk import exact_top_k
+
+
+def brute(vectors: dict[int, np.ndarray], k: int, step: int) -> set:
+    out = set()
+    for q in (i for i in vectors if i % step == 0):
+        scores = [(-int(vectors[q] @ v), i) for i, v in vectors.items() if i != q]
+        out |= {(q, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)}
+    return out
+
+
+def run(spark, rows, k, step, **options):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = exact_top_k(table, F.col("vec_id") % step == 0, k=k, **options)
+    return {tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect()}
+
+
+def test_against_brute_force_with_ties_and_copies(spark):
+    rng = np.random.default_rng(0)
+    raw = {i: rng.normal(size=12).astype(np.float32) / 8 for i in range(300)}
+    for i in range(100, 200):  # a third of all rows are one vector
+        raw[i] = raw[100]
+    rows = [(i, v.tolist(), 0) for i, v in raw.items()]
+    whole = {i: np.floor(64 * v.astype(float)).astype(int) for i, v in raw.items()}
+    for options in ({}, {"block": 17, "nodes": 5}):
+        assert run(spark, rows, 7, 10, **options) == brute(whole, 7, 10)
+
+
+def test_unusable_rows_and_few_rows(spark):
+    bad = [(20, None, 1), (21, [1.0, None], 1), (22, [float("nan")], 1), (23, [float("inf")], 1),
+           (None, [1.0], 1)]
+    rows = [(0, [0.5, 0.25], 1), (1, [1.0], 1), (2, [-1.0, 1.0], 1), (2, [-1.0, 1.0], 1), *bad]
+    assert run(spark, rows, 20, 20) == {(0, 1, 1, 2048), (0, 2, 2, -1024)}
+
+
+def test_scores_beyond_a_long_are_the_nearest(spark):
+    rows = [(0, [3e30], 1), (1, [3e30], 1), (2, [-3e30], 1)]
+    assert run(spark, rows, 2, 20) == {(0, 1, 1, 2**63 - 1), (0, 2, 2, -(2**63))}

@@ -77,10 +77,23 @@ class LineRuns:
         self.levels = [[]]
 
     def _merge(self, names: list[str]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, map(self.spark.table, names))
-        return rows.groupBy("h").agg(
-            F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper")
-        )
+        """The runs as one: a full outer merge join of two at a time.
+
+        (A union of bucketed tables will not do: Spark 4.1 takes it for
+        partitioned by ``h`` but sets the tables' partitions side by side, so a
+        grouping of it without a shuffle leaves keys ungrouped.)
+        """
+
+        def both(a: DataFrame, b: DataFrame) -> DataFrame:
+            b = b.select("h", F.col("n_docs").alias("n_more"), F.col("keeper").alias("other"))
+            zero = F.lit(0).cast("long")
+            return a.join(b, "h", "full").select(
+                "h",
+                (F.coalesce("n_docs", zero) + F.coalesce("n_more", zero)).alias("n_docs"),
+                F.greatest("keeper", "other").alias("keeper"),
+            )
+
+        return reduce(both, map(self.spark.table, names))
 
     def _write(self, run: DataFrame) -> str:
         name = f"{self.database}.run_{uuid.uuid4().hex}"

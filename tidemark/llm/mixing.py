@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE_RUN, SPACES, WORD, stage, with_text
 
+_COLUMNS = {"id_col": "doc_id", "text_col": "text", "source_col": "source"}
 #: Hex digits of the hash looked at in each of the two steps of the search.
 DIGITS = 3
 
@@ -164,22 +165,27 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document taken in part is cut after the words taken. All columns stay.
     """
-    fixed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
-    text_col = options.get("text_col", "text")
-    takes = mix(fixed, row_col="__row", **options).select("row_key", "whole", "part", "size")
-    rows = fixed.join(takes, F.col("__row") == F.col("row_key"))
-    full = F.col("whole") + F.when(F.col("part") == F.col("size"), 1).otherwise(0)
-    size = F.col("size").cast("int")
+    names = [options.get(n, d) for n, d in _COLUMNS.items()]
+    text_col = options.get("text_col", _COLUMNS["text_col"])
+    rows = stage(
+        docs.select(F.monotonically_increasing_id().alias("row_key"), F.struct("*").alias("doc")),
+        "mix-docs",
+    )
+    plain = rows.select("row_key", *[F.col("doc")[n].alias(n) for n in names])
+    takes = mix(plain, row_col="row_key", **options).select("row_key", "whole", "part", "size")
+    size, part = F.col("size").cast("int"), F.col("part").cast("int")
+    full = F.col("whole") + F.when(part == size, 1).otherwise(0)
     none = F.array().cast("array<int>")
     copies = F.concat(
         F.when(size == 0, none).otherwise(F.array_repeat(size, full.cast("int"))),
-        F.when(
-            (F.col("part") > 0) & (F.col("part") < size), F.array(F.col("part").cast("int"))
-        ).otherwise(none),
+        F.when((part > 0) & (part < size), F.array(part)).otherwise(none),
+    )
+    taken = rows.join(takes, "row_key").select("doc", "size", F.explode(copies).alias("n"))
+    text = F.ltrim(F.col("doc")[text_col], F.lit(SPACES))
+    after = F.get(F.split(text, SPACE_RUN, F.col("n") + 1), F.col("n"))
+    start = F.substring(text, F.lit(1), F.length(text) - F.length(after))
+    whole_text = F.col("n") == F.col("size")
+    taken = taken.select(
+        "doc.*", F.when(whole_text, F.col("doc")[text_col]).otherwise(start).alias("__text")
     )
-    rows = rows.withColumn("__words", F.explode(copies))
-    whole_text = F.ltrim(F.col(text_col), F.lit(SPACES))
-    after = F.get(F.split(whole_text, SPACE_RUN, F.col("__words") + 1), F.col("__words"))
-    start = F.substring(whole_text, F.lit(1), F.length(whole_text) - F.length(after))
-    text = F.when(F.col("__words") == F.col("size"), F.col(text_col)).otherwise(start)
-    return with_text(rows, text_col, text).select(docs.columns)
+    return with_text(taken, text_col, F.col("__text")).select(docs.columns)

@@ -135,15 +135,16 @@ class Complements:
                 return next((p for p in reversed(stock) if self.has((*p, *others))), None)
         return None
 
-    def fill(self, length: int, gap: int) -> tuple[int, ...] | None:
-        """One, two or three available lengths whose sum is ``gap``."""
+    def fill(self, length: int, gap: int, most: int) -> tuple[int, ...] | None:
+        """Up to ``most`` available lengths whose sum is ``gap``, as few as will do."""
         if self.has((length, gap)):
             return (gap,)
-        if found := self.pair(gap, length):
+        if most > 1 and (found := self.pair(gap, length)):
             return found
-        for a in np.flatnonzero(self.left[:gap])[::-1]:
-            if found := self.pair(gap - int(a), length, int(a)):
-                return (int(a), *found)
+        if most > 2:
+            for a in np.flatnonzero(self.left[:gap])[::-1]:
+                if found := self.pair(gap - int(a), length, int(a)):
+                    return (int(a), *found)
         return None
 
     def use(self, lengths: tuple[int, ...]) -> None:
@@ -154,17 +155,27 @@ class Complements:
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and how many sequences follow each; every piece is in one."""
+    """Patterns and how many sequences follow each; every piece is in one.
+
+    Triples fill most gaps where short pieces abound. Where they are scarce it
+    may be better to spare them for the longest gaps, so plans that use
+    complements of at most three, two and one lengths, and that begin with all
+    or with the longer half of the lengths, are compared by their sequences.
+    """
+    orders = (range(capacity - 1, 0, -1), range(capacity - 1, capacity // 2, -1))
+    plans = [_plan(histogram, capacity, most, order) for most in (3, 2, 1) for order in orders]
+    return min(plans, key=lambda patterns: sum(copies for _, copies in patterns))
+
+
+def _plan(histogram: dict[int, int], capacity: int, most: int, order: range) -> list:
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         left[length] = n
-    full = int(left[capacity])
-    left[capacity] = 0
     stock = Complements(left)
-    if full:
-        stock.patterns.append(((capacity,), full))
-    for length in range(capacity - 1, 0, -1):
-        while left[length] and (found := stock.fill(length, capacity - length)):
+    if left[capacity]:
+        stock.use((capacity,))
+    for length in order:
+        while left[length] and (found := stock.fill(length, capacity - length, most)):
             stock.use((length, *found))
     return stock.patterns + _best_fit(left, capacity)
 

@@ -12,8 +12,8 @@ What is not random is learned from the corpus: the same statistic of all long
 runs of letters only, by length class. A short run is hard to tell from chance
 and long words then score as well as keys do; so a candidate's p-value is the
 share of runs of letters, no longer than its own class, that look at least as
-random. A false-discovery rate (Benjamini and Hochberg) is held within each
-length class. All counts behind it are a histogram of a fixed number of cells.
+random, and one that the battery itself rejects as a uniform draw is out. A
+false-discovery rate (Benjamini and Hochberg) is held within each length class. All counts behind it are a histogram of a fixed number of cells.
 """
 
 from __future__ import annotations
@@ -45,6 +45,9 @@ BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 ALPHABETS = (HEX_LOW, HEX_UP, BASE32, BASE62, BASE62 + "+/", BASE62 + "-_")
 #: Lower ends of the length classes.
 LENGTHS = (20, 24, 32, 48, 64)
+#: What one uniform draw in a thousand exceeds (chi-squared, 8 degrees of freedom). A run
+#: that the battery rejects like that is not random, however little it looks like words.
+REJECTED = 26.12
 #: Cells of the statistic, half a unit wide; the last one is open.
 CELLS = 200
 
@@ -143,7 +146,8 @@ def accepted_cells(
         null += [letters.get((cls, c), 0) for c in range(CELLS)]
         seen = list(accumulate(candidates.get((cls, c), 0) for c in range(CELLS)))
         total, p = seen[-1], (1 + np.cumsum(null)) / (1 + null.sum())
-        good = [c + 1 for c in range(CELLS) if seen[c] and p[c] * total <= rate * seen[c]]
+        tried = range(int(2 * REJECTED))
+        good = [c + 1 for c in tried if seen[c] and p[c] * total <= rate * seen[c]]
         out.append(max(good, default=0))
     return out
 
