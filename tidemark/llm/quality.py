@@ -16,10 +16,13 @@ few words, or too many words in repeated windows).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, let, with_text, words_of
+from tidemark.llm.common import SPACE_RUN, SPACES, let, with_text, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -27,38 +30,56 @@ WINDOW = 8
 ENDING = r"[.!?:;…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
 SEPARATORS = "|»›•·"
 BOILERPLATE = (
-    r"(?i)all rights reserved|licen[sc]ed under|released under the|general public license"
-    r"|copyright \(c\)|©|terms of (use|service)|privacy policy|(accept|use of) cookies"
-    r"|subscribe to our|sign up for|enable javascript"
-)
+    "all rights reserved", "licensed under", "licenced under", "released under the",
+    "general public license", "copyright (c)", "©", "terms of use", "terms of service",
+    "privacy policy", "accept cookies", "use of cookies", "subscribe to our", "sign up for",
+    "enable javascript",
+)
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def _count(text: Column, chars: str) -> Column:
+    return F.regexp_count(text, F.lit(f"[{chars}]"))
 
 
-def line_passes(line: Column) -> Column:
-    """Whether a line survives the three rules; a line without words does."""
-    size = F.length(line)
-    symbols = size - _without(line, SYMBOLS)
-    separators = size - _without(line, SEPARATORS)
-    empty = _without(line, SPACES) == 0
-    good = (
-        line.rlike(ENDING)
-        & (symbols * 10 <= size)
-        & (separators < 3)
-        & ~line.rlike(BOILERPLATE)
+def _word_chars(text: Column) -> Column:
+    return F.length(F.array_join(F.split(text, SPACE_RUN), ""))
+
+
+def _any_of(text: Column, parts: Iterable[str]) -> Column:
+    return reduce(Column.__or__, [text.contains(part) for part in parts])
+
+
+def _wordless(line: Column) -> Column:
+    return F.length(F.btrim(line, F.lit(SPACES))) == 0
+
+
+def _facts(text: Column) -> Column:
+    """What a text has at all, so that lines need not be searched for the rest."""
+    return F.struct(
+        _count(text, SYMBOLS).alias("symbols"),
+        _any_of(text, SEPARATORS).alias("separators"),
+        _any_of(F.lower(text), BOILERPLATE).alias("phrases"),
     )
-    return empty | good
 
 
-def cleaned_text(text: Column) -> Column:
-    """The text without its failing lines."""
-    return F.array_join(F.filter(_lines(text), line_passes), "\n")
+def line_passes(line: Column, facts: Column) -> Column:
+    """Whether a line survives the three rules; a line without words does."""
+    few_symbols = (facts["symbols"] == 0) | (_count(line, SYMBOLS) * 10 <= F.length(line))
+    no_menu = ~facts["separators"] | (_count(line, SEPARATORS) < 3)
+    own_words = ~facts["phrases"] | ~_any_of(F.lower(line), BOILERPLATE)
+    return _wordless(line) | (line.rlike(ENDING) & few_symbols & no_menu & own_words)
+
+
+def kept_lines(text: Column) -> Column:
+    """The text's lines but the failing ones."""
+    return let(
+        _facts(text),
+        lambda facts: F.filter(_lines(text), lambda line: line_passes(line, facts)),
+    )
 
 
 def _repeat_words(words: Column) -> Column:
@@ -116,26 +137,31 @@ def quality(
     """
     text = F.coalesce(text, F.lit(""))
 
+    def left_chars(kept: Column) -> Column:
+        some_fail = F.size(kept) < F.size(_lines(text))
+        return F.when(some_fail, _word_chars(F.array_join(kept, "\n")))
+
     def measures(words: Column) -> Column:
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
-            _without(text, SPACES).cast("long").alias("word_chars"),
-            (F.length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            _count(text, SYMBOLS).cast("long").alias("n_symbols"),
             let(
-                F.filter(_lines(text), lambda line: _without(line, SPACES) > 0),
+                F.filter(_lines(text), lambda line: ~_wordless(line)),
                 lambda lines: F.size(lines) - F.size(F.array_distinct(lines)),
             )
             .cast("long")
             .alias("n_dup_lines"),
             _repeat_words(words).cast("long").alias("n_repeat_words"),
-            _without(cleaned_text(text), SPACES).cast("long").alias("left_chars"),
+            let(kept_lines(text), left_chars).alias("left_chars"),
         )
 
     def verdict(m: Column) -> Column:
         failed = (m["n_words"] < min_words) | (
             100 * m["n_repeat_words"] > max_repeat_percent * m["n_words"]
         )
-        enough = m["left_chars"] >= m["word_chars"] * (1 - max_loss)
+        left = F.coalesce(m["left_chars"], m["word_chars"])
+        enough = left >= m["word_chars"] * (1 - max_loss)
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
         return F.struct(
             *[m[n].alias(n) for n in names],
@@ -153,4 +179,4 @@ def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     there is one, follows the shorter text.
     """
     kept = docs.where(quality(F.col(text_col))["kept"])
-    return with_text(kept, text_col, cleaned_text(F.col(text_col)))
+    return with_text(kept, text_col, F.array_join(kept_lines(F.col(text_col)), "\n"))

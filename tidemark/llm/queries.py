@@ -151,7 +151,7 @@ WITH d AS (
            OR (regexp_matches(x, '{quality.ENDING.replace("'", "''")}')
                AND length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) * 10 <= length(x)
                AND length(regexp_replace(x, '[^{quality.SEPARATORS}]', '', 'g')) < 3
-               AND NOT regexp_matches(x, '{quality.BOILERPLATE}'))
+               AND len(list_filter({list(quality.BOILERPLATE)}, lambda p: contains(lower(x), p))) = 0)
          ), ''), '[\x20\x09-\x0D]', '', 'g')) AS left_chars
   FROM d LEFT JOIN repeats USING (doc_id)
 )
