@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_RUN, SPACES, WORD, stage, with_text
+from tidemark.llm.common import SPACE_RUN, SPACES, WORD, small_side, stage, with_text
 
 _COLUMNS = {"id_col": "doc_id", "text_col": "text", "source_col": "source"}
 #: Hex digits of the hash looked at in each of the two steps of the search.
@@ -114,7 +114,8 @@ def mix(
 
     cut = cut.withColumnRenamed("source", "cut_source")
     goal = goal.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left")
-    one = _by_source(sized, goal.drop("cut_source"))
+    goal = stage(goal.drop("cut_source"), "mix-goals")
+    one = _by_source(sized, small_side(goal, 200))
     prefix = F.substring("order_key", 1, 2 * DIGITS)
     before, at = prefix < F.col("cut"), prefix == F.col("cut")
     inner = Window.partitionBy("source", "cut").orderBy("order_key", "doc_id", "row_key")
