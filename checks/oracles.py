@@ -98,13 +98,15 @@ WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = tgt.order_id AND s.op = 'D'
 SELECT {_COLS} FROM tgt
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = tgt.order_id AND s.op = 'U')
 UNION ALL
-SELECT {_COLS} FROM s
-WHERE op = 'U' AND EXISTS (SELECT 1 FROM tgt WHERE tgt.order_id = s.order_id)""",
+SELECT {_COLS} FROM s WHERE op = 'U'""",
     "merge_insert": f"""{_ALL}
 SELECT {_COLS} FROM tgt
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = tgt.order_id AND s.op = 'U')
+UNION ALL
+SELECT {_COLS} FROM s WHERE op = 'U'
 UNION ALL
 SELECT {_COLS} FROM s
-WHERE op IN ('I','U') AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.order_id = s.order_id)""",
+WHERE op = 'I' AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.order_id = s.order_id)""",
     "merge_noop_rows": f"""{_ALL}
 SELECT tgt.order_id, tgt.amount, tgt.commit_ts
 FROM tgt JOIN s ON tgt.order_id = s.order_id WHERE s.op NOT IN ('U','D')""",
@@ -163,5 +165,12 @@ SELECT {_COLS} FROM log WHERE status = 'O'""",
 SELECT 'orders' AS tbl, 'merge' AS mode, COUNT(*) AS n FROM m
 UNION ALL SELECT 'customers' AS tbl, 'overwrite' AS mode, COUNT(*) AS n FROM customer""",
     "route_merge_only": f"{_ALL} {_MERGE}",
+    "route_skip_empty": f"""WITH {_TGT}
+SELECT 'orders' AS tbl, 'skipped' AS mode, COUNT(*) AS n FROM tgt
+UNION ALL SELECT 'customers', 'overwrite', COUNT(*) FROM customer""",
+    "route_existing_target": f"{_ALL} {_MERGE}",
+    "route_fail_fast": f"""{_ALL}, m AS ({_MERGE})
+SELECT 'orders' AS tbl, 'yes' AS mode, COUNT(*) AS n FROM m
+UNION ALL SELECT 'customers', 'yes', 0""",
     "route_overwrite_only": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from checks.frames import (
 )
 from tidemark.config import DEFAULT_BROADCAST_BYTES, ChangeSpec, JobSpec, TableSpec
 from tidemark.operators.latest import latest_per_pk
-from tidemark.operators.merge import KEYS, NOTHING, merge_cdc, merge_effects
+from tidemark.operators.merge import NOTHING, merge_cdc, merge_effects
 from tidemark.operators.staging import StagedBatch, stage_batch
 from tidemark.plans.job import apply_table, run_job
 from tidemark.sinks import slices, tables
@@ -126,10 +128,16 @@ def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_broadcast_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for a batch of which only the keys fit into every task."""
+    """The plan for a batch of which only the keys are measured to fit into every task."""
     batch = _staged_orders(spark, sf_dir)
-    target = order_target(spark, sf_dir)
-    return merge_cdc(target, batch.rows, ["order_id"], staged_unique=True, broadcast=KEYS)
+    limit = min(batch.size_bytes - 1, DEFAULT_BROADCAST_BYTES)
+    return merge_cdc(
+        order_target(spark, sf_dir),
+        batch.rows,
+        ["order_id"],
+        staged_unique=True,
+        broadcast=batch.broadcast(limit),
+    )
 
 
 def merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,18 +155,12 @@ def merge_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _staged_orders(spark, sf_dir)
-    target = order_target(spark, sf_dir)
-    known = batch.rows.filter("op = 'U'").join(target.select("order_id"), "order_id", "left_semi")
-    return _merge(target, batch, known)
+    return _merge(order_target(spark, sf_dir), batch, batch.rows.filter("op = 'U'"))
 
 
 def merge_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _staged_orders(spark, sf_dir)
-    target = order_target(spark, sf_dir)
-    new = batch.rows.filter("op IN ('I', 'U')").join(
-        target.select("order_id"), "order_id", "left_anti"
-    )
-    return _merge(target, batch, new)
+    return _merge(order_target(spark, sf_dir), batch, batch.rows.filter("op IN ('I', 'U')"))
 
 
 def merge_noop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +205,9 @@ def merge_subset_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_composite_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber"]
     lines = table(spark, sf_dir, "lineitem")
-    target = lines.groupBy(*keys).agg(F.max("l_quantity").alias("qty"))
+    stored = scratch_path(spark)
+    lines.groupBy(*keys).agg(F.max("l_quantity").alias("qty")).write.parquet(stored)
+    target = spark.read.parquet(stored)
     kind = (F.col("l_orderkey") + F.col("l_linenumber")) % 3
     batch = stage_batch(
         target.select(
@@ -384,6 +388,49 @@ def route_overwrite_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(job.tables[1].target)
 
 
+def _counts(spark: SparkSession, results: list[tuple[str, str, str]]) -> DataFrame:
+    """(tbl, mode, n) for (name, what was done, target)."""
+    counted = [
+        spark.table(target).agg(
+            F.lit(name).alias("tbl"), F.lit(done).alias("mode"), F.count(F.lit(1)).alias("n")
+        )
+        for name, done, target in results
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def route_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source without any requested column is skipped, the next table is loaded."""
+    job = _job(spark, sf_dir)
+    orders, customers = job.tables
+    done = run_job(spark, replace(job, tables=(replace(orders, columns=("nothing",)), customers)))
+    targets = [t.target for t in job.tables]
+    return _counts(spark, [(*d, target) for d, target in zip(done, targets)])
+
+
+def route_existing_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Creation is off: the target that exists is merged into."""
+    job = replace(_job(spark, sf_dir), create_tables=False)
+    run_job(spark, job, mode="merge")
+    return spark.table(job.tables[0].target)
+
+
+def route_fail_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second table lacks the operation code: the first is done, the third untouched."""
+    database = scratch_database(spark)
+    orders = _orders_spec(spark, sf_dir, database)
+    customers = _customers_spec(sf_dir, database)
+    keyed = replace(customers, name="keyed", target=f"{database}.keyed", has_pk=True, pk=("c_custkey",))
+    tables.ensure_table(spark, customers.target, table(spark, sf_dir, "customer").limit(0).select(
+        "c_custkey", "c_name", "c_mktsegment").schema)
+    try:
+        run_job(spark, JobSpec(changes=CHANGES, tables=(orders, keyed, customers)))
+        failed = "no"
+    except ValueError:
+        failed = "yes"
+    return _counts(spark, [("orders", failed, orders.target), ("customers", failed, customers.target)])
+
+
 QUERIES: dict[str, Query] = {
     "read_select_existing": read_select_existing,
     "read_json": read_json,
@@ -418,4 +465,7 @@ QUERIES: dict[str, Query] = {
     "route_tables": route_tables,
     "route_merge_only": route_merge_only,
     "route_overwrite_only": route_overwrite_only,
+    "route_skip_empty": route_skip_empty,
+    "route_existing_target": route_existing_target,
+    "route_fail_fast": route_fail_fast,
 }

@@ -5,8 +5,8 @@ import uuid
 
 import pytest
 
-from tidemark import JobSpec, TableSpec, run_job
-from tidemark.sinks import lakehouse
+from tidemark import JobSpec, TableSpec, apply_table, run_job
+from tidemark.sinks import lakehouse, tables
 
 
 @pytest.fixture
@@ -138,7 +138,7 @@ def test_order_of_failure(spark, config, database, caplog):
 
 def test_missing_op_column(spark, config):
     config["tables"][0]["select_columns"] = ["order_id", "amount"]
-    with pytest.raises(ValueError, match="op column 'op' missing"):
+    with pytest.raises(ValueError, match="no operation column 'op'"):
         run_job(spark, config)
 
 
@@ -146,9 +146,9 @@ def test_empty_schema(spark, config, database, caplog):
     config["tables"][0]["select_columns"] = ["gone"]
     config["tables"][1]["select_columns"] = ["gone"]
     assert run_job(spark, config) == [("orders", "skipped"), ("customers", "skipped")]
-    assert "orders: empty schema" in caplog.messages
+    assert "orders: none of the columns ['gone'] was landed" in caplog.messages
     for mode in ("merge", "overwrite"):
-        with pytest.raises(ValueError, match="none of the requested columns"):
+        with pytest.raises(ValueError, match="none of the columns"):
             run_job(spark, config, mode)
 
 
@@ -156,7 +156,11 @@ def test_missing_has_pk(spark, config):
     del config["tables"][1]["has_pk"]
     with pytest.raises(ValueError, match="has_pk"):
         run_job(spark, config)
+    assert run_job(spark, config, "merge") == [("orders", "merge")]
     assert run_job(spark, config, "overwrite") == [("customers", "overwrite")]
+    spec = JobSpec.from_dict(config).tables[1]
+    with pytest.raises(ValueError, match="has_pk"):
+        apply_table(spark, spec, JobSpec.from_dict(config).changes)
 
 
 def test_keyed_table_needs_a_key():
@@ -234,3 +238,57 @@ def test_row_level_targets(spark, config, database, monkeypatch):
         ("create", customers, "iceberg"),
         ("overwrite", customers, ["customer_id", "tier"]),
     ]
+
+
+@pytest.mark.parametrize("said", ["parquet", "PARQUET"])
+def test_format_is_compared_without_case(spark, config, database, said):
+    for table in config["tables"]:
+        table["target_format"] = said
+    run_job(spark, config)
+    assert spark.table(f"{database}.orders").count() == 2
+
+
+def test_route_by_what_the_target_is(spark, config, database, monkeypatch):
+    """A target that the catalog knows in a row-level format is merged by its own MERGE."""
+    kept = {f"{database}.orders": "iceberg"}
+    monkeypatch.setattr(tables, "provider", lambda spark, ident: kept.get(ident))
+    calls = []
+    monkeypatch.setattr(lakehouse, "ensure_table", lambda spark, *a, **k: calls.append(a[2]))
+    monkeypatch.setattr(lakehouse, "merge_into", lambda ident, *a: calls.append(ident))
+    assert run_job(spark, config, "merge") == [("orders", "merge")]
+    assert calls == ["iceberg", f"{database}.orders"]
+    kept[f"{database}.orders"] = "csv"
+    with pytest.raises(ValueError, match="kept as 'csv'"):
+        run_job(spark, config, "merge")
+
+
+def test_existing_table_of_another_format_is_refused(spark, config, database):
+    spark.sql(f"CREATE TABLE {database}.orders (order_id bigint, amount double) USING json")
+    with pytest.raises(ValueError, match="kept as 'json'"):
+        run_job(spark, config)
+
+
+def test_key_in_another_case(spark, config, database):
+    config["tables"][0]["pk"] = ["ORDER_ID"]
+    run_job(spark, config)
+    run_job(spark, config)
+    assert rows(spark.table(f"{database}.orders")) == [(1, 2.0, 2), (2, 5.0, 1)]
+
+
+def test_empty_batch_writes_nothing(spark, config, database, tmp_path):
+    run_job(spark, config)
+    made = sorted(t.name for t in spark.catalog.listTables(database))
+    land(spark, tmp_path / "orders", [], ORDERS)
+    run_job(spark, config, "merge")
+    assert sorted(t.name for t in spark.catalog.listTables(database)) == made
+
+
+def test_nothing_staged_is_left(spark, config):
+    before = {d.name for d in spark.catalog.listDatabases()}
+    run_job(spark, config)
+    assert {d.name for d in spark.catalog.listDatabases()} <= before
+
+
+def test_broadcast_has_a_bound():
+    with pytest.raises(ValueError, match="below 8 GB"):
+        TableSpec("t", "/p", "d.t", True, ("k",), broadcast_bytes=8 * 1024**3)

@@ -62,3 +62,8 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     before_shuffle = plan.split("Exchange hashpartitioning")[1]
     assert "WindowGroupLimit" in before_shuffle and "row_number(), 1, Partial" in before_shuffle
     assert latest.filter("k = -1").collect()[0]["ts"] == 29997
+
+
+def test_names_resolve_as_in_sql(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], LOG)
+    assert rows(latest_per_pk(df, ["K"], "ts", ["V"])) == [(1, 2, "b")]

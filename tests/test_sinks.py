@@ -116,6 +116,67 @@ def test_plain_table_as_target(spark, database):
     tables.publish(spark, target, spark.table(target).filter("k > 0"))
     assert rows(spark.table(target)) == [(1,), (2,)]
     assert names(spark, database) == ["plain", "plain__v7"]
+    assert spark.table(f"{target}__v7").count() == 1
+
+
+def test_others_tables_are_left_alone(spark, database):
+    target = f"{database}.t"
+    for n in (0, 7):
+        spark.range(5).write.saveAsTable(f"{target}__v{n}")
+    df = spark.range(2).select(F.col("id").alias("k"))
+    tables.ensure_table(spark, target, df.schema)
+    for _ in range(3):
+        tables.overwrite(spark, target, df)
+    assert spark.table(target).count() == 2
+    assert [spark.table(f"{target}__v{n}").count() for n in (0, 7)] == [5, 5]
+    assert names(spark, database) == ["t", "t__v0", "t__v10", "t__v11", "t__v7"]
+
+
+def test_a_lost_view_is_not_replaced_by_an_empty_target(spark, database):
+    target = f"{database}.t"
+    df = spark.range(4).select(F.col("id").alias("k"))
+    tables.ensure_table(spark, target, df.schema)
+    tables.overwrite(spark, target, df)
+    spark.sql(f"DROP VIEW {target}")
+    with pytest.raises(ValueError, match="without their view"):
+        tables.ensure_table(spark, target, df.schema)
+    assert spark.table(f"{target}__v1").count() == 4
+
+
+def test_an_interrupted_overwrite_is_repeated(spark, database, monkeypatch):
+    target = f"{database}.plain"
+    df = spark.range(5).select(F.col("id").alias("k"))
+    df.write.saveAsTable(target)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_finish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.publish(spark, target, spark.table(target).filter("k > 0"))
+    spark.sql(f"TRUNCATE TABLE {target}")  # what a failed overwrite leaves
+    with pytest.raises(ValueError, match="interrupted"):
+        tables.publish(spark, target, spark.table(target))
+    assert not tables.ensure_table(spark, target, df.schema)
+    assert spark.table(target).count() == 4
+    tables.publish(spark, target, spark.table(target).filter("k > 1"))
+    assert names(spark, database) == ["plain"] and spark.table(target).count() == 3
+
+
+def test_rows_in_place_are_not_shuffled_for_partitions(spark, database):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    tables.ensure_table(spark, target, df.schema, partition_by=["p"])
+    tables.overwrite(spark, target, df)
+    seen = []
+    write = tables._write_snapshot
+    tables._write_snapshot = lambda spark, rows, *a: (seen.append(rows), write(spark, rows, *a))
+    try:
+        tables.publish(spark, target, spark.table(target), df.limit(0))
+    finally:
+        tables._write_snapshot = write
+    plan = seen[0]._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("rebalance") == 1
+    in_place, moved = plan.split("Union")[1].split("\n:- ")[1].split("\n+- ")
+    assert "rebalance" not in in_place.lower() and "rebalance" in moved.lower()
+    assert spark.table(target).count() == 2
 
 
 def test_foreign_view_is_refused(spark, database):

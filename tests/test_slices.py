@@ -3,7 +3,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark import ChangeSpec, TableSpec, apply_table, stage_batch
@@ -32,35 +32,38 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def parts(spark, target):
-    """Slice -> version of the current partitions."""
-    return dict(p.removeprefix("k_").split("@") for p in slices._current(spark, target))
+def files(spark, target):
+    """Slice -> the names of its files."""
+    store = spark.read.table(f"{target}__slices")
+    out = {}
+    for r in store.select("__slice", F.input_file_name().alias("f")).distinct().collect():
+        out.setdefault(r["__slice"].removeprefix("k_"), set()).add(r["f"].rpartition("/")[2])
+    return out
 
 
-def apply(spark, target, data, **options):
+def slices_of(spark, target):
+    listed = spark.sql(f"SHOW PARTITIONS {target}__slices").collect()
+    return sorted(r[0].partition("=")[2].removeprefix("k_") for r in listed)
+
+
+def apply(spark, target, data, unique=True, **options):
     batch = stage_batch(spark.createDataFrame(data, "k int, v string, op string"), ["k"])
-    slices.merge(spark, target, batch, ["k"], **options)
+    slices.merge(spark, target, batch, ["k"], staged_unique=unique, **options)
+    batch.release()
 
 
 def test_load(spark, target):
     assert spark.table(target).columns == ["k", "v"]
     assert spark.table(target).count() == 50
-    assert sorted(parts(spark, target)) == ["0", "1", "2", "3", "4"]
-    assert len(set(parts(spark, target).values())) == 1
+    assert slices_of(spark, target) == ["0", "1", "2", "3", "4"]
 
 
 @pytest.mark.parametrize("limit", [0, 100, 1 << 20])
-@pytest.mark.parametrize("unique", [True, False])
-def test_only_touched_slices_are_written(spark, target, limit, unique):
-    before = parts(spark, target)
-    apply(
-        spark,
-        target,
-        [(3, "x", "U"), (21, "x", "D"), (77, "x", "I"), (78, "x", "D")],
-        staged_unique=unique,
-        broadcast_bytes=limit,
-    )
-    after = parts(spark, target)
+def test_only_touched_slices_are_written(spark, target, limit):
+    before = files(spark, target)
+    batch = [(3, "x", "U"), (21, "x", "D"), (77, "x", "I"), (78, "x", "D")]
+    apply(spark, target, batch, broadcast_bytes=limit)
+    after = files(spark, target)
     assert sorted(after) == ["0", "1", "2", "3", "4", "7"]
     assert {s for s in before if after[s] != before[s]} == {"0", "2"}
     expected = [(k, "x" if k == 3 else "a") for k in range(50) if k != 21] + [(77, "x")]
@@ -69,7 +72,7 @@ def test_only_touched_slices_are_written(spark, target, limit, unique):
 
 def test_emptied_slice(spark, target):
     apply(spark, target, [(k, "", "D") for k in range(10, 20)])
-    assert sorted(parts(spark, target)) == ["0", "2", "3", "4"]
+    assert slices_of(spark, target) == ["0", "2", "3", "4"]
     assert spark.table(target).count() == 40
     apply(spark, target, [(11, "back", "I")])
     assert spark.table(target).filter("k = 11").collect()[0]["v"] == "back"
@@ -82,21 +85,81 @@ def test_everything_deleted(spark, target):
     assert rows(spark.table(target)) == [(1, "b")]
 
 
-def test_rows_without_a_key_are_only_added(spark, target, monkeypatch):
-    def keyless():
-        return {p for p in slices._current(spark, target) if p.startswith("keyless@")}
-
+def test_rows_without_a_key_are_only_added(spark, target):
     apply(spark, target, [(None, "x", "U"), (None, "y", "D")])
-    before = keyless()
+    before = files(spark, target)["keyless"]
     apply(spark, target, [(None, "z", "I"), (1, "b", "U")])
-    assert before < keyless() and len(keyless()) == 2
+    assert before < files(spark, target)["keyless"]
     assert rows(spark.table(target).filter("k IS NULL")) == [(None, "x"), (None, "z")]
-    monkeypatch.setattr(slices, "MAX_KEYLESS", 2)
-    apply(spark, target, [(None, "w", "I")])
-    assert len(keyless()) == 1
-    expected = [(None, "w"), (None, "x"), (None, "z")]
-    assert rows(spark.table(target).filter("k IS NULL")) == expected
-    assert spark.table(target).count() == 53
+    assert spark.table(target).count() == 52
+
+
+def test_repeated_keys_are_refused(spark, target):
+    with pytest.raises(ValueError, match="one row a key"):
+        apply(spark, target, [(1, "x", "U"), (1, "y", "U")], unique=False)
+    assert spark.table(target).filter("v = 'a'").count() == 50
+
+
+def test_a_merge_that_broke_off_is_repaired_by_the_batch(spark, target, monkeypatch):
+    batch = [(k, "", "D") for k in range(10, 20)] + [(1, "x", "U"), (60, "n", "I")]
+    with monkeypatch.context() as m:
+        m.setattr(slices, "_drop", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            apply(spark, target, batch)
+    apply(spark, target, batch)
+    got = rows(spark.table(target))
+    assert len(got) == 41 and (1, "x") in got and (60, "n") in got
+
+
+def test_slice_value_like_sql_text(spark, database):
+    name = f"{database}.t"
+    df = spark.createDataFrame([("a WHERE b", 1), ("c", 2), ("z", 3)], "k string, v int")
+    slices.ensure_table(spark, name, df.schema, ["k"], "k")
+    slices.overwrite(spark, name, df)
+    batch = stage_batch(spark.createDataFrame([("c", 9, "U")], "k string, v int, op string"), ["k"])
+    slices.merge(spark, name, batch, ["k"], staged_unique=True)
+    assert rows(spark.table(name)) == [("a WHERE b", 1), ("c", 9), ("z", 3)]
+
+
+def test_zeros_of_either_sign_are_one_key(spark, database):
+    name = f"{database}.t"
+    df = spark.createDataFrame([(0.0, 1), (2.5, 2)], "k double, v int")
+    slices.ensure_table(spark, name, df.schema, ["k"], "k")
+    slices.overwrite(spark, name, df)
+    batch = stage_batch(spark.createDataFrame([(-0.0, 9, "U")], "k double, v int, op string"), ["k"])
+    slices.merge(spark, name, batch, ["k"], staged_unique=True)
+    assert rows(spark.table(name)) == [(0.0, 9), (2.5, 2)]
+
+
+def test_instants_are_sliced_in_one_time_zone(spark, database):
+    name = f"{database}.t"
+    df = spark.sql("SELECT timestamp'2024-01-01 23:00:00' AS k, 1 AS v")
+    slices.ensure_table(spark, name, df.schema, ["k"], "cast(k AS date)")
+    slices.overwrite(spark, name, df)
+    batch = stage_batch(df.select("k", F.lit(2).alias("v"), F.lit("U").alias("op")), ["k"])
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        with pytest.raises(ValueError, match="time zone"):
+            slices.merge(spark, name, batch, ["k"], staged_unique=True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    slices.merge(spark, name, batch, ["k"], staged_unique=True)
+    assert [r["v"] for r in spark.table(name).collect()] == [2]
+
+
+@pytest.mark.parametrize("rule", ["rand()", "k + uuid()", "current_date()"])
+def test_rules_that_change_are_refused(spark, database, rule):
+    schema = spark.createDataFrame([], "k int").schema
+    with pytest.raises(ValueError, match="may change"):
+        slices.ensure_table(spark, f"{database}.t", schema, ["k"], rule)
+
+
+def test_a_lost_view_is_not_replaced_by_an_empty_target(spark, target):
+    spark.sql(f"DROP VIEW {target}")
+    schema = spark.createDataFrame([], "k bigint, v string").schema
+    with pytest.raises(ValueError, match="without its view"):
+        slices.ensure_table(spark, target, schema, ["k"], "k div 10")
+    assert spark.table(f"{target}__slices").count() == 50
 
 
 def test_slice_expression_may_be_null(spark, database):
@@ -119,28 +182,9 @@ def test_empty_batch(spark, target):
     assert spark.table(target).count() == 50
 
 
-def test_old_versions_are_dropped_one_merge_later(spark, target):
-    reader = spark.table(target)
-    apply(spark, target, [(1, "x", "U")])
-    assert reader.filter("k = 1").collect()[0]["v"] == "a"
-    previous = parts(spark, target)["0"]
-    apply(spark, target, [(2, "x", "U")])
-    kept = {p for p in slices._written(spark, target) if p.startswith("k_0@")}
-    assert kept == {f"k_0@{previous}", "k_0@" + parts(spark, target)["0"]}
-
-
-def test_failed_merge_changes_nothing(spark, target):
-    with pytest.raises(PySparkException, match="several batch rows"):
-        apply(spark, target, [(1, "x", "U"), (1, "y", "U"), (30, "x", "D")])
-    assert spark.table(target).filter("v = 'a'").count() == 50
-    apply(spark, target, [(1, "x", "U")])
-    assert spark.table(target).filter("v = 'x'").count() == 1
-
-
 def test_scan_is_pruned(spark, target):
-    apply(spark, target, [(1, "x", "U")])
-    plan = spark.table(target)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [__slice" in plan
+    plan = spark.table(f"{target}__slices").filter("__slice = 'k_1'")
+    assert "PartitionFilters: [isnotnull(__slice" in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hash_slices_use_the_stored_type(spark, database):
@@ -174,13 +218,13 @@ def test_slice_must_follow_from_the_key(spark, database):
         apply(spark, name, [(1, "x", "U")])
 
 
-def test_too_many_slices(spark, target, monkeypatch):
-    monkeypatch.setattr(slices, "MAX_SLICES", 5)
-    with pytest.raises(ValueError, match="coarser"):
-        apply(spark, target, [(k, "x", "U") for k in range(0, 60, 10)])
-    with pytest.raises(ValueError, match="coarser"):
-        apply(spark, target, [(70, "x", "U")])
-    assert spark.table(target).filter("v = 'a'").count() == 50
+def test_many_slices(spark, database):
+    name = f"{database}.t"
+    df = spark.range(1200).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    slices.ensure_table(spark, name, df.schema, ["k"], "k")
+    slices.overwrite(spark, name, df)
+    apply(spark, name, [(k, "", "D") for k in range(1100)])
+    assert len(slices_of(spark, name)) == 100 == spark.table(name).count()
 
 
 def test_other_targets_are_refused(spark, database, target):

@@ -25,10 +25,13 @@ def test_drop_op_is_exact(spark, frame):
     assert drop_op(frame, "v").columns == ["k", "op"]
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "Parquet", "PARQUET", "orc", "json", "JSON"])
+CLASS_NAME = "org.apache.spark.sql.execution.datasources.json.JsonFileFormat"
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "Parquet", "PARQUET", "orc", "json", "JSON", CLASS_NAME])
 def test_formats(frame, spark, tmp_path, fmt):
     path = str(tmp_path / "landed")
-    frame.write.format(fmt.lower()).save(path)
+    frame.write.format("json" if fmt == CLASS_NAME else fmt.lower()).save(path)
     got = read_landed(spark, path, fmt, ["v", "op"])
     assert [tuple(r) for r in got.collect()] == [("a", "I")]
 

@@ -12,6 +12,8 @@ DEFAULT_FORMAT = "parquet"
 # A batch measured at or below this many bytes in memory is broadcast to the
 # target's scan tasks; a larger one is shuffle-joined.
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+# Spark broadcasts no table of 8 GB or more.
+MAX_BROADCAST_BYTES = 8 * 1024**3 - 1
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,9 @@ class TableSpec:
     def __post_init__(self) -> None:
         if self.has_pk and not self.pk:
             raise ValueError(f"{self.name}: a keyed table needs at least one key column")
-        if self.slice_by and not (self.has_pk and self.target_format == DEFAULT_FORMAT):
+        if not 0 <= self.broadcast_bytes <= MAX_BROADCAST_BYTES:
+            raise ValueError(f"{self.name}: broadcast_bytes must be below 8 GB")
+        if self.slice_by and not (self.has_pk and self.target_format.lower() == DEFAULT_FORMAT):
             raise ValueError(f"{self.name}: slice_by is for keyed {DEFAULT_FORMAT} targets")
 
 

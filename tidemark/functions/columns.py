@@ -42,6 +42,24 @@ def require_columns(df: DataFrame, names: Sequence[str], what: str) -> None:
         raise ValueError(f"{what}: missing column(s) {missing}, found {df.columns}")
 
 
+def resolved(df: DataFrame, names: Sequence[str], what: str) -> list[str]:
+    """The columns of ``df`` that ``names`` mean, as SQL resolves names.
+
+    Case counts only in a case-sensitive session. Raises ``ValueError`` for a
+    name that means no column, or several.
+    """
+    same_case = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    out = []
+    for name in names:
+        fits = [c for c in df.columns if c == name]
+        if not fits and not same_case:
+            fits = [c for c in df.columns if c.lower() == name.lower()]
+        if len(fits) != 1:
+            raise ValueError(f"{what}: no one column {name!r} among {df.columns}")
+        out += fits
+    return out
+
+
 def row_bytes(schema: T.StructType) -> Column:
     """Estimate of one row's size in memory, from its own values.
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import named, no_rows, require_columns, row_bytes
+from tidemark.functions.columns import named, resolved, row_bytes
 from tidemark.operators.merge import KEYS, NOTHING, ROWS
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -20,13 +20,13 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets a fresh temporary
-    folder, one per application.
+    Only a session that is known to be local may do without the setting; it
+    gets a fresh temporary folder, one per application.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
@@ -39,7 +39,7 @@ class StagedBatch:
     """A change batch written to the shared folder, with its measured size."""
 
     rows: DataFrame
-    path: str
+    database: str
     count: int
     size_bytes: int
     key_bytes: int
@@ -51,9 +51,8 @@ class StagedBatch:
         return KEYS if self.key_bytes <= limit else NOTHING
 
     def release(self) -> None:
-        """Give the space back: the folder is left with an empty batch."""
-        empty = no_rows(self.rows.sparkSession, self.rows.schema)
-        empty.write.mode("overwrite").parquet(self.path)
+        """Drop the copy and its files."""
+        self.rows.sparkSession.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
 
 
 def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:
@@ -65,17 +64,19 @@ def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:
     sizes in memory are measured by the same job, as the rows are written; a
     task that has to be run again may count twice, which errs on the safe side.
     """
-    require_columns(df, pk, "stage_batch")
+    keys = resolved(df, pk, "stage_batch")
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    # A database of its own, so that its files go when it is dropped.
+    database = f"tidemark_staged_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_dir(spark)}/{database}'")
     seen = Observation()
     measured = df.observe(
         seen,
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("size"),
-        F.coalesce(F.sum(row_bytes(df.select(*map(named, pk)).schema)), F.lit(0)).alias("keys"),
+        F.coalesce(F.sum(row_bytes(df.select(*map(named, keys)).schema)), F.lit(0)).alias("keys"),
     )
-    measured.write.parquet(path)
+    measured.write.format("parquet").saveAsTable(f"{database}.batch")
     totals = seen.get
-    rows = spark.read.schema(df.schema).parquet(path)
-    return StagedBatch(rows, path, totals["n"], totals["size"], totals["keys"])
+    rows = spark.table(f"{database}.batch")
+    return StagedBatch(rows, database, totals["n"], totals["size"], totals["keys"])

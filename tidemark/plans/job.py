@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import DEFAULT_FORMAT, ChangeSpec, JobSpec, TableSpec
 from tidemark.operators.latest import latest_per_pk
-from tidemark.operators.merge import merge_cdc
+from tidemark.operators.merge import merge_parts
 from tidemark.operators.staging import stage_batch
 from tidemark.sinks import lakehouse, slices, tables
 from tidemark.sources.landed import drop_op, read_landed
@@ -38,12 +39,12 @@ def run_job(
     if not isinstance(job, JobSpec):
         job = JobSpec.from_dict(job)
     wanted = [t for t in job.tables if mode == ALL or bool(t.has_pk) == (mode == MERGE)]
+    if mode == OVERWRITE:  # takes every table that is not said to have a key
+        wanted = [replace(t, has_pk=False) for t in wanted]
     done = []
     for table in wanted:
         logger.info("%s: start", table.name)
         try:
-            if table.has_pk is None and mode == ALL:
-                raise ValueError(f"{table.name}: has_pk is not set")
             action = apply_table(
                 spark, table, job.changes, job.create_tables, skip_empty=mode == ALL
             )
@@ -69,6 +70,8 @@ def apply_table(
     of the requested columns is skipped with a warning, or raises if
     ``skip_empty`` is false.
     """
+    if table.has_pk is None:
+        raise ValueError(f"{table.name}: has_pk is not set")
     landed = read_landed(
         spark,
         table.source_path,
@@ -79,8 +82,8 @@ def apply_table(
     )
     if not landed.columns:
         if not skip_empty:
-            raise ValueError(f"{table.name}: none of the requested columns was landed")
-        logger.warning("%s: empty schema", table.name)
+            raise ValueError(f"{table.name}: none of the columns {list(table.columns)} was landed")
+        logger.warning("%s: none of the columns %s was landed", table.name, list(table.columns))
         return SKIPPED
     if table.has_pk:
         _merge(spark, table, changes, landed, create)
@@ -89,17 +92,33 @@ def apply_table(
     return OVERWRITE
 
 
+def _target_format(spark: SparkSession, table: TableSpec) -> str:
+    """How the target is kept: what the job says, or what the catalog knows.
+
+    A target that exists in another format than Parquet is merged by its own
+    MERGE if the format has one, and refused if it is not known to have one.
+    """
+    said = table.target_format.lower()
+    known = tables.provider(spark, table.target)
+    if said != DEFAULT_FORMAT or known in (None, DEFAULT_FORMAT):
+        return said
+    if known in lakehouse.ROW_LEVEL:
+        return known
+    raise ValueError(f"{table.name}: the target is kept as {known!r}; name its target_format")
+
+
 def _merge(
     spark: SparkSession, table: TableSpec, changes: ChangeSpec, landed: DataFrame, create: bool
 ) -> None:
     op_col = changes.op_column
     if op_col not in landed.columns:
-        raise ValueError(f"{table.name}: op column {op_col!r} missing")
+        raise ValueError(f"{table.name}: no operation column {op_col!r} in {landed.columns}")
     latest = latest_per_pk(landed, table.pk, changes.ts_column, changes.tie_columns)
     unique = latest is not landed
     schema = latest.schema
-    if table.target_format != DEFAULT_FORMAT:
-        lakehouse.ensure_table(spark, table.target, schema, table.target_format, op_col, create)
+    fmt = _target_format(spark, table)
+    if fmt != DEFAULT_FORMAT:
+        lakehouse.ensure_table(spark, table.target, schema, fmt, op_col, create)
     elif table.slice_by:
         slices.ensure_table(
             spark, table.target, schema, table.pk, table.slice_by, op_col, create
@@ -109,7 +128,9 @@ def _merge(
 
     batch = stage_batch(latest, table.pk)
     try:
-        if table.target_format != DEFAULT_FORMAT:
+        if not batch.count:
+            logger.info("%s: nothing to merge", table.name)
+        elif fmt != DEFAULT_FORMAT:
             lakehouse.merge_into(table.target, batch.rows, table.pk, op_col, changes.ops)
         elif table.slice_by:
             slices.merge(
@@ -123,7 +144,7 @@ def _merge(
                 broadcast_bytes=table.broadcast_bytes,
             )
         else:
-            merged = merge_cdc(
+            in_place, moved = merge_parts(
                 spark.table(table.target),
                 batch.rows,
                 table.pk,
@@ -132,7 +153,7 @@ def _merge(
                 staged_unique=unique,
                 broadcast=batch.broadcast(table.broadcast_bytes),
             )
-            tables.publish(spark, table.target, merged)
+            tables.publish(spark, table.target, in_place, moved)
     finally:
         batch.release()
 
@@ -141,10 +162,9 @@ def _overwrite(
     spark: SparkSession, table: TableSpec, changes: ChangeSpec, landed: DataFrame, create: bool
 ) -> None:
     rows = drop_op(landed, changes.op_column)
-    if table.target_format != DEFAULT_FORMAT:
-        lakehouse.ensure_table(
-            spark, table.target, rows.schema, table.target_format, enabled=create
-        )
+    fmt = _target_format(spark, table)
+    if fmt != DEFAULT_FORMAT:
+        lakehouse.ensure_table(spark, table.target, rows.schema, fmt, enabled=create)
         lakehouse.overwrite_partitions(table.target, rows)
         return
     tables.ensure_table(spark, table.target, rows.schema, enabled=create)

@@ -22,6 +22,9 @@ from tidemark.sinks.tables import table_schema
 
 logger = logging.getLogger(__name__)
 
+#: Formats whose tables run MERGE.
+ROW_LEVEL = frozenset({"iceberg", "delta", "hudi"})
+
 
 def ensure_table(
     spark: SparkSession,

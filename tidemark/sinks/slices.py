@@ -1,19 +1,20 @@
 """Targets far larger than their batches: only the slices a batch touches move.
 
-The rows of ``db.orders`` lie in ``db.orders__slices``, partitioned by slice
-and version. A slice is a function of the key columns, given as a SQL
-expression: ``order_id div 10000000`` suits growing keys whose changes are
-mostly recent, ``pmod(xxhash64(order_id), 1024)`` spreads any key. As a key has
-exactly one slice, a batch can only match rows in the slices of its own keys.
-A merge reads those slices, writes them anew under a new version and leaves
-the rest alone. The view ``db.orders`` names the partitions that are current,
-so a merge becomes visible at once when the view is replaced; a slice that was
-emptied is simply no longer named.
-
-Rows without a full key match nothing, so they are only ever added: each batch
-puts its own into a new partition, whatever their number in the target.
-
-The number of slices is limited, because their names pass through the driver.
+The rows of ``db.orders`` lie in the ordinary table ``db.orders__slices``,
+partitioned by slice; ``db.orders`` is a view that leaves the slice out. A slice
+is a function of the key columns, given as a SQL expression: ``order_id div
+10000000`` suits growing keys whose changes are mostly recent,
+``pmod(xxhash64(order_id), 1024)`` spreads any key. As a key has exactly one
+slice, a batch can only match rows in the slices of its own keys. A merge finds
+them by a join with the batch's distinct slices, which prunes the partitions
+that are read, and replaces them by a dynamic partition overwrite.
+
+Partitions are exchanged one after the other: a merge that breaks off leaves
+some slices merged and others not, and is repaired by merging the same batch
+again. That holds for batches of one row a key only, so others are refused.
+
+Rows without a full key match nothing. They have a partition of their own to
+which a batch's are appended, last; merging a batch again appends them again.
 One writer per table is assumed.
 """
 
@@ -21,34 +22,33 @@ from __future__ import annotations
 
 import json
 import logging
-import re
-import uuid
-from collections.abc import Iterable, Sequence
-from urllib.parse import unquote
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_BROADCAST_BYTES, DEFAULT_OP_COLUMN, OpCodes
 from tidemark.functions.columns import all_set, named, no_rows, quoted
 from tidemark.operators.merge import merge_parts
-from tidemark.operators.staging import StagedBatch
-from tidemark.sinks.tables import in_target_order, sql_name, table_schema
+from tidemark.operators.staging import StagedBatch, stage_batch
+from tidemark.sinks.tables import in_target_order, session_conf, sql_name, table_schema
 
 logger = logging.getLogger(__name__)
 
-MAX_SLICES = 10_000
-MAX_KEYLESS = 100
-
 _SLICE = "__slice"
 _SLICE_BY = "tidemark.slice_by"
 _KEY = "tidemark.key"
+_ZONE = "tidemark.time_zone"
 
 # Keyed slices have a prefix, so that no value can be taken for the other.
 _KEYED = "k_"
 _KEYLESS = "keyless"
 
+#: Emptied partitions dropped by one command; bounds what the driver holds.
+_DROP_AT_ONCE = 500
+
 
 def ensure_table(
     spark: SparkSession,
@@ -61,35 +61,41 @@ def ensure_table(
 ) -> bool:
     """Create the target, empty, if it does not exist; say whether it did.
 
-    The key and the expression stay with the table: rows found by one rule must
-    not be looked for by another.
+    The key, the expression and, for keys that are instants, the session's time
+    zone stay with the table: rows found by one rule must not be looked for by
+    another. An expression that may change between two runs is refused, and so
+    is a store without its view, which may hold rows.
     """
     if not enabled:
         logger.info("%s: table creation is off", ident)
         return False
     if spark.catalog.tableExists(ident):
         return False
-    fields = table_schema(schema, op_col).fields
-    stored = T.StructType([*fields, T.StructField(_SLICE, T.StringType())])
+    if spark.catalog.tableExists(_store(ident)):
+        raise ValueError(f"{ident}: {_store(ident)} exists without its view")
+    stored = table_schema(schema, op_col)
+    _check_rule(no_rows(spark, stored), slice_by)
     store = sql_name(_store(ident))
-    no_rows(spark, stored).write.mode("overwrite").partitionBy(_SLICE).saveAsTable(store)
-    spark.sql(
-        f"ALTER TABLE {store} SET TBLPROPERTIES ("
-        f"'{_KEY}' = {_literal(json.dumps(list(pk)))}, '{_SLICE_BY}' = {_literal(slice_by)})"
-    )
-    _point_view(spark, ident, [])
+    with_slice = T.StructType([*stored.fields, T.StructField(_SLICE, T.StringType())])
+    no_rows(spark, with_slice).write.mode("errorifexists").partitionBy(_SLICE).saveAsTable(store)
+    properties = {
+        _KEY: json.dumps(list(pk)),
+        _SLICE_BY: slice_by,
+        _ZONE: spark.conf.get("spark.sql.session.timeZone"),
+    }
+    listed = ", ".join(f"'{k}' = {_literal(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {store} SET TBLPROPERTIES ({listed})")
+    columns = ", ".join(quoted(f.name) for f in stored.fields)
+    spark.sql(f"CREATE VIEW {sql_name(ident)} AS SELECT {columns} FROM {store}")
     logger.info("%s: created", ident)
     return True
 
 
 def overwrite(spark: SparkSession, ident: str, rows: DataFrame) -> None:
-    """Replace the whole contents; ``rows`` may read the target."""
-    current = _current(spark, ident)
-    version = _new_version()
-    ordered = in_target_order(spark, ident, rows)
-    sliced = ordered.withColumn(_SLICE, _part(*_rule(spark, ident), version))
-    _write(spark, ident, sliced.hint("rebalance", named(_SLICE)))
-    _publish(spark, ident, current, [], version)
+    """Replace the whole contents; ``rows`` must not read the target."""
+    sliced = _sliced(spark, ident, in_target_order(spark, ident, rows))
+    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+        _grouped(sliced).write.insertInto(sql_name(_store(ident)), overwrite=True)
 
 
 def merge(
@@ -104,143 +110,121 @@ def merge(
 ) -> None:
     """Merge a staged batch, reading and writing only the slices of its keys.
 
-    The effects are those of :func:`tidemark.operators.merge.merge_cdc`.
+    The effects are those of :func:`tidemark.operators.merge.merge_cdc`. A batch
+    that may have several rows of one key raises ``ValueError``.
     """
-    current = _current(spark, ident)
-    version = _new_version()
-    key, slice_by = _rule(spark, ident)
+    key, _ = _rule(spark, ident)
     if sorted(key) != sorted(pk):
         raise ValueError(f"{ident}: kept by key {key}, not by {list(pk)}")
+    if not staged_unique:
+        raise ValueError(f"{ident}: a sliced target takes batches of one row a key only")
+    if not batch.count:
+        return
     store = spark.table(_store(ident))
-
-    touched = _touched(batch.rows, store.schema, pk, slice_by, op_col, ops, staged_unique)
-    if sum(_slice(part) == _KEYLESS for part in current) >= MAX_KEYLESS:
-        touched.add(_KEYLESS)  # write them anew, as one partition
-    scope = [part for part in current if _slice(part) in touched]
-    untouched = [part for part in current if _slice(part) not in touched]
-    logger.info("%s: %d of %d slices touched", ident, len(scope), len(current))
-
-    in_place, moved = merge_parts(
-        store.filter(named(_SLICE).isin(scope)).drop(_SLICE),
-        batch.rows,
-        pk,
-        op_col,
-        ops,
-        staged_unique,
-        batch.broadcast(broadcast_bytes),
-    )
-    # Rows that were not moved are still grouped by slice, as they were read.
-    part = _part(key, slice_by, version)
-    moved = moved.withColumn(_SLICE, part).hint("rebalance", named(_SLICE))
-    _write(spark, ident, in_place.withColumn(_SLICE, part).unionByName(moved))
-    _publish(spark, ident, current, untouched, version)
-
-
-def _touched(
-    rows: DataFrame,
-    stored: T.StructType,
-    pk: Sequence[str],
-    slice_by: str,
-    op_col: str,
-    ops: OpCodes,
-    unique: bool,
-) -> set[str]:
-    """Slices of the batch's full keys, at most :data:`MAX_SLICES`.
-
-    Keys take the stored type first: a hash depends on it. In a batch with
-    repeated keys even a row without effect is looked up, as a repeat is an
-    error when it matches.
+    types = _types(spark, ident)
+    in_effect = batch.rows.filter(named(op_col).isin(ops.insert, ops.update, ops.delete))
+    keyed = in_effect.filter(all_set(pk))
+    # Keys take the stored type first: a hash depends on it.
+    keys = keyed.select(*[named(k).cast(types[k.lower()]).alias(k) for k in pk])
+    touched = stage_batch(_sliced(spark, ident, keys).select(_SLICE).distinct(), [_SLICE])
+    emptied = None
+    try:
+        wanted = touched.rows
+        if touched.size_bytes <= broadcast_bytes:
+            wanted = F.broadcast(wanted)
+        scope = store.join(wanted, _SLICE, "left_semi").select(*store.columns)
+        in_place, moved = merge_parts(
+            scope.drop(_SLICE), keyed, pk, op_col, ops, True, batch.broadcast(broadcast_bytes)
+        )
+        after = _sliced(spark, ident, in_place.unionByName(moved)).select(_SLICE).distinct()
+        before = scope.select(_SLICE).distinct()
+        emptied = stage_batch(before.join(after, _SLICE, "left_anti"), [_SLICE])
+
+        # Rows that were not moved are still grouped by slice, as they were read.
+        merged = _sliced(spark, ident, in_place).unionByName(
+            _grouped(_sliced(spark, ident, moved))
+        )
+        with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            merged.write.insertInto(sql_name(_store(ident)), overwrite=True)
+        _drop(spark, ident, (r[_SLICE] for r in emptied.rows.toLocalIterator()))
+
+        keyless = in_effect.filter(~all_set(pk) & named(op_col).isin(ops.insert, ops.update))
+        added = in_target_order(spark, ident, _filled(keyless.drop(op_col), store))
+        added.withColumn(_SLICE, F.lit(_KEYLESS)).write.insertInto(sql_name(_store(ident)))
+    finally:
+        for staged in (touched, emptied):
+            if staged is not None:
+                staged.release()
+
+
+def _filled(rows: DataFrame, store: DataFrame) -> DataFrame:
+    """``rows`` with NULL for the target's columns they lack."""
+    have = {c.lower() for c in rows.columns}
+    missing = [c for c in store.columns if c != _SLICE and c.lower() not in have]
+    return rows.select("*", *[F.lit(None).alias(c) for c in missing])
+
+
+def _sliced(spark: SparkSession, ident: str, rows: DataFrame) -> DataFrame:
+    """Rows of the target's types with their slice, as text.
+
+    Keys that the join takes for one have one slice: -0.0 counts as 0.0.
     """
-    types = {f.name.lower(): f.dataType for f in stored.fields}
-    if unique:
-        rows = rows.filter(named(op_col).isin(ops.insert, ops.update, ops.delete))
-    keys = rows.select(*[named(k).cast(types[k.lower()]).alias(k) for k in pk])
-    found = keys.filter(all_set(pk)).select(_slice_name(pk, slice_by).alias(_SLICE)).distinct()
-    names = {row[_SLICE] for row in found.limit(MAX_SLICES + 1).collect()}
-    _check_count(names)
-    return names
-
-
-def _slice_name(pk: Sequence[str], slice_by: str) -> Column:
-    value = F.coalesce(F.expr(slice_by).cast("string"), F.lit("null"))
-    return F.when(all_set(pk), F.concat(F.lit(_KEYED), value)).otherwise(_KEYLESS)
-
-
-def _part(pk: Sequence[str], slice_by: str, version: str) -> Column:
-    return F.concat(_slice_name(pk, slice_by), F.lit(f"@{version}"))
-
-
-def _slice(part: str) -> str:
-    return part.rpartition("@")[0]
-
-
-def _version(part: str) -> str:
-    return part.rpartition("@")[2]
-
-
-def _new_version() -> str:
-    """Never used before, so files a failed write left behind are not met again."""
-    return uuid.uuid4().hex[:16]
-
-
-def _write(spark: SparkSession, ident: str, sliced: DataFrame) -> None:
-    """Add partitions; the version in their names is new, so none is changed."""
-    sliced.write.insertInto(sql_name(_store(ident)))
-
-
-def _publish(
-    spark: SparkSession, ident: str, before: list[str], untouched: list[str], version: str
-) -> None:
-    """Show the new partitions, then drop what neither view names."""
-    written = _written(spark, ident)
-    after = untouched + [part for part in written if _version(part) == version]
-    _check_count(after)
-    _point_view(spark, ident, after)
-    stale = set(written) - set(before) - set(after)
-    if stale:
-        specs = ", ".join(f"PARTITION ({_SLICE} = {_literal(p)})" for p in sorted(stale))
+    pk, slice_by = _rule(spark, ident)
+    types = _types(spark, ident)
+    if any(isinstance(types[k.lower()], T.TimestampType) for k in pk):
+        zone, kept = spark.conf.get("spark.sql.session.timeZone"), _properties(spark, ident)[_ZONE]
+        if zone != kept:
+            raise ValueError(f"{ident}: kept in time zone {kept}, the session has {zone}")
+    floats = [k for k in pk if isinstance(types[k.lower()], (T.FloatType, T.DoubleType))]
+    raw = {f"__raw_{i}": named(k) for i, k in enumerate(floats)}
+    plain = {
+        k: F.when(named(k) == 0, F.lit(0).cast(types[k.lower()])).otherwise(named(k))
+        for k in floats
+    }
+    name = F.concat(F.lit(_KEYED), F.coalesce(F.expr(slice_by).cast("string"), F.lit("null")))
+    value = F.when(all_set(pk), name).otherwise(_KEYLESS)
+    out = rows.withColumns(raw).withColumns(plain).withColumn(_SLICE, value)
+    return out.withColumns({k: F.col(r) for k, r in zip(floats, raw)}).drop(*raw)
+
+
+def _types(spark: SparkSession, ident: str) -> dict[str, T.DataType]:
+    return {f.name.lower(): f.dataType for f in spark.table(_store(ident)).schema.fields}
+
+
+def _grouped(sliced: DataFrame) -> DataFrame:
+    return sliced.hint("rebalance", named(_SLICE))
+
+
+def _drop(spark: SparkSession, ident: str, names: Iterator[str]) -> None:
+    """Drop partitions, some at a time."""
+    while some := list(islice(names, _DROP_AT_ONCE)):
+        specs = ", ".join(f"PARTITION ({_SLICE} = {_literal(p)})" for p in some)
         spark.sql(f"ALTER TABLE {sql_name(_store(ident))} DROP IF EXISTS {specs}")
 
 
-def _point_view(spark: SparkSession, ident: str, parts: Iterable[str]) -> None:
-    store = _store(ident)
-    columns = ", ".join(quoted(c) for c in spark.table(store).columns if c != _SLICE)
-    named_parts = ", ".join(_literal(p) for p in sorted(parts))
-    shown = f"{quoted(_SLICE)} IN ({named_parts})" if named_parts else "false"
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {sql_name(ident)} AS "
-        f"SELECT {columns} FROM {sql_name(store)} WHERE {shown}"
-    )
+def _check_rule(rows: DataFrame, slice_by: str) -> None:
+    """Refuse an expression whose value depends on more than the row."""
+    plan = rows.select(F.expr(slice_by).alias("s"))._jdf.queryExecution().analyzed()
+    expressions = plan.expressions()
+    steady = all(expressions.apply(i).deterministic() for i in range(expressions.size()))
+    clock = ("current_timestamp(", "current_date(", "now(", "localtimestamp(", "current_time(")
+    if not steady or any(c in plan.toString().lower() for c in clock):
+        raise ValueError(f"slice_by {slice_by!r} may change between two runs")
 
 
-def _current(spark: SparkSession, ident: str) -> list[str]:
-    """The partitions the view names."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {sql_name(ident)}").collect()
-    text = next((r["data_type"] for r in described if r["col_name"] == "View Text"), None)
-    if text is None or not spark.catalog.tableExists(_store(ident)):
+def _properties(spark: SparkSession, ident: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(_store(ident)):
         raise ValueError(f"{ident}: not a target kept in slices")
-    condition = text.rpartition(" WHERE ")[2]
-    return [re.sub(r"\\(.)", r"\1", p) for p in re.findall(r"'((?:[^'\\]|\\.)*)'", condition)]
-
-
-def _written(spark: SparkSession, ident: str) -> list[str]:
-    """Partitions that exist, current or not."""
-    listed = spark.sql(f"SHOW PARTITIONS {sql_name(_store(ident))}").collect()
-    return [unquote(row["partition"].partition("=")[2]) for row in listed]
+    rows = spark.sql(f"SHOW TBLPROPERTIES {sql_name(_store(ident))}").collect()
+    return {row["key"]: row["value"] for row in rows}
 
 
 def _rule(spark: SparkSession, ident: str) -> tuple[list[str], str]:
     """The key and the slice expression the target was created with."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {sql_name(_store(ident))}").collect()
-    properties = {row["key"]: row["value"] for row in rows}
+    properties = _properties(spark, ident)
     return json.loads(properties[_KEY]), properties[_SLICE_BY]
 
 
-def _check_count(parts) -> None:
-    if len(parts) > MAX_SLICES:
-        raise ValueError(f"more than {MAX_SLICES} slices: choose a coarser slice_by")
-
-
 def _store(ident: str) -> str:
     return f"{ident}__slices"
 

@@ -4,8 +4,11 @@ A plain Parquet table cannot be rewritten while it is being read. So a target
 ``db.orders`` is a view over one of the managed tables ``db.orders__v0``,
 ``db.orders__v1``, ...; a change writes the next snapshot and then repoints the
 view. Readers see the old contents or the new ones, a failed write changes
-nothing, and running readers keep the previous snapshot. One writer per table
-is assumed.
+nothing, and running readers keep the previous snapshot. The exception is
+:func:`overwrite_partitions`, which exchanges partitions inside the current
+snapshot. Snapshots carry a table property that names their target; tables
+without it are never touched, whatever their name. One writer per table is
+assumed.
 
 Where the files lie is decided by the location of the database, which must
 exist.
@@ -25,6 +28,8 @@ from tidemark.functions.columns import named, no_rows, quoted
 logger = logging.getLogger(__name__)
 
 _VERSION = "tidemark.version"
+_SNAPSHOT_OF = "tidemark.snapshot_of"
+_FINISHED = "tidemark.finished"
 
 
 def table_schema(schema: T.StructType, op_col: str | None = None) -> T.StructType:
@@ -55,36 +60,70 @@ def ensure_table(
         logger.info("%s: table creation is off", ident)
         return False
     if spark.catalog.tableExists(ident):
+        _finish(spark, ident)
         return False
+    left = _snapshots(spark, ident)
+    if left:
+        raise ValueError(
+            f"{ident}: snapshots {left} exist without their view; create the view again or drop them"
+        )
+    first = max(_taken(spark, ident), default=-1) + 1
     empty = no_rows(spark, table_schema(schema, op_col))
-    writer = empty.write.format("parquet").mode("overwrite")
+    writer = empty.write.format("parquet").mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(sql_name(_snapshot(ident, 0)))
-    _point_view(spark, ident, 0)
+    store = sql_name(_snapshot(ident, first))
+    writer.saveAsTable(store)
+    spark.sql(f"ALTER TABLE {store} SET TBLPROPERTIES ({_owned(ident)})")
+    _point_view(spark, ident, first)
     logger.info("%s: created", ident)
     return True
 
 
-def publish(spark: SparkSession, ident: str, rows: DataFrame) -> None:
+def provider(spark: SparkSession, ident: str) -> str | None:
+    """The format of an existing table in lower case; None for a view or none at all."""
+    if not spark.catalog.tableExists(ident):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {sql_name(ident)}").collect()
+    return next((r["data_type"].lower() for r in described if r["col_name"] == "Provider"), None)
+
+
+def publish(
+    spark: SparkSession, ident: str, rows: DataFrame, moved: DataFrame | None = None
+) -> None:
     """Replace the target's contents by ``rows``, which may read the target.
 
-    ``rows`` is written once. A target that is an ordinary table rather than a
-    view over snapshots is filled from a finished copy of the result, since it
-    cannot be overwritten while it is read.
+    ``moved`` holds further rows of the result that went through a shuffle
+    already; for a partitioned target only these are grouped for the writer, if
+    they are given apart. All rows are written once. A target that is an
+    ordinary table rather than a view over snapshots is filled from a finished
+    copy of the result, since it cannot be overwritten while it is read. Should
+    that fail, the copy is left and :func:`ensure_table` repeats it.
     """
-    rows = in_target_order(spark, ident, rows)
-    partition_by = _partition_columns(spark, ident)
     version = _current_version(spark, ident)
+    if version is None and _finished(spark, ident):
+        raise ValueError(f"{ident}: an overwrite was interrupted; call ensure_table first")
+    partition_by = _partition_columns(spark, ident)
+    rows = in_target_order(spark, ident, rows)
+    if moved is not None:
+        moved = in_target_order(spark, ident, moved)
+    if partition_by:
+        keys = [named(c) for c in partition_by]
+        if moved is None:
+            rows = rows.hint("rebalance", *keys)
+        else:
+            moved = moved.hint("rebalance", *keys)
+    if moved is not None:
+        rows = rows.unionByName(moved)
+
     existing = _snapshots(spark, ident)
-    latest = max(existing, default=0) + 1
-    _write_snapshot(spark, rows, ident, version, latest, partition_by)
+    latest = max(_taken(spark, ident), default=0) + 1
+    _write_snapshot(spark, rows, ident, version, latest)
     if version is None:
-        # Should the overwrite fail, the finished copy is left to repeat it from.
-        finished = spark.table(_snapshot(ident, latest))
-        with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-            finished.write.insertInto(ident, overwrite=True)
-        outdated = {latest}
+        copy = sql_name(_snapshot(ident, latest))
+        spark.sql(f"ALTER TABLE {copy} SET TBLPROPERTIES ('{_FINISHED}' = 'true')")
+        _finish(spark, ident)
+        outdated = set(existing)
     else:
         _point_view(spark, ident, latest)
         outdated = set(existing) - {version}
@@ -92,6 +131,24 @@ def publish(spark: SparkSession, ident: str, rows: DataFrame) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {sql_name(_snapshot(ident, old))}")
 
 
+def _finished(spark: SparkSession, ident: str) -> list[int]:
+    """Complete copies that a plain table was to be filled from."""
+    return [
+        v for v in _snapshots(spark, ident) if _FINISHED in _properties(spark, _snapshot(ident, v))
+    ]
+
+
+def _finish(spark: SparkSession, ident: str) -> None:
+    """Fill a plain table from the finished copy that stands ready for it, if one does."""
+    if spark.catalog.getTable(ident).tableType == "VIEW":
+        return
+    for version in sorted(_finished(spark, ident)):
+        copy = _snapshot(ident, version)
+        with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            spark.table(copy).write.insertInto(ident, overwrite=True)
+        spark.sql(f"DROP TABLE {sql_name(copy)}")
+
+
 def overwrite(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     """Truncate and load: the target holds ``rows`` afterwards, even if none."""
     publish(spark, ident, rows)
@@ -103,7 +160,9 @@ def overwrite_partitions(spark: SparkSession, ident: str, rows: DataFrame) -> No
     A target without partitions is replaced as a whole. ``rows`` must not read
     the target. Rows are shuffled so that each partition is written by few
     tasks, and adaptive execution splits the ones that are large. Partitions
-    are exchanged in place, one after the other, when all rows are written.
+    are exchanged in place, one after the other, when all rows are written:
+    readers may see some of them exchanged and others not, and a frame made
+    before reads the new rows.
     """
     partition_by = _partition_columns(spark, ident)
     if not partition_by:
@@ -114,7 +173,7 @@ def overwrite_partitions(spark: SparkSession, ident: str, rows: DataFrame) -> No
     grouped = in_target_order(spark, ident, rows).hint(
         "rebalance", *[named(c) for c in partition_by]
     )
-    with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         grouped.write.insertInto(store, overwrite=True)
 
 
@@ -134,12 +193,7 @@ def in_target_order(spark: SparkSession, ident: str, rows: DataFrame) -> DataFra
 
 
 def _write_snapshot(
-    spark: SparkSession,
-    rows: DataFrame,
-    ident: str,
-    version: int | None,
-    latest: int,
-    partition_by: Sequence[str],
+    spark: SparkSession, rows: DataFrame, ident: str, version: int | None, latest: int
 ) -> None:
     """Fill a new table made like the current one.
 
@@ -148,12 +202,25 @@ def _write_snapshot(
     """
     like = ident if version is None else _snapshot(ident, version)
     new = sql_name(_snapshot(ident, latest))
-    spark.sql(f"CREATE TABLE {new} LIKE {sql_name(like)} USING parquet")
-    if partition_by:
-        rows = rows.hint("rebalance", *[named(c) for c in partition_by])
+    spark.sql(
+        f"CREATE TABLE {new} LIKE {sql_name(like)} USING parquet TBLPROPERTIES ({_owned(ident)})"
+    )
     rows.write.insertInto(new)
 
 
+def _owned(ident: str) -> str:
+    return f"'{_SNAPSHOT_OF}' = '{_plain(ident)}'"
+
+
+def _plain(ident: str) -> str:
+    return ident.replace("`", "").replace("'", "").lower()
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {sql_name(table)}").collect()
+    return {row["key"]: row["value"] for row in rows}
+
+
 def _point_view(spark: SparkSession, ident: str, version: int) -> None:
     spark.sql(
         f"CREATE OR REPLACE VIEW {sql_name(ident)} "
@@ -173,7 +240,16 @@ def _current_version(spark: SparkSession, ident: str) -> int | None:
 
 
 def _snapshots(spark: SparkSession, ident: str) -> list[int]:
-    """Versions that exist, the current one and any left by a failed run."""
+    """Own versions that exist, the current one and any left by a failed run."""
+    return [
+        v
+        for v in _taken(spark, ident)
+        if _properties(spark, _snapshot(ident, v)).get(_SNAPSHOT_OF) == _plain(ident)
+    ]
+
+
+def _taken(spark: SparkSession, ident: str) -> list[int]:
+    """Versions whose name is in use, by whomever."""
     database, _, table = ident.rpartition(".")
     prefix = f"{table}__v".lower()
     within = f" IN {sql_name(database)}" if database else ""
@@ -183,7 +259,8 @@ def _snapshots(spark: SparkSession, ident: str) -> list[int]:
         for row in listed
         if row["tableName"].lower().startswith(prefix)
     ]
-    return [int(tail) for tail in tails if tail.isdigit()]
+    # Only what _snapshot would write: no leading zeros.
+    return [int(tail) for tail in tails if tail.isdigit() and str(int(tail)) == tail]
 
 
 def _partition_columns(spark: SparkSession, ident: str) -> list[str]:
@@ -201,7 +278,7 @@ def sql_name(ident: str) -> str:
 
 
 @contextmanager
-def _session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Set a session setting for the length of one write."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)

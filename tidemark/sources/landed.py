@@ -20,13 +20,14 @@ def read_landed(
 ) -> DataFrame:
     """Scan a landed path in any registered format.
 
-    The format name is compared without regard to case. ``columns`` keeps the
+    The format's name is passed on as it is given: Spark takes short names in
+    any case, class names exactly. ``columns`` keeps the
     requested columns that exist, see :func:`select_existing`. Without
     ``schema`` the types are inferred: from a file footer for Parquet and ORC,
     but by a pass over all the data for JSON, so give a schema for large text
     sources.
     """
-    reader = spark.read.format(fmt.lower()).options(**dict(options or {}))
+    reader = spark.read.format(fmt).options(**dict(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     return select_existing(reader.load(path), columns)
