@@ -188,12 +188,10 @@ def _list(batches, dims: int, nodes: int, k: int):
             sums = np.take_along_axis(total, listed, axis=1)
             again = np.zeros(listed.shape, dtype=bool)
             again[:, 1:] = listed[:, 1:] == listed[:, :-1]
-            first = ~again
+            best = -np.sort(-np.where(again, -np.inf, sums), axis=1)[:, : k + 1]
+            there = best > -np.inf
             yield pd.DataFrame(
-                {
-                    "query_id": np.repeat(q_ids, first.sum(axis=1)),
-                    "score": _longs(sums[first]),
-                }
+                {"query_id": np.repeat(q_ids, there.sum(axis=1)), "score": _longs(best[there])}
             )
 
 
