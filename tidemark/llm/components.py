@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import small_side, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,9 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = _least(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage(large.where("u <> v").distinct(), "large-stars")
+        least = _least(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         star = least.select("u", F.col("m").alias("v"))
         now = stage(small.unionByName(star).where("u <> v").distinct(), "edges")
@@ -41,6 +42,11 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def _least(nodes: DataFrame) -> DataFrame:
+    """One row a node: broadcast if they are few, else joined apart from their grouping."""
+    return small_side(stage(nodes, "least"), 16)
+
+
 def _mark(edges: DataFrame) -> tuple:
     """Equal for equal edge sets, and for others with negligible chance only."""
     h = F.xxhash64("u", "v").cast("decimal(38,0)")

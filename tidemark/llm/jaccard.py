@@ -245,7 +245,8 @@ def _links(
     """(cls, links, linked_docs, root): partial counts and stars of the links."""
     bands = classes.select("cls", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.min("cls").alias("first"), F.count("*").alias("size"))
-    stars = bands.join(buckets.where("size > 1"), "band").where("cls <> first")
+    shared = small_side(stage(buckets.where("size > 1").drop("size"), "buckets"), 24)
+    stars = bands.join(shared, "band").where("cls <> first")
     parts = stage(components(stars.select(F.col("cls").alias("u"), F.col("first").alias("v"))), "parts")
     sizes = parts.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     parts = parts.join(sizes, "root").select(
