@@ -31,7 +31,7 @@ PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 )
 #: Pieces to a numbering bucket, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_000
 
 
 # Tokens ----------------------------------------------------------------------
