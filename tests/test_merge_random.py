@@ -65,7 +65,7 @@ def test_merge(spark, tmp_path, seed):
     spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/{database}'")
     slices.ensure_table(spark, f"{database}.t", frame.schema, ["a", "b"], "pmod(hash(a, b), 5)")
     slices.overwrite(spark, f"{database}.t", frame)
-    slices.merge(spark, f"{database}.t", batch, ["a", "b"])
+    slices.merge(spark, f"{database}.t", batch, ["a", "b"], staged_unique=True)
     got = spark.table(f"{database}.t").collect()
     assert sorted((tuple(r) for r in got), key=str) == expected
     spark.sql(f"DROP DATABASE {database} CASCADE")
