@@ -91,6 +91,7 @@ GROUP BY o_custkey""",
     "merge_cdc": f"{_ALL} {_MERGE}",
     "merge_broadcast_keys": f"{_ALL} {_MERGE}",
     "merge_shuffled": _MERGE_NULL_TARGET,
+    "merge_filtered_keys": _MERGE_NULL_TARGET,
     "merge_delete": f"""{_ALL}
 SELECT {_COLS} FROM tgt
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = tgt.order_id AND s.op = 'D')""",

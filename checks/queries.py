@@ -148,6 +148,22 @@ def merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_cdc(target, batch.rows, ["order_id"], staged_unique=True, broadcast=NOTHING)
 
 
+def merge_filtered_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for a batch whose keys do not fit, while a filter of them does."""
+    key = F.col("order_id")
+    target = order_target(spark, sf_dir).withColumn("order_id", F.when(key % 3 != 0, key))
+    batch = _staged_orders(spark, sf_dir)
+    limit = min(batch.key_bytes - 1, DEFAULT_BROADCAST_BYTES)
+    return merge_cdc(
+        target,
+        batch.rows,
+        ["order_id"],
+        staged_unique=True,
+        broadcast=batch.broadcast(limit),
+        filter_bits=batch.filter_bits(limit),
+    )
+
+
 def merge_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _staged_orders(spark, sf_dir)
     return _merge(order_target(spark, sf_dir), batch, batch.rows.filter("op = 'D'"))
@@ -445,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "merge_cdc": merge_orders,
     "merge_broadcast_keys": merge_broadcast_keys,
     "merge_shuffled": merge_shuffled,
+    "merge_filtered_keys": merge_filtered_keys,
     "merge_delete": merge_delete,
     "merge_update": merge_update,
     "merge_insert": merge_insert,

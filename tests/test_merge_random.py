@@ -61,6 +61,14 @@ def test_merge(spark, tmp_path, seed):
         got = merge_cdc(frame, batch.rows, ["a", "b"], staged_unique=unique, broadcast=broadcast)
         assert sorted((tuple(r) for r in got.collect()), key=str) == expected
 
+    # A filter of the keys: large, and so small that it lets most rows through.
+    for bits in (4096 * 64, 4096):
+        for unique in (True, False):
+            got = merge_cdc(
+                frame, batch.rows, ["a", "b"], staged_unique=unique, filter_bits=bits
+            )
+            assert sorted((tuple(r) for r in got.collect()), key=str) == expected
+
     database = f"db_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/{database}'")
     slices.ensure_table(spark, f"{database}.t", frame.schema, ["a", "b"], "pmod(hash(a, b), 5)")

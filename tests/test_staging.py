@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import merge_cdc, stage_batch
-from tidemark.operators import staging
+from tidemark.operators import key_filter, staging
+from tidemark.operators.merge import merge_parts
 
 
 def test_stage_and_release(spark):
@@ -151,3 +152,46 @@ def test_hot_keys_are_split_in_a_shuffled_merge(spark, conf, tmp_path):
     assert "isFinalPlan=true" in plan
     final = plan.split("== Initial Plan ==")[0]
     assert any("skew=true" in line and "LeftOuter" in line for line in final.splitlines())
+
+
+def test_a_filter_of_the_keys_leaves_other_rows_in_place(spark, conf, tmp_path):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "t")
+    spark.range(0, 100000, 1, 8).selectExpr("if(id % 10 = 0, NULL, id) AS k", "id AS v").write.parquet(path)
+    target = spark.read.parquet(path)
+    changes = spark.range(0, 200000, 100).selectExpr(
+        "id + 1 AS k", "-id AS v", "CASE id % 300 WHEN 0 THEN 'U' WHEN 100 THEN 'D' ELSE 'I' END AS op"
+    )
+    batch = stage_batch(changes, ["k"])
+    bits = batch.filter_bits(1 << 20)
+    assert bits == 4096 * 8
+    kept, moved = merge_parts(target, batch.rows, ["k"], staged_unique=True, filter_bits=bits)
+    # 1000 keys of the batch are in the target; about 2000 / 32768 of its rows are let through.
+    assert 92000 < kept.count() < 98000
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    target_side = plan.split("BuildRight")[1]
+    assert "hashpartitioning" not in target_side.split("FileScan")[0]
+    plain = merge_cdc(target, batch.rows, ["k"], staged_unique=True)
+    sieved = kept.unionByName(moved)
+    assert sorted(map(str, sieved.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_filter_size_has_a_bound():
+    assert key_filter.size_for(0, 0) == 0
+    assert key_filter.size_for(400, 640) == 4096
+    assert key_filter.size_for(2000, 640) == 4096
+    assert key_filter.size_for(3000, 640) == 0  # a filter that lets most rows through
+    assert key_filter.size_for(3000, 1280) == 8192
+    assert key_filter.size_for(10**12, 128 << 20) == 0
+
+
+def test_keys_that_hash_apart_are_not_filtered(spark):
+    """An int and a long, 0.0 and -0.0 are equal to the join."""
+    for kind, zero in (("long", 0), ("double", -0.0)):
+        target = spark.createDataFrame([(zero, 1)], f"k {kind}, v int")
+        batch_kind = "int" if kind == "long" else kind
+        batch = spark.createDataFrame(
+            [(0 if kind == "long" else 0.0, 2, "U")], f"k {batch_kind}, v int, op string"
+        )
+        got = merge_cdc(target, batch, ["k"], filter_bits=4096)
+        assert [r["v"] for r in got.collect()] == [2]

@@ -1,0 +1,100 @@
+"""A bit filter of a batch's keys, of a size that is fixed beforehand.
+
+Every key sets one bit of ``bits``, by its hash. A target row whose bit is not
+set has none of the keys; one whose bit is set may have one. The filter is a
+small table of 4096 bits a row, joined by broadcast.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.columns import all_set, named
+
+#: Bits a key should have: a tenth of the rows without a match are then let through.
+BITS_PER_KEY = 10
+#: Below this, more than a third of them are, and the filter is not worth its scan.
+LEAST_BITS_PER_KEY = 2
+#: Bits of a row of the table, and what it takes in memory.
+ROW_BITS, ROW_BYTES = 4096, 640
+
+_AT, _BUCKET, _WORDS, _MAYBE = "__at", "__bucket", "__words", "__maybe"
+_EXACT = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType,
+    T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType,
+)
+
+
+def size_for(keys: int, limit: int) -> int:
+    """Bits of a filter for so many keys within ``limit`` bytes; 0 if none is worth it."""
+    bits = ROW_BITS
+    while bits < keys * BITS_PER_KEY and 2 * bits // ROW_BITS * ROW_BYTES <= limit:
+        bits *= 2
+    fits = bits // ROW_BITS * ROW_BYTES <= limit
+    return bits if fits and bits >= keys * LEAST_BITS_PER_KEY else 0
+
+
+def comparable(
+    target: DataFrame, target_keys: Sequence[str], batch: DataFrame, keys: Sequence[str]
+) -> bool:
+    """Whether keys that the join takes for equal have equal hashes.
+
+    They do if both sides have one type whose equal values have equal bytes;
+    a floating zero and text of another collation than bytes do not.
+    """
+    return all(
+        target.schema[t].dataType == batch.schema[k].dataType
+        and (target.schema[t].dataType == T.StringType() or isinstance(target.schema[t].dataType, _EXACT))
+        for t, k in zip(target_keys, keys, strict=True)
+    )
+
+
+def split(
+    rows: DataFrame, row_keys: Sequence[str], keys: DataFrame, bits: int
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that have none of ``keys`` (none of them NULL), and those that may have one."""
+    table = F.broadcast(_table(keys, bits))
+    flagged = (
+        rows.withColumn(_AT, F.when(all_set(row_keys), _place(row_keys, bits)))
+        .withColumn(_BUCKET, F.expr(f"shiftright({_AT}, 12)"))
+        .join(table, _BUCKET, "left")
+        .withColumn(
+            _MAYBE,
+            F.expr(
+                f"coalesce(getbit(get({_WORDS}, cast(shiftright({_AT}, 6) & 63 AS int)),"
+                f" cast({_AT} & 63 AS int)) = 1, false)"
+            ),
+        )
+    )
+    columns = [named(c) for c in rows.columns]
+    return flagged.filter(~F.col(_MAYBE)).select(*columns), flagged.filter(_MAYBE).select(*columns)
+
+
+def _place(keys: Sequence[str], bits: int) -> Column:
+    return F.xxhash64(*map(named, keys)).bitwiseAND(F.lit(bits - 1).cast("long"))
+
+
+def _table(keys: DataFrame, bits: int) -> DataFrame:
+    """(bucket, words): 64 words of 64 bits; buckets without a key are left out.
+
+    Bits are gathered before they are shuffled, so that no more than the whole
+    filter leaves a task.
+    """
+    words = (
+        keys.select(_place(keys.columns, bits).alias(_AT))
+        .groupBy(F.expr(f"shiftright({_AT}, 6)").alias("word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast({_AT} & 63 AS int))")).alias("bits"))
+    )
+    placed = F.struct(F.expr("cast(word & 63 AS int)").alias("at"), "bits")
+    return (
+        words.groupBy(F.expr("shiftright(word, 6)").alias(_BUCKET))
+        .agg(F.map_from_entries(F.collect_list(placed)).alias("set"))
+        .select(
+            _BUCKET,
+            F.expr("transform(sequence(0, 63), i -> coalesce(set[i], 0L))").alias(_WORDS),
+        )
+    )

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_OP_COLUMN, OpCodes
 from tidemark.functions.columns import all_set, named, op_is, quoted, require_columns
+from tidemark.operators import key_filter
 
 # What of a batch is sent to every task.
 ROWS = "rows"
@@ -45,6 +46,7 @@ def merge_cdc(
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
     broadcast: str = NOTHING,
+    filter_bits: int = 0,
 ) -> DataFrame:
     """The target's rows after the batch is applied, in the target's schema.
 
@@ -61,6 +63,10 @@ def merge_cdc(
     * ``"nothing"``: the joins are left to Catalyst. Target rows without a full
       key are not shuffled; those of a very frequent key are split over tasks
       by adaptive skew handling, which the left side of an outer join allows.
+      With ``filter_bits``, see :meth:`StagedBatch.filter_bits
+      <tidemark.operators.staging.StagedBatch.filter_bits>`, a bit filter of the
+      batch's keys is broadcast, and target rows that it tells apart from every
+      key of the batch are passed on where they are read.
 
     ``staged`` is read more than once and must give the same rows each time.
     Pass ``staged_unique`` if it has at most one row per non-NULL key;
@@ -71,7 +77,7 @@ def merge_cdc(
     insert. Batch columns the target lacks raise ``ValueError``.
     """
     in_place, moved = merge_parts(
-        target, staged, pk, op_col, ops, staged_unique, broadcast
+        target, staged, pk, op_col, ops, staged_unique, broadcast, filter_bits
     )
     return in_place.unionByName(moved)
 
@@ -84,6 +90,7 @@ def merge_parts(
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
     broadcast: str = NOTHING,
+    filter_bits: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of :func:`merge_cdc` in two parts.
 
@@ -91,7 +98,7 @@ def merge_parts(
     those of the second went through a shuffle. A writer that groups rows needs
     to do so for the second part only.
     """
-    batch = _align(target, staged, pk, op_col)
+    batch = _align(target, staged, pk, op_col, broadcast, filter_bits)
     in_place, moved = _kept(target, batch, ops, staged_unique, broadcast)
     inserted = _inserted(target, batch, ops, staged_unique, broadcast)
     return in_place, inserted if moved is None else moved.unionByName(inserted)
@@ -105,9 +112,10 @@ def merge_effects(
     ops: OpCodes = OpCodes(),
     staged_unique: bool = False,
     broadcast: str = NOTHING,
+    filter_bits: int = 0,
 ) -> DataFrame:
     """How many staged rows delete, update, insert or do nothing: (effect, n)."""
-    batch = _align(target, staged, pk, op_col)
+    batch = _align(target, staged, pk, op_col, broadcast, filter_bits)
     present = _present(target, batch, batch.rows, staged_unique, broadcast)
     flagged = present.withColumn(_IN_TARGET, F.lit(True))
     matched = F.coalesce(F.col(_IN_TARGET), F.lit(False))
@@ -131,16 +139,25 @@ class _Batch:
     """Staged rows under names that cannot clash with the target's.
 
     ``keys`` are the key columns, in the order of ``target_keys``; ``values``
-    maps each target column the batch carries to its staged column.
+    maps each target column the batch carries to its staged column; ``bits`` is
+    the size of a filter of the keys, 0 for none.
     """
 
     rows: DataFrame
     keys: list[str]
     target_keys: list[str]
     values: dict[str, str]
+    bits: int = 0
 
 
-def _align(target: DataFrame, staged: DataFrame, pk: Sequence[str], op_col: str) -> _Batch:
+def _align(
+    target: DataFrame,
+    staged: DataFrame,
+    pk: Sequence[str],
+    op_col: str,
+    broadcast: str,
+    filter_bits: int,
+) -> _Batch:
     if not pk:
         raise ValueError("merge: no key columns")
     require_columns(staged, [op_col], "merge")
@@ -169,7 +186,9 @@ def _align(target: DataFrame, staged: DataFrame, pk: Sequence[str], op_col: str)
         alias = key_of.get(folded, f"__new_{i}")
         values[in_target[folded]] = alias
         out.append(named(source).alias(alias))
-    return _Batch(staged.select(*out), keys, [in_target[fold(k)] for k in pk], values)
+    rows, target_keys = staged.select(*out), [in_target[fold(k)] for k in pk]
+    usable = broadcast == NOTHING and key_filter.comparable(target, target_keys, rows, keys)
+    return _Batch(rows, keys, target_keys, values, filter_bits if usable else 0)
 
 
 def _kept(
@@ -208,8 +227,12 @@ def _kept(
         rows = target.join(changed, on(changed), "left_semi")
     else:
         # Rows without a full key match nothing: however many, none is moved.
-        full = all_set(batch.target_keys)
-        in_place, rows = target.filter(~full), target.filter(full)
+        if batch.bits:
+            keys = batch.rows.select(*batch.keys).filter(all_set(batch.keys))
+            in_place, rows = key_filter.split(target, batch.target_keys, keys, batch.bits)
+        else:
+            full = all_set(batch.target_keys)
+            in_place, rows = target.filter(~full), target.filter(full)
     # Always an outer join: above it a repeat is looked at for matches only.
     joined = rows.join(changes, on(changes), "left")
 
@@ -256,9 +279,9 @@ def _present(
     """Those keys of ``rows`` that the target holds, each once.
 
     Never larger than the batch, whatever the size of the target. A broadcast
-    batch filters the target's keys where they are read, before they are made
-    distinct; otherwise they are made distinct first, so that a key with very
-    many rows leaves each map task once.
+    batch, or a filter of its keys, filters the target's keys where they are
+    read, before they are made distinct; what is then shuffled has been made
+    distinct first, so that a key with very many rows leaves each map task once.
     """
     wanted = rows.select(*batch.keys).filter(all_set(batch.keys))
     if not unique:
@@ -267,4 +290,7 @@ def _present(
     if broadcast != NOTHING:
         present = held.join(F.broadcast(wanted), batch.keys, "left_semi").distinct()
         return F.broadcast(present)
+    if batch.bits:
+        keys = batch.rows.select(*batch.keys).filter(all_set(batch.keys))
+        _, held = key_filter.split(held, batch.keys, keys, batch.bits)
     return held.filter(all_set(batch.keys)).distinct().join(wanted, batch.keys, "left_semi")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import named, resolved, row_bytes
+from tidemark.operators import key_filter
 from tidemark.operators.merge import KEYS, NOTHING, ROWS
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -50,6 +51,10 @@ class StagedBatch:
             return ROWS
         return KEYS if self.key_bytes <= limit else NOTHING
 
+    def filter_bits(self, limit: int) -> int:
+        """The size of a filter of the batch's keys, of at most ``limit`` bytes; 0 for none."""
+        return key_filter.size_for(self.count, limit)
+
     def release(self) -> None:
         """Drop the copy and its files."""
         self.rows.sparkSession.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")

@@ -152,6 +152,7 @@ def _merge(
                 changes.ops,
                 staged_unique=unique,
                 broadcast=batch.broadcast(table.broadcast_bytes),
+                filter_bits=batch.filter_bits(table.broadcast_bytes),
             )
             tables.publish(spark, table.target, in_place, moved)
     finally:

@@ -134,7 +134,14 @@ def merge(
             wanted = F.broadcast(wanted)
         scope = store.join(wanted, _SLICE, "left_semi").select(*store.columns)
         in_place, moved = merge_parts(
-            scope.drop(_SLICE), keyed, pk, op_col, ops, True, batch.broadcast(broadcast_bytes)
+            scope.drop(_SLICE),
+            keyed,
+            pk,
+            op_col,
+            ops,
+            True,
+            batch.broadcast(broadcast_bytes),
+            batch.filter_bits(broadcast_bytes),
         )
         after = _sliced(spark, ident, in_place.unionByName(moved)).select(_SLICE).distinct()
         before = scope.select(_SLICE).distinct()
