@@ -35,6 +35,29 @@ def test_odd_markup(page, text):
     assert main_text(page) == text
 
 
+STORY = [f"Paragraph {n} tells at some length what there is to tell, {'and more, ' * 8}and ends." for n in range(4)]
+PROSE = "<h1>Story</h1>" + "".join(f"<p>{p}</p>" for p in STORY)
+COMMENTS = "<div class='comments'>" + "<p>I say that I do not think so, not at all. So there.</p>" * 30 + "</div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content has-sidebar'>{PROSE}</div>",
+    f"<article class='post no-comments'><header><h1>Story</h1></header>{PROSE[14:]}</article>",
+    f"<div id='layout-with-sidebar'><main>{PROSE}</main></div>",
+    f"<form id='aspnetForm'>{PROSE}</form>",
+    f"<form id='aspnetForm'><div class='sidebar-right'><div>{PROSE}</div>{COMMENTS}</div></form>",
+    f"<div class='search-page'><article>{PROSE}</article></div>{COMMENTS}",
+    f"<div class='social'><form><main>{PROSE}</main>{COMMENTS}</form></div>",
+    f"<main>{PROSE}{COMMENTS}</main>",
+])
+def test_marks_around_the_whole_text(page):
+    menu = "<nav><a href='/'>Home</a></nav><div class='newsletter'>Write to us. We answer.</div>"
+    foot = "<div class='sidebar'><p>Sidebar text that reads like prose. It does.</p></div>"
+    text = "\n\n".join(["Story", *STORY])
+    assert main_text(f"<body>{menu}{page}{foot}</body>") == text
+    assert main_text(f"<div class='no-widgets modal-page'>{menu}{page}{foot}</div>") == text
+
+
 def test_cut_is_least():
     rng = random.Random(0)
     for _ in range(300):

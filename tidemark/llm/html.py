@@ -6,7 +6,8 @@ share, length, sentence ends) gives the cost of calling it content and of
 calling it boilerplate; these are the capacities to the two terminals. Blocks
 next to each other, and blocks that follow each other under one parent, are
 tied by smoothness edges that are weaker the further apart they stand in the
-tree. The minimum cut is the labelling of least total cost.
+tree. A boilerplate word in a class or id, or a form, weighs less the more of
+the page's prose it surrounds. The minimum cut is the labelling of least total cost.
 
 Blocks whose own preference outweighs all their edges are on that side in every
 minimum cut; max-flow runs over what remains.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter, deque
+from itertools import takewhile
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -74,11 +76,15 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
+#: What follows one of these in a name is a state of the element, not what it is.
+STATE_WORDS = frozenset("has no not with without".split())
 SENTENCE = re.compile(r"[.!?…](?:[\"'”’»)\]]*)(?:\s|$)")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "home", "open_p", "silent", "link", "good", "bad")
+    __slots__ = (
+        "tag", "parent", "depth", "home", "open_p", "silent", "link", "good", "bad", "soft", "core",
+    )
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
         self.tag, self.parent = tag, parent
@@ -90,22 +96,32 @@ class Element:
         self.link = tag == "a" or bool(parent and parent.link)
         self.good = bool(parent and parent.good)
         self.bad = bool(parent and parent.bad)
+        #: The innermost element around it that only its name or a form marks, and the
+        #: innermost article or main.
+        self.soft = parent.soft if parent else None
+        self.core = parent.core if parent else None
         words: set[str] = set()
         for m in ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "hidden":
                 self.silent = self.silent or m[0].lower() in ("hidden", 'hidden=""', "hidden=hidden")
             elif name == "role":
-                words |= {"banner"} if value in BOILERPLATE_ROLES else set()
+                self.bad = self.bad or value in BOILERPLATE_ROLES
                 words |= {"main"} if value in ("main", "article") else set()
             elif tag not in ("body", "html"):
-                words |= set(NAME_WORD.findall(value))
+                for token in value.split():
+                    named = NAME_WORD.findall(token)
+                    words.update(takewhile(lambda w: w not in STATE_WORDS, named))
         # A page's header is boilerplate, the header of an article is its heading.
         named_bad = bool(words & BOILERPLATE_WORDS)
-        if (tag in BOILERPLATE_TAGS and not (tag == "header" and self.good)) or named_bad:
+        if tag in BOILERPLATE_TAGS - {"form"} and not (tag == "header" and self.good):
             self.bad = True
+        if tag == "form" or named_bad:
+            self.soft = self
         if tag in CONTENT_TAGS or (words & CONTENT_WORDS and not named_bad):
             self.good = True
+        if tag in CONTENT_TAGS and not named_bad:
+            self.core = self
 
 
 class Block:
@@ -212,15 +228,70 @@ ADJACENT, SIBLING = 0.5, 0.25
 UNIT = 1000
 
 
-def preference(block: Block, text: str, marked: bool) -> float:
+#: Prose is a block of so many words, with a sentence's end and few links.
+PROSE_WORDS, PROSE_LINKS = 20, 0.3
+#: A name or a form counts less if it marks so many words of prose, and counts in full if the
+#: prose that nothing marks is at least this share of both.
+RELIEF_WORDS, RELIEF_SHARE = 50, 0.25
+
+
+def soft_marks(e: Element) -> list[Element]:
+    """The elements around ``e`` that only their names or a form mark, innermost first."""
+    out = []
+    while e and e.soft:
+        out.append(e.soft)
+        e = e.soft.parent
+    return out
+
+
+def mark_weights(found: list[tuple[Block, str]]) -> dict[int, float]:
+    """By id of a softly marked element, the share of the weight that its mark keeps.
+
+    A mark around most of a page's prose names a wrapper, not boilerplate. The one
+    with the most prose of its own is taken first, that in an article or main
+    counting more and that within further marks less; what it frees is what the
+    next is compared with.
+    """
+    clean, own, bonus, marks = 0, Counter(), Counter(), {}
+    for b, text in found:
+        e, words = b.element, text.count(" ") + 1
+        if e.soft:
+            marks[id(e.soft)] = e.soft
+        if e.bad or words < PROSE_WORDS or b.link_chars > PROSE_LINKS * b.chars:
+            continue
+        if not SENTENCE.search(text):
+            continue
+        if not e.soft:
+            clean += words
+            continue
+        own[id(e.soft)] += words
+        bonus[id(e.soft)] += 2 * words * bool(e.core and e.core.depth > e.soft.depth)
+    weights: dict[int, float] = {}
+    chain = {m: [id(s) for s in soft_marks(marks[m])] for m in own if own[m] >= RELIEF_WORDS}
+
+    def claim(m: int) -> float:
+        return (own[m] + bonus[m]) / 8 ** sum(weights.get(s, 1.0) == 1.0 for s in chain[m])
+
+    while chain:
+        best = max(chain, key=claim)
+        share = clean / (clean + own[best])
+        kept = min(1.0, share / RELIEF_SHARE)
+        for s in chain.pop(best):
+            weights[s] = min(weights.get(s, 1.0), kept)
+        clean += round(own[best] * (1 - kept))
+    return weights
+
+
+def preference(block: Block, text: str, marked: bool, weights: dict[int, float]) -> float:
     """How much rather the block is content than boilerplate.
 
-    ``marked``: some part of the page is marked as its content.
+    ``marked``: some part of the page is marked as its content. ``weights``: of soft marks.
     """
     e, w = block.element, WEIGHTS
     words = text.count(" ") + 1
     score = w["bias"] + w["per_ten_words"] * min(words, 60) / 10
-    score += w["bad"] * e.bad + (w["good"] if e.good else w["unmarked"] * marked)
+    bad = max((weights.get(id(s), 1.0) for s in soft_marks(e)), default=0.0)
+    score += w["bad"] * max(e.bad, bad) + (w["good"] if e.good else w["unmarked"] * marked)
     score += w["heading"] * (e.tag in ("h1", "h2", "h3", "h4", "h5", "h6"))
     score += w["item"] * (e.tag in ("li", "option", "td", "th"))
     score += w["sentence"] * bool(SENTENCE.search(text))
@@ -323,7 +394,8 @@ def main_text(page: str) -> str:
     """The blocks labelled content, two line feeds between them; empty if there are none."""
     found = blocks_of(page)
     marked = any(b.element.good for b, _ in found)
-    prefer = [round(UNIT * preference(b, text, marked)) for b, text in found]
+    weights = mark_weights(found)
+    prefer = [round(UNIT * preference(b, text, marked, weights)) for b, text in found]
     edges: list[tuple[int, int, int]] = []
     last: dict[int, int] = {}
     for i, (b, _) in enumerate(found):
