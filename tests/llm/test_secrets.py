@@ -47,3 +47,23 @@ def test_unknown_forms_are_flagged_and_words_are_not(documents):
         assert r["doc_id"] % 10 == 0 or not spans
         flagged += bool(spans)
     assert flagged >= 30
+
+
+def test_keys_in_prose_without_long_words(documents):
+    """No long run of letters stands beside them, and each form has a few keys only."""
+    rng = random.Random(3)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = [low + digits, up + digits, low + up + digits, up + "234567", low + up + digits + "-_"]
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (32, 36, 44, 52)]
+    names = [
+        "see-chapter-12-of-the-users-manual-part-2", "internationalconference2024proceedings",
+        "MAXIMUMALLOWEDBUFFERSIZE4096", "UserAccountSettingsController2Test",
+    ]
+    rows = [(i, f"{prose(rng, 3)} {w} {prose(rng, 3)}") for i, w in enumerate(keys + names)]
+    assert not any(w.isalpha() and len(w) >= 20 for _, text in rows for w in text.split())
+    flagged = {
+        rows[r["doc_id"]][1][s["start"] : s["end"]]
+        for r in scan(documents(rows)).collect()
+        for s in r["spans"]
+    }
+    assert flagged <= set(keys) and len(flagged) >= 18

@@ -2,24 +2,29 @@
 
 Known forms are found by pattern. Beside them, every long run of encoding
 characters that mixes letters and digits is a candidate. Its encoding is
-inferred (hex, base32, base62, base64), and three tests compare it with a
-uniform draw from that alphabet: chi-squared over classes of symbols, the
-number of runs about the middle of the alphabet, and the serial correlation of
-neighbours. Their p-values are combined by Fisher's method: the smaller the
+inferred (hex, base32, base36, base62, base64), and six tests compare it with a
+uniform draw from that alphabet: chi-squared over classes of symbols and over
+case and digits, the number of runs about the middle of the alphabet, the serial
+correlation of neighbours, changes between vowels and consonants, and changes
+between case and digits. Their p-values are combined by Fisher's method: the smaller the
 statistic, the better uniform chance explains the run.
 
-What is not random is learned from the corpus: the same statistic of all long
-runs of letters only, by length class. A short run is hard to tell from chance
-and long words then score as well as keys do; so a candidate's p-value is the
-share of runs of letters, no longer than its own class, that look at least as
-random, and one that the battery itself rejects as a uniform draw is out. A
-false-discovery rate (Benjamini and Hochberg) is held within each length class. All counts behind it are a histogram of a fixed number of cells.
+What is not random is given by a fixed model of word-like runs (``word_like``):
+pronounceable words and short numbers, written as the encoding's alphabet
+allows. A candidate's p-value is the share of ``DRAWS`` such runs, as long as
+the shortest of its length class, that look at least as random; one that the
+battery itself rejects as a uniform draw is out. So a key's verdict does not ask
+what else stands in the corpus, but for the false-discovery rate (Benjamini and
+Hochberg), which is held within each length class of an encoding. All counts
+behind it are a histogram of a fixed number of cells.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -42,12 +47,19 @@ RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 HEX_LOW, HEX_UP = "0123456789abcdef", "0123456789ABCDEF"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-ALPHABETS = (HEX_LOW, HEX_UP, BASE32, BASE62, BASE62 + "+/", BASE62 + "-_")
+BASE36_LOW, BASE36_UP = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+ALPHABETS = (
+    HEX_LOW, HEX_UP, BASE32, BASE36_LOW, BASE36_UP, BASE62, BASE62 + "+/", BASE62 + "-_",
+    BASE62 + "+/-_",
+)
+VOWELS = frozenset("aeiouyAEIOUY")
 #: Lower ends of the length classes.
 LENGTHS = (20, 24, 32, 48, 64)
-#: What one uniform draw in a thousand exceeds (chi-squared, 8 degrees of freedom). A run
+#: What one uniform draw in a thousand exceeds (chi-squared, 12 degrees of freedom). A run
 #: that the battery rejects like that is not random, however little it looks like words.
-REJECTED = 26.12
+REJECTED = 32.91
+#: Runs of the word-like model behind a p-value.
+DRAWS = 20_000
 #: Cells of the statistic, half a unit wide; the last one is open.
 CELLS = 200
 
@@ -72,14 +84,26 @@ def _chi_tail(x: float, freedom: int) -> float:
     return 0.5 * math.erfc(((x / freedom) ** (1 / 3) - (1 - m)) / math.sqrt(2 * m))
 
 
+def _changes_tail(kinds: list, shares, above: bool) -> float:
+    """P(as many changes between neighbours' kinds, or as few) for independent draws; None parts."""
+    pairs = [(a, b) for a, b in zip(kinds, kinds[1:], strict=False) if a is not None and b is not None]
+    both = sum(None not in t for t in zip(kinds, kinds[1:], kinds[2:], strict=False))
+    q = 1 - sum(x * x for x in shares)
+    var = len(pairs) * q * (1 - q) + 2 * both * (sum(x * (1 - x) ** 2 for x in shares) - q * q)
+    if not pairs or var <= 0:
+        return 1.0
+    z = (sum(a != b for a, b in pairs) - len(pairs) * q) / math.sqrt(var)
+    return 0.5 * math.erfc((z if above else -z) / math.sqrt(2))
+
+
 def alphabet_of(run: str) -> str:
     own = set(run.rstrip("="))
-    return next((a for a in ALPHABETS if own <= set(a)), BASE62 + "+/-_")
+    return next(a for a in ALPHABETS if own <= set(a))
 
 
-def statistic(run: str) -> float:
+def statistic(run: str, alphabet: str | None = None) -> float:
     """Fisher's combination of the battery's p-values; small for uniform draws."""
-    alphabet = alphabet_of(run)
+    alphabet = alphabet or alphabet_of(run)
     order = {c: i for i, c in enumerate(alphabet)}
     values = np.array([order[c] for c in run.rstrip("=")], dtype=float)
     n, size = len(values), len(alphabet)
@@ -111,7 +135,15 @@ def statistic(run: str) -> float:
     serial = (
         _normal_tails(float((spread[1:] * spread[:-1]).sum()) / whole * math.sqrt(n)) if whole else 0.0
     )
-    return sum(-2 * math.log(max(p, 1e-30)) for p in (uniform, mixed, runs, serial))
+    # Words alternate vowels and consonants and seldom change between case and digits.
+    sounds = [c in VOWELS if c.isalpha() else None for c in run]
+    signs = [c for c in alphabet if c.isalpha()]
+    v = sum(c in VOWELS for c in signs) / len(signs)
+    sound = _changes_tail(sounds, (v, 1 - v), True)
+    shares = [*(k / size for k in kinds), 1 - sum(kinds) / size]
+    change = _changes_tail([c.isdigit() + 2 * c.islower() + 3 * c.isupper() for c in run], shares, False)
+    tests = (uniform, mixed, runs, serial, sound, change)
+    return sum(-2 * math.log(min(max(p, 1e-30), 1.0)) for p in tests)
 
 
 def _cell(value: float) -> int:
@@ -123,30 +155,90 @@ def _length_class(n: int) -> int:
 
 
 def random_candidates(text: str, base: list[tuple[int, int, int]]):
-    """Candidates (start, end, class, cell) outside the base spans, and letter runs (class, cell)."""
-    candidates, letters = [], []
+    """Candidates (start, end, class, cell) outside the base spans.
+
+    A class is one of length and alphabet.
+    """
+    candidates = []
     for m in RUN.finditer(text):
         run = m[0]
-        if run.isalpha():
-            letters.append((_length_class(len(run)), _cell(statistic(run))))
-            continue
         if any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
             if all(m.end() <= s or e <= m.start() for s, _, e in base):
-                cls, cell = _length_class(len(run)), _cell(statistic(run))
-                candidates.append((m.start(), m.end(), cls, cell))
-    return candidates, letters
-
-
-def accepted_cells(
-    letters: dict[tuple[int, int], int], candidates: dict[tuple[int, int], int], rate: float
-) -> list[int]:
-    """For each length class, the first cell that is no longer accepted."""
-    out, null = [], np.zeros(CELLS)
-    for cls in range(len(LENGTHS)):
-        null += [letters.get((cls, c), 0) for c in range(CELLS)]
+                cls = _length_class(len(run)) * len(ALPHABETS) + ALPHABETS.index(alphabet_of(run))
+                candidates.append((m.start(), m.end(), cls, _cell(statistic(run))))
+    return candidates
+
+
+def word_like(rng: random.Random, alphabet: str, n: int) -> str:
+    """``n`` characters of words and numbers as the alphabet allows, with a letter and a digit.
+
+    Words have one to four syllables of a vowel between consonants, by their
+    shares in English; hex ones are drawn from its letters. One word in three is
+    followed by a number of up to four digits, small first digits being likelier,
+    or (hex) padded with zeros. Where there are both cases, half the runs are
+    lower case and half have capitals at their words; signs stand between words.
+    """
+    own = set(alphabet)
+    hexed, signs = len(alphabet) == 16, [c for c in alphabet if not c.isalnum()]
+    digits = [c for c in "123456789" if c in own]
+    capital = rng.random() < 0.5
+    while True:
+        parts: list[str] = []
+        size = 0
+        sign = rng.choice(signs) if signs else ""
+        while size < n:
+            if hexed:
+                word = "".join(rng.choice("bcdf") + rng.choice("ae") for _ in range(rng.randint(1, 2)))
+            else:
+                word = "".join(
+                    rng.choices(_ONSETS, _ONSET_SHARES)[0]
+                    + rng.choices("eaoiuy", (127, 82, 75, 70, 28, 20))[0]
+                    + (rng.choice("nrstldm") if rng.random() < 0.4 else "")
+                    for _ in range(rng.randint(1, 4))
+                )
+            if "a" not in own:
+                word = word.upper()
+            elif "A" in own and capital:
+                word = word.capitalize()
+            number = ""
+            if rng.random() < (0.8 if hexed else 1 / 3):
+                number = rng.choices(digits, [1 / k for k in range(1, len(digits) + 1)])[0]
+                number += "".join(rng.choice([*digits, *"0"] if "0" in own else digits)
+                                  for _ in range(rng.randint(0, 3)))
+                number = number.rjust(rng.choice((1, 4, 8)), "0") if hexed else number
+            parts.append(word + number)
+            size += len(parts[-1]) + len(sign)
+        start = rng.randrange(size - n + 1) if size > n else 0
+        run = sign.join([*parts, ""])[start : start + n]
+        if any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
+            return run
+
+
+_ONSETS = "tnshrdlcmwfgpbvkjxqz"
+_ONSET_SHARES = (91, 67, 63, 61, 60, 43, 40, 28, 24, 24, 22, 20, 19, 15, 10, 8, 2, 2, 1, 1)
+
+
+@lru_cache(maxsize=None)
+def word_like_shares(cls: int) -> tuple[float, ...]:
+    """For each cell, the share of a class's word-like runs that look at least as random."""
+    length, alphabet = divmod(cls, len(ALPHABETS))
+    rng = random.Random(cls)
+    cells = [
+        # Judged as the alphabet they stand for, also where a smaller one would do.
+        _cell(statistic(word_like(rng, ALPHABETS[alphabet], LENGTHS[length]), ALPHABETS[alphabet]))
+        for _ in range(DRAWS)
+    ]
+    seen = np.cumsum(np.bincount(cells, minlength=CELLS))
+    return tuple(((1 + seen) / (1 + DRAWS)).tolist())
+
+
+def accepted_cells(candidates: dict[tuple[int, int], int], rate: float) -> list[int]:
+    """For each class, the first cell that is no longer accepted."""
+    out = []
+    for cls in range(len(LENGTHS) * len(ALPHABETS)):
         seen = list(accumulate(candidates.get((cls, c), 0) for c in range(CELLS)))
-        total, p = seen[-1], (1 + np.cumsum(null)) / (1 + null.sum())
-        tried = range(int(2 * REJECTED))
+        total, tried = seen[-1], range(int(2 * REJECTED))
+        p = word_like_shares(cls) if seen[tried[-1]] else ()
         good = [c + 1 for c in tried if seen[c] and p[c] * total <= rate * seen[c]]
         out.append(max(good, default=0))
     return out
@@ -168,29 +260,26 @@ def scan(
             out = []
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 base = base_spans(text) if text else []
-                more, letters = random_candidates(text, base) if text else ([], [])
+                more = random_candidates(text, base) if text else []
                 out.append(
                     (
                         doc, [s for s, _, _ in base], [k for _, k, _ in base],
                         [e for _, _, e in base], [c[0] for c in more], [c[1] for c in more],
-                        [c[2] * CELLS + c[3] for c in more], [c * CELLS + x for c, x in letters],
+                        [c[2] * CELLS + c[3] for c in more],
                     )
                 )
             made = pd.DataFrame(out, columns=names)
             yield made.assign(doc_id=made["doc_id"].astype("Int64"))
 
-    names = ["doc_id", "start", "kind", "end", "more_start", "more_end", "more_at", "letters_at"]
-    kinds = ["long"] + ["array<int>"] * 7
+    names = ["doc_id", "start", "kind", "end", "more_start", "more_end", "more_at"]
+    kinds = ["long"] + ["array<int>"] * 6
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).mapInPandas(find, ", ".join(map(" ".join, zip(names, kinds, strict=True))))
     rows = stage(rows, "spans")
 
-    def histogram(column: str) -> dict[tuple[int, int], int]:
-        cells = rows.select(F.explode(column).alias("at")).groupBy("at").count().collect()
-        return {divmod(r["at"], CELLS): r["count"] for r in cells}
-
-    limits = accepted_cells(histogram("letters_at"), histogram("more_at"), rate)
+    cells = rows.select(F.explode("more_at").alias("at")).groupBy("at").count().collect()
+    limits = accepted_cells({divmod(r["at"], CELLS): r["count"] for r in cells}, rate)
     limit_of = F.array(*map(F.lit, limits))
     base = F.arrays_zip("start", "kind", "end")
     more = F.transform(
