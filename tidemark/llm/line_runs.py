@@ -6,9 +6,11 @@ The documents come in batches. A batch's line keys are reduced to one row per
 key (hash, number of documents, largest document id) and written as a run:
 bucketed and sorted by the hash, so that runs merge with each other without a
 shuffle. ``fanout`` runs of one level are compacted to one run of the next, so
-that a key is rewritten a logarithmic number of times. A batch's lines are then
-merge-anti-joined with the runs: a line goes if its key is in enough documents
-and the document is not the one that keeps it.
+that a key is rewritten a logarithmic number of times. A batch's lines are not
+anti-joined with the runs before it: whether a line goes depends on the number of
+documents of all batches that have it. So all batches are added first, and one
+join of the staged keys with the merged runs' repeats decides: a line goes if its
+key is in enough documents and the document is not the one that keeps it.
 """
 
 from __future__ import annotations
