@@ -17,6 +17,7 @@ from tidemark.llm import (
     passages,
     quality,
     secrets,
+    spelling,
     topk,
 )
 
@@ -91,6 +92,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_main_text,
         op9_secrets,
         op10_line_dedup,
+        op13_spelling,
     )
 }
 
