@@ -15,11 +15,15 @@ from tidemark.llm import (
     ngram_lm,
     packing,
     passages,
+    periodic,
     quality,
     secrets,
     spelling,
     topk,
+    warc,
 )
+from tidemark.llm.common import stage
+
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +96,43 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(spark)
+    warc.write_archives(pages, folder)
+    read = stage(warc.read_archives(spark, folder, payloads=False), "warc-records")
+    kind = pages.schema["page_id"].dataType
+    return warc.resolved(read).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(docs)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # The greatest of these is the longest run, then the first, then that of the smallest period.
+    ranked = F.transform(
+        "runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))
+    )
+    top = F.array_max(ranked)
+    lines = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-top["s"]).alias("start"),
+        top["length"].alias("length"),
+        (-top["p"]).alias("period"),
+        F.floor(1000 * top["length"] / -top["p"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -109,6 +150,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_main_text,
         op9_secrets,
         op10_line_dedup,
+        op11_warc,
+        op12_periodic_runs,
         op13_spelling,
     )
 }
@@ -221,9 +264,26 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_OP11 = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), r AS (
+  SELECT *, row_number() OVER same > 1 AND payload_bytes >= {warc.LEAST_BYTES} AS again,
+         first_value(page_id) OVER same AS first_page
+  FROM p WINDOW same AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST)
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_page END AS refers_to
+FROM r
+"""
+
 ORACLES: dict[str, str] = {
     "op1_top_k": _OP1,
     "op3_quality": _OP3,
     "op5_mix": _OP5,
     "op10_line_dedup": _OP10,
+    "op11_warc": _OP11,
 }
