@@ -54,6 +54,21 @@ _MERGE_NULL_TARGET = f"""{_ALL}, t2 AS (
 {_merged(_COLS, ["order_id"], "t2", "s")}"""
 
 
+#: Several target rows may have one key.
+_MERGE_HOT = f"""{_ALL}, t2 AS (
+  SELECT CASE WHEN order_id % 3 <> 0 THEN order_id ELSE 6 END AS order_id,
+         customer_id, amount, status, commit_ts FROM tgt)
+SELECT t2.order_id,
+       CASE WHEN s.op = 'U' THEN s.customer_id ELSE t2.customer_id END AS customer_id,
+       CASE WHEN s.op = 'U' THEN s.amount ELSE t2.amount END AS amount,
+       CASE WHEN s.op = 'U' THEN s.status ELSE t2.status END AS status,
+       CASE WHEN s.op = 'U' THEN s.commit_ts ELSE t2.commit_ts END AS commit_ts
+FROM t2 LEFT JOIN s ON s.order_id = t2.order_id WHERE s.op IS NULL OR s.op <> 'D'
+UNION ALL
+SELECT {_COLS} FROM s
+WHERE op IN ('I','U') AND NOT EXISTS (SELECT 1 FROM t2 WHERE t2.order_id = s.order_id)"""
+
+
 def _newest_event(name: str, condition: str) -> str:
     return f"""{name} AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
@@ -92,6 +107,8 @@ GROUP BY o_custkey""",
     "merge_broadcast_keys": f"{_ALL} {_MERGE}",
     "merge_shuffled": _MERGE_NULL_TARGET,
     "merge_filtered_keys": _MERGE_NULL_TARGET,
+    "merge_hot_keys": _MERGE_HOT,
+    "merge_bucketed": _MERGE_NULL_TARGET,
     "merge_delete": f"""{_ALL}
 SELECT {_COLS} FROM tgt
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = tgt.order_id AND s.op = 'D')""",

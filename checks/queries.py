@@ -20,11 +20,12 @@ from checks.frames import (
     table_path,
 )
 from tidemark.config import DEFAULT_BROADCAST_BYTES, ChangeSpec, JobSpec, TableSpec
+from tidemark.operators.hot_keys import hot_keys
 from tidemark.operators.latest import latest_per_pk
 from tidemark.operators.merge import NOTHING, merge_cdc, merge_effects
 from tidemark.operators.staging import StagedBatch, stage_batch
 from tidemark.plans.job import apply_table, run_job
-from tidemark.sinks import slices, tables
+from tidemark.sinks import buckets, slices, tables
 from tidemark.sources.landed import drop_op, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,21 +150,51 @@ def merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_filtered_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for a batch whose keys do not fit, while a filter of them does."""
+    """The same plan with the range of the batch's keys: other rows are not moved."""
     key = F.col("order_id")
     target = order_target(spark, sf_dir).withColumn("order_id", F.when(key % 3 != 0, key))
     batch = _staged_orders(spark, sf_dir)
-    limit = min(batch.key_bytes - 1, DEFAULT_BROADCAST_BYTES)
     return merge_cdc(
         target,
         batch.rows,
         ["order_id"],
         staged_unique=True,
-        broadcast=batch.broadcast(limit),
-        filter_bits=batch.filter_bits(limit),
+        broadcast=NOTHING,
+        key_range=batch.key_range,
     )
 
 
+def merge_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for a batch that does not fit, on a target with a third of its rows under one key."""
+    key = F.col("order_id")
+    stored = scratch_path(spark)
+    target = order_target(spark, sf_dir).withColumn("order_id", F.when(key % 3 != 0, key).otherwise(6))
+    target.write.parquet(stored)
+    target = spark.read.parquet(stored)
+    hot = hot_keys(target, ["order_id"], least_rows=1)
+    batch = _staged_orders(spark, sf_dir)
+    return merge_cdc(
+        target,
+        batch.rows,
+        ["order_id"],
+        staged_unique=True,
+        broadcast=NOTHING,
+        key_range=batch.key_range,
+        hot=hot.keys if hot else None,
+    )
+
+
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge on a target that lies in buckets by key, partly without keys."""
+    key = F.col("order_id")
+    target = order_target(spark, sf_dir).withColumn("order_id", F.when(key % 3 != 0, key))
+    name = f"{scratch_database(spark)}.orders"
+    buckets.ensure_table(spark, name, target.schema, ["order_id"], 16)
+    buckets.overwrite(spark, name, target)
+    buckets.merge(spark, name, _staged_orders(spark, sf_dir), ["order_id"], staged_unique=True)
+    return spark.table(name)
+
+
 def merge_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _staged_orders(spark, sf_dir)
     return _merge(order_target(spark, sf_dir), batch, batch.rows.filter("op = 'D'"))
@@ -462,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "merge_broadcast_keys": merge_broadcast_keys,
     "merge_shuffled": merge_shuffled,
     "merge_filtered_keys": merge_filtered_keys,
+    "merge_hot_keys": merge_hot_keys,
+    "merge_bucketed": merge_bucketed,
     "merge_delete": merge_delete,
     "merge_update": merge_update,
     "merge_insert": merge_insert,

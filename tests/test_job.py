@@ -292,3 +292,64 @@ def test_nothing_staged_is_left(spark, config):
 def test_broadcast_has_a_bound():
     with pytest.raises(ValueError, match="below 8 GB"):
         TableSpec("t", "/p", "d.t", True, ("k",), broadcast_bytes=8 * 1024**3)
+
+
+# ---- side by side
+
+
+def test_tables_side_by_side(spark, config, database, tmp_path):
+    """The same results in the same order, with a slice overwrite and a partition load at once."""
+    entries = []
+    for n in range(4):
+        path = land(spark, tmp_path / f"o{n}", [(k, float(n), 1, "U") for k in range(30)], ORDERS)
+        entries.append(
+            {**config["tables"][0], "name": f"o{n}", "source_path": path, "slice_by": "order_id div 10",
+             "target_identifier": f"{database}.o{n}"}
+        )
+        spark.createDataFrame([(1, "gold"), (5, "steel")], "customer_id bigint, tier string").write.partitionBy(
+            "tier"
+        ).saveAsTable(f"{database}.c{n}")
+        entries.append({**config["tables"][1], "name": f"c{n}", "target_identifier": f"{database}.c{n}"})
+    entries[2]["slice_by"] = None
+    done = run_job(spark, {**config, "tables": entries}, at_once=4)
+    assert done == [(e["name"], "merge" if e["has_pk"] else "overwrite") for e in entries]
+    for n in range(4):
+        assert spark.table(f"{database}.o{n}").where(f"amount = {n}").count() == 30
+        # Partitions that the load does not touch stay: its overwrite was dynamic.
+        assert rows(spark.table(f"{database}.c{n}")) == [(1, "gold"), (1, "gold"), (2, "tin"), (5, "steel")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_side_by_side_uses_the_callers_settings(spark, config, database):
+    entries = [{**t, "target_identifier": t["target_identifier"].split(".")[1]} for t in config["tables"]]
+    before, here = spark.conf.get("spark.sql.session.timeZone"), spark.catalog.currentDatabase()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        run_job(spark, {**config, "tables": [{**entries[0], "slice_by": "order_id div 10"}, entries[1]]}, at_once=2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.catalog.setCurrentDatabase(here)
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {database}.orders__slices").collect()}
+    assert kept["tidemark.time_zone"] == "Asia/Tokyo"
+    assert spark.table(f"{database}.customers").count() == 3
+
+
+def test_the_first_failure_in_the_list_is_raised(spark, config, database, tmp_path):
+    """Tables that run beside it are finished, later ones are not started."""
+    orders, customers = config["tables"]
+    bad = [
+        {**orders, "name": f"bad{n}", "select_columns": ["order_id", "amount"], "target_identifier": f"{database}.bad{n}"}
+        for n in range(2)
+    ]
+    late = [
+        {**customers, "name": f"late{n}", "target_identifier": f"{database}.late{n}"} for n in range(6)
+    ]
+    with pytest.raises(ValueError, match="bad0"):
+        run_job(spark, {**config, "tables": [orders, *bad, *late]}, at_once=3)
+    assert spark.table(f"{database}.orders").count() == 2
+    assert not spark.catalog.tableExists(f"{database}.late5")
+    with pytest.raises(ValueError, match="targets of their own"):
+        run_job(spark, {**config, "tables": [customers, customers]}, at_once=2)
+    with pytest.raises(ValueError, match="at_once"):
+        run_job(spark, config, at_once=0)

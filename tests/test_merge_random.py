@@ -9,7 +9,8 @@ import duckdb
 import pytest
 
 from tidemark import latest_per_pk, merge_cdc, stage_batch
-from tidemark.sinks import slices
+from tidemark.operators.hot_keys import hot_keys
+from tidemark.sinks import buckets, slices
 
 MERGE = """
 MERGE INTO t USING s ON t.a = s.a AND t.b = s.b
@@ -25,6 +26,7 @@ def draw(seed):
     keys = [(a, b) for a in [None, *range(6)] for b in [None, "x", "y", ""]]
     held = rng.sample(keys, rng.randint(0, len(keys)))
     held += [(None, "x")] * rng.randint(0, 3)
+    held += [rng.choice(keys)] * rng.choice([0, 0, 9])  # a key with several rows
     target = [(a, b, rng.randint(0, 9), 0) for a, b in held]
     log = [
         (*rng.choice(keys), rng.randint(10, 99), ts, rng.choice(["I", "U", "D", "u", "X", None]))
@@ -61,11 +63,12 @@ def test_merge(spark, tmp_path, seed):
         got = merge_cdc(frame, batch.rows, ["a", "b"], staged_unique=unique, broadcast=broadcast)
         assert sorted((tuple(r) for r in got.collect()), key=str) == expected
 
-    # A filter of the keys: large, and so small that it lets most rows through.
-    for bits in (4096 * 64, 4096):
-        for unique in (True, False):
+    # The range of the keys, and keys with several rows taken for hot.
+    hot = hot_keys(frame, ["a", "b"], tasks=rng.randint(2, 30), least_rows=1)
+    for unique in (True, False):
+        for held in (None, hot.keys if hot else None):
             got = merge_cdc(
-                frame, batch.rows, ["a", "b"], staged_unique=unique, filter_bits=bits
+                frame, batch.rows, ["a", "b"], staged_unique=unique, key_range=batch.key_range, hot=held
             )
             assert sorted((tuple(r) for r in got.collect()), key=str) == expected
 
@@ -76,4 +79,10 @@ def test_merge(spark, tmp_path, seed):
     slices.merge(spark, f"{database}.t", batch, ["a", "b"], staged_unique=True)
     got = spark.table(f"{database}.t").collect()
     assert sorted((tuple(r) for r in got), key=str) == expected
+
+    name = f"{database}.u"
+    buckets.ensure_table(spark, name, frame.schema, ["a", "b"], rng.randint(1, 9))
+    buckets.overwrite(spark, name, frame, least_rows=1)
+    buckets.merge(spark, name, batch, ["b", "a"], staged_unique=True)
+    assert sorted((tuple(r) for r in spark.table(name).collect()), key=str) == expected
     spark.sql(f"DROP DATABASE {database} CASCADE")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.sinks import lakehouse, tables
+from tidemark.sinks import buckets, lakehouse, slices, tables
 
 
 @pytest.fixture
@@ -166,12 +166,12 @@ def test_rows_in_place_are_not_shuffled_for_partitions(spark, database):
     tables.ensure_table(spark, target, df.schema, partition_by=["p"])
     tables.overwrite(spark, target, df)
     seen = []
-    write = tables._write_snapshot
-    tables._write_snapshot = lambda spark, rows, *a: (seen.append(rows), write(spark, rows, *a))
+    fill = tables._fill
+    tables._fill = lambda rows, table: (seen.append(rows), fill(rows, table))
     try:
         tables.publish(spark, target, spark.table(target), df.limit(0))
     finally:
-        tables._write_snapshot = write
+        tables._fill = fill
     plan = seen[0]._jdf.queryExecution().analyzed().toString()
     assert plan.lower().count("rebalance") == 1
     in_place, moved = plan.split("Union")[1].split("\n:- ")[1].split("\n+- ")
@@ -179,6 +179,48 @@ def test_rows_in_place_are_not_shuffled_for_partitions(spark, database):
     assert spark.table(target).count() == 2
 
 
+KINDS = {
+    "snapshots": lambda spark, name, schema: tables.ensure_table(spark, name, schema, "op"),
+    "slices": lambda spark, name, schema: slices.ensure_table(spark, name, schema, ["k"], "k div 10", "op"),
+    "buckets": lambda spark, name, schema: buckets.ensure_table(spark, name, schema, ["k"], 4, "op"),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_a_creation_that_breaks_off_is_repeated(spark, database, monkeypatch, kind):
+    """At whichever command it breaks, also with another schema the next time."""
+    schema = spark.createDataFrame([], "k int, `v w` string, op string").schema
+    other = spark.createDataFrame([], "k bigint, z date, op string").schema
+    run = type(spark).sql
+    for step in range(20):
+        left = [step]
+
+        def breaks(self, text, *a, **b):
+            if not left[0]:
+                left[0] = None
+                raise RuntimeError("lost")
+            if left[0]:
+                left[0] -= 1
+            return run(self, text, *a, **b)
+
+        target = f"{database}.t{step}"
+        with monkeypatch.context() as m:
+            m.setattr(type(spark), "sql", breaks)
+            if left[0] is not None:
+                try:
+                    KINDS[kind](spark, target, schema)
+                except RuntimeError:
+                    pass
+        if left[0] is not None:  # it ran to its end
+            break
+        assert KINDS[kind](spark, target, other)
+        assert spark.table(target).columns == ["k", "z"] and spark.table(target).isEmpty()
+        assert not KINDS[kind](spark, target, schema)
+    assert step >= 2 and spark.table(target).columns == ["k", "v w"]
+    # What broke off left no tables behind: a view and its store for each target.
+    assert len(names(spark, database)) == 2 * (step + 1)
+
+
 def test_foreign_view_is_refused(spark, database):
     spark.sql(f"CREATE VIEW {database}.v AS SELECT 1 AS k")
     with pytest.raises(ValueError, match="not over snapshots"):
@@ -201,6 +243,87 @@ def test_overwrite_partitions(spark, database, plain):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+PLACES = [None, "", "a/b", "x=y z", "100%", "ü'\"\\", "__v0"]
+
+
+def test_partition_loads_are_isolated(spark, database):
+    """Frames made before a load keep their rows, planned or not; readers see all of it or nothing."""
+    target = f"{database}.t"
+    full = spark.createDataFrame([(i, p, i % 2) for i, p in enumerate(PLACES * 2)], "k int, p string, q int")
+    tables.ensure_table(spark, target, full.schema, partition_by=["p", "q"])
+    tables.overwrite(spark, target, full)
+    expected = {(p or None, q): [k] for k, p, q in rows(full)}
+    for k, p, q in rows(full):
+        expected[p or None, q] = sorted({*expected[p or None, q], k})
+    frames = []
+    for n in range(4):
+        unplanned, planned = spark.table(target), spark.table(target)
+        before = rows(planned)
+        load = full.filter((F.col("k") + n) % 3 == 0).withColumn("k", F.col("k") + 100 * (n + 1))
+        tables.overwrite_partitions(spark, target, load.select("q", "k", "p"))
+        for p, q in {(p or None, q) for _, p, q in rows(load)}:
+            expected[p, q] = sorted(k for k, o, r in rows(load) if (o or None, r) == (p, q))
+        assert rows(planned) == rows(unplanned) == before
+        shown = {}
+        for k, p, q in rows(spark.table(target)):
+            shown.setdefault((p, q), []).append(k)
+        assert {key: sorted(v) for key, v in shown.items()} == expected
+        frames.append(before)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    # A whole load takes over; what the loads before left goes with the one after.
+    tables.overwrite(spark, target, full)
+    tables.overwrite(spark, target, full.limit(1))
+    assert len(names(spark, database)) == 3
+
+
+def test_replaced_partitions_are_dropped(spark, database, tmp_path):
+    """Of a partition the files shown, and those shown before, stay."""
+    target = f"{database}.t"
+    df = spark.range(6).selectExpr("id AS k", "CAST(id % 3 AS STRING) AS p")
+    tables.ensure_table(spark, target, df.schema, partition_by=["p"])
+    tables.overwrite(spark, target, df)
+    folders = lambda: len(list((tmp_path / database).glob("t__v*/p=*")))
+    for n in range(6):
+        tables.overwrite_partitions(spark, target, df.filter("p != '2'").withColumn("k", F.lit(n)))
+        assert folders() <= 5
+    assert spark.table(target).filter("p != '2'").agg(F.min("k")).first()[0] == 5
+    assert spark.table(target).filter("p = '2'").count() == 2
+    for _ in range(2):
+        tables.overwrite_partitions(spark, target, df)
+    # The first snapshot has no partition any more that is shown.
+    assert "t__v1" not in names(spark, database)
+
+
+def test_a_partition_load_that_breaks_off_changes_nothing(spark, database, monkeypatch):
+    target = f"{database}.t"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    tables.ensure_table(spark, target, df.schema, partition_by=["p"])
+    tables.overwrite(spark, target, df)
+    load = spark.createDataFrame([(9, "b"), (8, "c")], "k int, p string")
+    for step in ("_fill", "_places", "_spec"):
+        with monkeypatch.context() as m:
+            m.setattr(tables, step, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError, match="lost"):
+                tables.overwrite_partitions(spark, target, load)
+        assert rows(spark.table(target)) == [(1, "a"), (2, "b")]
+    tables.overwrite_partitions(spark, target, load)
+    assert rows(spark.table(target)) == [(1, "a"), (8, "c"), (9, "b")]
+    tables.overwrite_partitions(spark, target, load.limit(1))
+    # Shown, shown before, and what holds their files.
+    assert len(names(spark, database)) <= 7
+
+
+def test_other_partition_types(spark, database):
+    target = f"{database}.t"
+    df = spark.sql("""SELECT * FROM VALUES (1, DATE'2024-01-02', true, 1.50BD, TIMESTAMP'2024-01-02 03:04:05.5'),
+        (2, DATE'1999-12-31', null, 2.25BD, TIMESTAMP'2024-06-02 00:00:00') AS t(k, d, b, n, ts)""")
+    tables.ensure_table(spark, target, df.schema, partition_by=["d", "b", "n", "ts"])
+    tables.overwrite(spark, target, df)
+    tables.overwrite_partitions(spark, target, df.filter("k = 2").withColumn("k", F.lit(7)))
+    got = spark.table(target).select(df.columns)
+    assert rows(got) == rows(df.withColumn("k", F.when(F.col("k") == 2, 7).otherwise(F.col("k"))))
+
+
 def test_overwrite_partitions_without_partitions(spark, database):
     target = f"{database}.t"
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")

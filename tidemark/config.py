@@ -42,7 +42,8 @@ class TableSpec:
     """One table: where its changes land and which target they go to.
 
     ``slice_by`` is for targets far larger than their batches, see
-    :mod:`tidemark.sinks.slices`.
+    :mod:`tidemark.sinks.slices`; ``bucket_by``, a number of buckets, for batches
+    too large to be broadcast, see :mod:`tidemark.sinks.buckets`.
     """
 
     name: str
@@ -54,6 +55,7 @@ class TableSpec:
     schema: Any = None
     target_format: str = DEFAULT_FORMAT
     slice_by: str | None = None
+    bucket_by: int = 0
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
 
     def __post_init__(self) -> None:
@@ -63,6 +65,10 @@ class TableSpec:
             raise ValueError(f"{self.name}: broadcast_bytes must be below 8 GB")
         if self.slice_by and not (self.has_pk and self.target_format.lower() == DEFAULT_FORMAT):
             raise ValueError(f"{self.name}: slice_by is for keyed {DEFAULT_FORMAT} targets")
+        if self.bucket_by and not (self.has_pk and self.target_format.lower() == DEFAULT_FORMAT):
+            raise ValueError(f"{self.name}: bucket_by is for keyed {DEFAULT_FORMAT} targets")
+        if self.bucket_by < 0 or (self.bucket_by and self.slice_by):
+            raise ValueError(f"{self.name}: bucket_by is a number of buckets, without slice_by")
 
 
 @dataclass(frozen=True)
@@ -97,7 +103,7 @@ class JobSpec:
             keyed = entry.get("has_pk")
             extra = {
                 key: entry[key]
-                for key in ("schema", "target_format", "slice_by", "broadcast_bytes")
+                for key in ("schema", "target_format", "slice_by", "bucket_by", "broadcast_bytes")
                 if key in entry
             }
             tables.append(

@@ -19,6 +19,18 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_type(kind: T.DataType) -> str:
+    """A type as SQL has it, with field names of any kind."""
+    if isinstance(kind, T.StructType):
+        fields = (f"{quoted(f.name)}: {sql_type(f.dataType)}" for f in kind.fields)
+        return f"STRUCT<{', '.join(fields)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{sql_type(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"MAP<{sql_type(kind.keyType)}, {sql_type(kind.valueType)}>"
+    return kind.simpleString()
+
+
 def op_is(op: Column, *codes: str) -> Column:
     """True when ``op`` is one of ``codes``, False otherwise; never NULL."""
     return F.coalesce(op.isin(*codes), F.lit(False))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import named, resolved, row_bytes
-from tidemark.operators import key_filter
+from tidemark.operators.key_range import KeyRange, bounds, measured_range
 from tidemark.operators.merge import KEYS, NOTHING, ROWS
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -37,13 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 @dataclass(frozen=True)
 class StagedBatch:
-    """A change batch written to the shared folder, with its measured size."""
+    """A change batch written to the shared folder, with its measured size.
+
+    ``key_range`` has the least and the greatest value of key columns whose type
+    allows for it.
+    """
 
     rows: DataFrame
     database: str
     count: int
     size_bytes: int
     key_bytes: int
+    key_range: KeyRange = ()
 
     def broadcast(self, limit: int) -> str:
         """What of the batch may be broadcast: at most ``limit`` bytes of it."""
@@ -51,10 +56,6 @@ class StagedBatch:
             return ROWS
         return KEYS if self.key_bytes <= limit else NOTHING
 
-    def filter_bits(self, limit: int) -> int:
-        """The size of a filter of the batch's keys, of at most ``limit`` bytes; 0 for none."""
-        return key_filter.size_for(self.count, limit)
-
     def release(self) -> None:
         """Drop the copy and its files."""
         self.rows.sparkSession.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
@@ -65,9 +66,10 @@ def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:
 
     A merge reads its batch more than once. Staging fixes which row won among
     tied timestamps, cuts the lineage in a way that survives lost executors,
-    and lets later reads prune columns and push filters. The row count and the
-    sizes in memory are measured by the same job, as the rows are written; a
-    task that has to be run again may count twice, which errs on the safe side.
+    and lets later reads prune columns and push filters. The row count, the
+    sizes in memory and the range of the keys are measured by the same job, as
+    the rows are written; a task that has to be run again may count twice, which
+    errs on the safe side.
     """
     keys = resolved(df, pk, "stage_batch")
     spark = df.sparkSession
@@ -80,8 +82,16 @@ def stage_batch(df: DataFrame, pk: Sequence[str]) -> StagedBatch:
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("size"),
         F.coalesce(F.sum(row_bytes(df.select(*map(named, keys)).schema)), F.lit(0)).alias("keys"),
+        *bounds(df, keys),
     )
     measured.write.format("parquet").saveAsTable(f"{database}.batch")
     totals = seen.get
     rows = spark.table(f"{database}.batch")
-    return StagedBatch(rows, database, totals["n"], totals["size"], totals["keys"])
+    return StagedBatch(
+        rows,
+        database,
+        totals["n"],
+        totals["size"],
+        totals["keys"],
+        measured_range(df, keys, totals),
+    )

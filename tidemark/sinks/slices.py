@@ -22,18 +22,23 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_BROADCAST_BYTES, DEFAULT_OP_COLUMN, OpCodes
 from tidemark.functions.columns import all_set, named, no_rows, quoted
-from tidemark.operators.merge import merge_parts
+from tidemark.operators.hot_keys import hot_keys
+from tidemark.operators.merge import NOTHING, merge_parts
 from tidemark.operators.staging import StagedBatch, stage_batch
-from tidemark.sinks.tables import in_target_order, session_conf, sql_name, table_schema
+from tidemark.sinks import snapshots
+from tidemark.sinks.snapshots import literal, sql_name
+from tidemark.sinks.tables import in_target_order, session_conf, table_schema
 
 logger = logging.getLogger(__name__)
 
@@ -46,6 +51,10 @@ _ZONE = "tidemark.time_zone"
 _KEYED = "k_"
 _KEYLESS = "keyless"
 
+#: Text in quotes, and names of what depends on when or by whom a query is run.
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"")
+_CLOCKS = re.compile(r"\b(now|curdate|localtimestamp|current_\w+|session_user|user)\b", re.IGNORECASE)
+
 #: Emptied partitions dropped by one command; bounds what the driver holds.
 _DROP_AT_ONCE = 500
 
@@ -63,28 +72,30 @@ def ensure_table(
 
     The key, the expression and, for keys that are instants, the session's time
     zone stay with the table: rows found by one rule must not be looked for by
-    another. An expression that may change between two runs is refused, and so
-    is a store without its view, which may hold rows.
+    another. An expression of other columns than the key's, or one that may change
+    between two runs, is refused, and so is a store without its view that holds
+    rows. An empty one is from a creation that broke off, which is repeated.
     """
     if not enabled:
         logger.info("%s: table creation is off", ident)
         return False
     if spark.catalog.tableExists(ident):
         return False
-    if spark.catalog.tableExists(_store(ident)):
-        raise ValueError(f"{ident}: {_store(ident)} exists without its view")
     stored = table_schema(schema, op_col)
-    _check_rule(no_rows(spark, stored), slice_by)
+    _check_rule(no_rows(spark, stored).select(*map(named, pk)), slice_by)
     store = sql_name(_store(ident))
-    with_slice = T.StructType([*stored.fields, T.StructField(_SLICE, T.StringType())])
-    no_rows(spark, with_slice).write.mode("errorifexists").partitionBy(_SLICE).saveAsTable(store)
-    properties = {
+    if spark.catalog.tableExists(_store(ident)):
+        left = spark.table(store)
+        if _SLICE_BY not in snapshots.properties(spark, _store(ident)) or not left.isEmpty():
+            raise ValueError(f"{ident}: {_store(ident)} exists without its view")
+        spark.sql(f"DROP TABLE {store}")
+    rule = {
         _KEY: json.dumps(list(pk)),
         _SLICE_BY: slice_by,
         _ZONE: spark.conf.get("spark.sql.session.timeZone"),
     }
-    listed = ", ".join(f"'{k}' = {_literal(v)}" for k, v in properties.items())
-    spark.sql(f"ALTER TABLE {store} SET TBLPROPERTIES ({listed})")
+    with_slice = T.StructType([*stored.fields, T.StructField(_SLICE, T.StringType())])
+    snapshots.create_table(spark, _store(ident), with_slice, [_SLICE], rule)
     columns = ", ".join(quoted(f.name) for f in stored.fields)
     spark.sql(f"CREATE VIEW {sql_name(ident)} AS SELECT {columns} FROM {store}")
     logger.info("%s: created", ident)
@@ -127,12 +138,15 @@ def merge(
     # Keys take the stored type first: a hash depends on it.
     keys = keyed.select(*[named(k).cast(types[k.lower()]).alias(k) for k in pk])
     touched = stage_batch(_sliced(spark, ident, keys).select(_SLICE).distinct(), [_SLICE])
-    emptied = None
+    emptied = hot = None
     try:
         wanted = touched.rows
         if touched.size_bytes <= broadcast_bytes:
             wanted = F.broadcast(wanted)
         scope = store.join(wanted, _SLICE, "left_semi").select(*store.columns)
+        sent = batch.broadcast(broadcast_bytes)
+        if sent == NOTHING:
+            hot = hot_keys(scope, pk)
         in_place, moved = merge_parts(
             scope.drop(_SLICE),
             keyed,
@@ -140,8 +154,9 @@ def merge(
             op_col,
             ops,
             True,
-            batch.broadcast(broadcast_bytes),
-            batch.filter_bits(broadcast_bytes),
+            sent,
+            batch.key_range,
+            hot.keys if hot else None,
         )
         after = _sliced(spark, ident, in_place.unionByName(moved)).select(_SLICE).distinct()
         before = scope.select(_SLICE).distinct()
@@ -159,7 +174,7 @@ def merge(
         added = in_target_order(spark, ident, _filled(keyless.drop(op_col), store))
         added.withColumn(_SLICE, F.lit(_KEYLESS)).write.insertInto(sql_name(_store(ident)))
     finally:
-        for staged in (touched, emptied):
+        for staged in (touched, emptied, hot):
             if staged is not None:
                 staged.release()
 
@@ -205,25 +220,28 @@ def _grouped(sliced: DataFrame) -> DataFrame:
 def _drop(spark: SparkSession, ident: str, names: Iterator[str]) -> None:
     """Drop partitions, some at a time."""
     while some := list(islice(names, _DROP_AT_ONCE)):
-        specs = ", ".join(f"PARTITION ({_SLICE} = {_literal(p)})" for p in some)
+        specs = ", ".join(f"PARTITION ({_SLICE} = {literal(p)})" for p in some)
         spark.sql(f"ALTER TABLE {sql_name(_store(ident))} DROP IF EXISTS {specs}")
 
 
-def _check_rule(rows: DataFrame, slice_by: str) -> None:
-    """Refuse an expression whose value depends on more than the row."""
-    plan = rows.select(F.expr(slice_by).alias("s"))._jdf.queryExecution().analyzed()
-    expressions = plan.expressions()
-    steady = all(expressions.apply(i).deterministic() for i in range(expressions.size()))
-    clock = ("current_timestamp(", "current_date(", "now(", "localtimestamp(", "current_time(")
-    if not steady or any(c in plan.toString().lower() for c in clock):
+def _check_rule(keys: DataFrame, slice_by: str) -> None:
+    """Refuse an expression whose value depends on more than the key."""
+    if _CLOCKS.search(_QUOTED.sub("", slice_by)):
         raise ValueError(f"slice_by {slice_by!r} may change between two runs")
+    other = keys.limit(0).select(F.lit(1).alias("__one"))
+    try:
+        # Spark takes no expression for a join's condition that may change from row to row.
+        keys.join(other, F.expr(slice_by).cast("string") == F.col("__one").cast("string")).schema
+    except AnalysisException as refused:
+        if "INVALID_NON_DETERMINISTIC_EXPRESSIONS" in str(refused):
+            raise ValueError(f"slice_by {slice_by!r} may change between two runs") from None
+        raise ValueError(f"slice_by {slice_by!r} is not an expression of the key: {refused}") from None
 
 
 def _properties(spark: SparkSession, ident: str) -> dict[str, str]:
     if not spark.catalog.tableExists(_store(ident)):
         raise ValueError(f"{ident}: not a target kept in slices")
-    rows = spark.sql(f"SHOW TBLPROPERTIES {sql_name(_store(ident))}").collect()
-    return {row["key"]: row["value"] for row in rows}
+    return snapshots.properties(spark, _store(ident))
 
 
 def _rule(spark: SparkSession, ident: str) -> tuple[list[str], str]:
@@ -234,7 +252,3 @@ def _rule(spark: SparkSession, ident: str) -> tuple[list[str], str]:
 
 def _store(ident: str) -> str:
     return f"{ident}__slices"
-
-
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

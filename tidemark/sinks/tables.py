@@ -16,27 +16,34 @@ exist.
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import named, no_rows, quoted
+from tidemark.functions.columns import named, quoted
+from tidemark.sinks import snapshots
+from tidemark.sinks.snapshots import literal, sql_name
 
 logger = logging.getLogger(__name__)
 
-_VERSION = "tidemark.version"
-_SNAPSHOT_OF = "tidemark.snapshot_of"
 _FINISHED = "tidemark.finished"
+#: Of a snapshot without files of its own: the versions that have them, in order.
+_HOLDERS = "tidemark.holders"
+#: Partitions named by one command.
+_AT_ONCE = 500
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_schema(schema: T.StructType, op_col: str | None = None) -> T.StructType:
     """The target schema for a batch: its columns without the operation code.
 
-    All columns are nullable. Types are taken as they are rather than through
-    their text form, which does not survive unusual nested field names.
+    All columns are nullable.
     """
     return T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name != op_col]
@@ -54,7 +61,8 @@ def ensure_table(
     """Create the target, empty, if it does not exist; say whether it did.
 
     An existing target is left alone, whatever its schema. With ``enabled``
-    false nothing is created and the target must exist already.
+    false nothing is created and the target must exist already. A creation that
+    broke off is repeated.
     """
     if not enabled:
         logger.info("%s: table creation is off", ident)
@@ -62,20 +70,16 @@ def ensure_table(
     if spark.catalog.tableExists(ident):
         _finish(spark, ident)
         return False
-    left = _snapshots(spark, ident)
-    if left:
-        raise ValueError(
-            f"{ident}: snapshots {left} exist without their view; create the view again or drop them"
-        )
-    first = max(_taken(spark, ident), default=-1) + 1
-    empty = no_rows(spark, table_schema(schema, op_col))
-    writer = empty.write.format("parquet").mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    store = sql_name(_snapshot(ident, first))
-    writer.saveAsTable(store)
-    spark.sql(f"ALTER TABLE {store} SET TBLPROPERTIES ({_owned(ident)})")
-    _point_view(spark, ident, first)
+    snapshots.clear_broken_creation(spark, ident)
+    first = snapshots.following(spark, ident)
+    snapshots.create_table(
+        spark,
+        snapshots.name(ident, first),
+        table_schema(schema, op_col),
+        partition_by,
+        snapshots.owned(ident),
+    )
+    snapshots.point_view(spark, ident, first)
     logger.info("%s: created", ident)
     return True
 
@@ -100,7 +104,7 @@ def publish(
     copy of the result, since it cannot be overwritten while it is read. Should
     that fail, the copy is left and :func:`ensure_table` repeats it.
     """
-    version = _current_version(spark, ident)
+    version = snapshots.current(spark, ident)
     if version is None and _finished(spark, ident):
         raise ValueError(f"{ident}: an overwrite was interrupted; call ensure_table first")
     partition_by = _partition_columns(spark, ident)
@@ -116,25 +120,33 @@ def publish(
     if moved is not None:
         rows = rows.unionByName(moved)
 
-    existing = _snapshots(spark, ident)
-    latest = max(_taken(spark, ident), default=0) + 1
-    _write_snapshot(spark, rows, ident, version, latest)
+    existing = snapshots.versions(spark, ident)
+    latest = snapshots.following(spark, ident)
+    like = ident if version is None else snapshots.name(ident, version)
+    # Registered before it is filled: what a failed write leaves is known by
+    # name, not used again, and dropped after the next success.
+    new = snapshots.create_like(spark, ident, latest, like)
+    _fill(rows, new)
     if version is None:
-        copy = sql_name(_snapshot(ident, latest))
-        spark.sql(f"ALTER TABLE {copy} SET TBLPROPERTIES ('{_FINISHED}' = 'true')")
+        spark.sql(f"ALTER TABLE {sql_name(new)} SET TBLPROPERTIES ('{_FINISHED}' = 'true')")
         _finish(spark, ident)
-        outdated = set(existing)
+        snapshots.drop(spark, ident, existing)
     else:
-        _point_view(spark, ident, latest)
-        outdated = set(existing) - {version}
-    for old in outdated:
-        spark.sql(f"DROP TABLE IF EXISTS {sql_name(_snapshot(ident, old))}")
+        used = {version, *_holders(spark, ident, version)}
+        snapshots.point_view(spark, ident, latest)
+        snapshots.drop(spark, ident, [v for v in existing if v not in used])
+
+
+def _fill(rows: DataFrame, table: str) -> None:
+    rows.write.insertInto(sql_name(table))
 
 
 def _finished(spark: SparkSession, ident: str) -> list[int]:
     """Complete copies that a plain table was to be filled from."""
     return [
-        v for v in _snapshots(spark, ident) if _FINISHED in _properties(spark, _snapshot(ident, v))
+        v
+        for v in snapshots.versions(spark, ident)
+        if _FINISHED in snapshots.properties(spark, snapshots.name(ident, v))
     ]
 
 
@@ -143,9 +155,9 @@ def _finish(spark: SparkSession, ident: str) -> None:
     if spark.catalog.getTable(ident).tableType == "VIEW":
         return
     for version in sorted(_finished(spark, ident)):
-        copy = _snapshot(ident, version)
+        copy = snapshots.name(ident, version)
         with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-            spark.table(copy).write.insertInto(ident, overwrite=True)
+            spark.table(sql_name(copy)).write.insertInto(ident, overwrite=True)
         spark.sql(f"DROP TABLE {sql_name(copy)}")
 
 
@@ -157,126 +169,124 @@ def overwrite(spark: SparkSession, ident: str, rows: DataFrame) -> None:
 def overwrite_partitions(spark: SparkSession, ident: str, rows: DataFrame) -> None:
     """Replace the partitions that ``rows`` has rows for; keep the others.
 
-    A target without partitions is replaced as a whole. ``rows`` must not read
-    the target. Rows are shuffled so that each partition is written by few
-    tasks, and adaptive execution splits the ones that are large. Partitions
-    are exchanged in place, one after the other, when all rows are written:
-    readers may see some of them exchanged and others not, and a frame made
-    before reads the new rows.
+    A target without partitions is replaced as a whole. ``rows`` are shuffled so
+    that each partition is written by few tasks, and adaptive execution splits
+    the ones that are large. Readers see all partitions exchanged or none, and a
+    frame made before keeps its rows until the load after this one. A plain table
+    has its partitions exchanged in place, one after the other, and ``rows`` must
+    not read it.
     """
     partition_by = _partition_columns(spark, ident)
     if not partition_by:
         publish(spark, ident, rows)
         return
-    version = _current_version(spark, ident)
-    store = ident if version is None else _snapshot(ident, version)
+    version = snapshots.current(spark, ident)
     grouped = in_target_order(spark, ident, rows).hint(
         "rebalance", *[named(c) for c in partition_by]
     )
-    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        grouped.write.insertInto(store, overwrite=True)
+    if version is None:
+        with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            grouped.write.insertInto(ident, overwrite=True)
+    else:
+        _load_partitions(spark, ident, version, grouped)
 
 
-def in_target_order(spark: SparkSession, ident: str, rows: DataFrame) -> DataFrame:
-    """``rows`` with the target's columns, by name, cast to its types.
+def _load_partitions(spark: SparkSession, ident: str, version: int, rows: DataFrame) -> None:
+    """Write ``rows`` to a new holder and show its partitions with the others."""
+    existing = snapshots.versions(spark, ident)
+    shown = snapshots.name(ident, version)
+    number = snapshots.following(spark, ident)
+    _fill(rows, snapshots.create_like(spark, ident, number, shown))
 
-    Columns the target does not have raise: a load does not change a schema.
-    """
-    fields = spark.table(ident).schema.fields
-    known = {f.name.lower() for f in fields}
-    unknown = [c for c in rows.columns if c.lower() not in known]
-    if unknown:
-        raise ValueError(f"{ident}: column(s) {unknown} are not in the target")
-    return rows.select(
-        *[named(f.name).cast(f.dataType).alias(f.name) for f in fields]
+    if not _partitions(spark, snapshots.name(ident, number)):
+        snapshots.drop(spark, ident, [number])
+        return
+    before = _holders(spark, ident, version) or [version]
+    places = _places(spark, ident, [*before, number])
+    # A holder all of whose partitions are in newer ones is not used any more.
+    used = [v for v in (*before, number) if any(holder == v for holder, _ in places.values())]
+    root = _location(spark, snapshots.name(ident, number))
+    linked = snapshots.create_like(
+        spark, ident, number + 1, shown, {_HOLDERS: json.dumps(used)}, f"{root}__shown"
     )
+    specs = iter(f"{_spec(p)} LOCATION {literal(at)}" for p, (_, at) in places.items())
+    while some := " ".join(islice(specs, _AT_ONCE)):
+        spark.sql(f"ALTER TABLE {sql_name(linked)} ADD {some}")
+    snapshots.point_view(spark, ident, number + 1)
+    snapshots.drop(spark, ident, [v for v in existing if v not in {version, *before, *used}])
+    _drop_replaced(spark, ident, before, places, _places(spark, ident, before))
 
 
-def _write_snapshot(
-    spark: SparkSession, rows: DataFrame, ident: str, version: int | None, latest: int
-) -> None:
-    """Fill a new table made like the current one.
+def _drop_replaced(spark: SparkSession, ident: str, holders: list[int], *shown: dict) -> None:
+    """Drop partitions of ``holders`` that are in none of the ``shown`` places."""
+    for v in holders:
+        table = snapshots.name(ident, v)
+        kept = {p for places in shown for p, (holder, _) in places.items() if holder == v}
+        specs = iter(_spec(p) for p in _partitions(spark, table) if p not in kept)
+        while some := ", ".join(islice(specs, _AT_ONCE)):
+            spark.sql(f"ALTER TABLE {sql_name(table)} DROP IF EXISTS {some}")
 
-    The table is registered before it is filled: what a failed write leaves is
-    known by name, not used again, and dropped after the next success.
-    """
-    like = ident if version is None else _snapshot(ident, version)
-    new = sql_name(_snapshot(ident, latest))
-    spark.sql(
-        f"CREATE TABLE {new} LIKE {sql_name(like)} USING parquet TBLPROPERTIES ({_owned(ident)})"
-    )
-    rows.write.insertInto(new)
 
+def _holders(spark: SparkSession, ident: str, version: int) -> list[int]:
+    """The versions whose files a snapshot shows; none if it has files of its own."""
+    said = snapshots.properties(spark, snapshots.name(ident, version)).get(_HOLDERS)
+    return json.loads(said) if said else []
 
-def _owned(ident: str) -> str:
-    return f"'{_SNAPSHOT_OF}' = '{_plain(ident)}'"
 
+def _places(spark: SparkSession, ident: str, holders: list[int]) -> dict[str, tuple[int, str]]:
+    """Partition -> (holder, folder), of the newest holder that has it.
 
-def _plain(ident: str) -> str:
-    return ident.replace("`", "").replace("'", "").lower()
+    The names of all partitions pass through the driver, as they do when Spark
+    plans a scan of the table.
+    """
+    out = {}
+    for v in holders:
+        table = snapshots.name(ident, v)
+        root = _location(spark, table)
+        out.update({p: (v, f"{root}/{p}") for p in _partitions(spark, table)})
+    return out
 
 
-def _properties(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {sql_name(table)}").collect()
-    return {row["key"]: row["value"] for row in rows}
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [row[0] for row in spark.sql(f"SHOW PARTITIONS {sql_name(table)}").collect()]
 
 
-def _point_view(spark: SparkSession, ident: str, version: int) -> None:
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {sql_name(ident)} "
-        f"TBLPROPERTIES ('{_VERSION}' = '{version}') "
-        f"AS SELECT * FROM {sql_name(_snapshot(ident, version))}"
+def _spec(partition: str) -> str:
+    """``a=1/b=x%2Fy`` as SQL names it."""
+    pairs = (part.partition("=") for part in partition.split("/"))
+    values = (
+        f"{quoted(unquote(k))} = {'NULL' if v == _NO_VALUE else literal(unquote(v))}"
+        for k, _, v in pairs
     )
+    return f"PARTITION ({', '.join(values)})"
 
 
-def _current_version(spark: SparkSession, ident: str) -> int | None:
-    """The version the view shows; None for an ordinary table."""
-    if spark.catalog.getTable(ident).tableType != "VIEW":
-        return None
-    for row in spark.sql(f"SHOW TBLPROPERTIES {sql_name(ident)}").collect():
-        if row["key"] == _VERSION:
-            return int(row["value"])
-    raise ValueError(f"{ident}: a view that is not over snapshots cannot be a target")
-
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {sql_name(table)}").collect()
+    return next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
 
-def _snapshots(spark: SparkSession, ident: str) -> list[int]:
-    """Own versions that exist, the current one and any left by a failed run."""
-    return [
-        v
-        for v in _taken(spark, ident)
-        if _properties(spark, _snapshot(ident, v)).get(_SNAPSHOT_OF) == _plain(ident)
-    ]
 
+def in_target_order(spark: SparkSession, ident: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with the target's columns, by name, cast to its types.
 
-def _taken(spark: SparkSession, ident: str) -> list[int]:
-    """Versions whose name is in use, by whomever."""
-    database, _, table = ident.rpartition(".")
-    prefix = f"{table}__v".lower()
-    within = f" IN {sql_name(database)}" if database else ""
-    listed = spark.sql(f"SHOW TABLES{within} LIKE '{prefix}*'").collect()
-    tails = [
-        row["tableName"][len(prefix):]
-        for row in listed
-        if row["tableName"].lower().startswith(prefix)
-    ]
-    # Only what _snapshot would write: no leading zeros.
-    return [int(tail) for tail in tails if tail.isdigit() and str(int(tail)) == tail]
+    Columns the target does not have raise: a load does not change a schema.
+    """
+    fields = spark.table(ident).schema.fields
+    known = {f.name.lower() for f in fields}
+    unknown = [c for c in rows.columns if c.lower() not in known]
+    if unknown:
+        raise ValueError(f"{ident}: column(s) {unknown} are not in the target")
+    return rows.select(
+        *[named(f.name).cast(f.dataType).alias(f.name) for f in fields]
+    )
 
 
 def _partition_columns(spark: SparkSession, ident: str) -> list[str]:
-    version = _current_version(spark, ident)
-    store = ident if version is None else _snapshot(ident, version)
+    version = snapshots.current(spark, ident)
+    store = ident if version is None else snapshots.name(ident, version)
     return [c.name for c in spark.catalog.listColumns(store) if c.isPartition]
 
 
-def _snapshot(ident: str, version: int) -> str:
-    return f"{ident}__v{version}"
-
-
-def sql_name(ident: str) -> str:
-    return ".".join(quoted(part.strip("`")) for part in ident.split("."))
-
-
 @contextmanager
 def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Set a session setting for the length of one write."""
