@@ -23,6 +23,21 @@ def test_ids_are_those_of_the_tokenizers_file():
         assert encode(text).tolist() == want.encode(text, add_special_tokens=False).ids
 
 
+def test_very_long_runs(documents):
+    """Runs of white space and of anything else, in one text with others."""
+    want = Tokenizer.from_file(tokenizer())
+    texts = [c * (300_000 // len(c)) for c in (" ", "\n", "\t \n", "a", "1", "!")]
+    texts += ["word " + " " * 200_000 + "word", "\x0b" * 100_000 + "x"]
+    got = {}
+    for r in pack(documents(list(enumerate(texts))), tokenizer()).collect():
+        got.setdefault(r["doc_id"], []).append((r["piece"], r["length"], r["ids_crc32"]))
+    for i, text in enumerate(texts):
+        ids = np.array([*want.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+        first = len(ids) % 1024 or 1024
+        cuts = np.split(ids, range(first, len(ids), 1024))
+        assert sorted(got[i]) == [(n, len(c), zlib.crc32(c.tobytes())) for n, c in enumerate(cuts)]
+
+
 def test_pieces_and_places(documents):
     rng = random.Random(1)
     rows = [(i, prose(rng, rng.choice([0, 3, 40, 300, 900]))) for i in range(150)]

@@ -42,8 +42,9 @@ def encoder(tokenizer_path: str):
 
     The vocabulary is read by ``tokenizers``; the merging is done by
     ``tiktoken``, which gives the same ids for a byte-level vocabulary whose ids
-    are in merge order, in about a third of the time. The strings of special
-    tokens count as these tokens, as ``tokenizers`` has it.
+    are in merge order, in about a third of the time. Texts that it refuses are
+    left to ``tokenizers``. The strings of special tokens count as these tokens,
+    as ``tokenizers`` has it.
     """
     import public_tokenizers
     import tiktoken
@@ -64,7 +65,14 @@ def encoder(tokenizer_path: str):
     made = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
-    return lambda text: made.encode_to_numpy(text, allowed_special="all")
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return made.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # its regular expressions run out of stack on very long white space
+            return np.array(source.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    return encode
 
 
 def token_pieces(
