@@ -63,3 +63,17 @@ def test_documents_follow_the_mix(documents):
 def test_all_sources_at_their_cap(documents):
     rows = [(1, "a b c", "x"), (2, "d e", "y")]
     assert {r["taken"] for r in mix(documents(rows), share=5.0).collect()} == {6, 4}
+
+
+def test_layout_does_not_decide(spark, documents):
+    """Rows that share an id, or have none: the same mix however the files lie."""
+    rng = random.Random(11)
+    rows = [(rng.choice([None, 1, 2, 3, *range(60)]), prose(rng, rng.randint(0, 30)), rng.choice("abc")) for _ in range(500)]
+    rows += [(None, "the same text each time", "a")] * 120
+    mixes, kept = [], []
+    for n in (1, 7):
+        shuffled = random.Random(n).sample(rows, len(rows))
+        table = documents(shuffled).repartition(n)
+        mixes.append(sorted(((r["doc_id"], r["source"], r["size"], r["taken"]) for r in mix(table).collect()), key=str))
+        kept.append(sorted((tuple(r) for r in mixed_documents(table).collect()), key=str))
+    assert mixes[0] == mixes[1] and kept[0] == kept[1]

@@ -8,9 +8,10 @@ level, so the level is iterated until the set of clamped sources stands.
 
 A source's target is then taken as whole repetitions of all its documents and
 a fraction of one more: its documents in a seeded order up to the wanted size,
-the last of them in part. The order is that of a hash; where it ends is
-found from sums over ever finer prefixes of the hash, so that no source's
-documents are sorted in one task.
+the last of them in part. The order is that of a hash of the id; rows that share
+an id go by a hash of their text. Where it ends is found from sums over ever
+finer prefixes of the hashes, so that no source's documents are sorted in one
+task, and none of the rows that share an id or are alike.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPACE_RUN, SPACES, WORD, small_side, stage, with_text
 
 _COLUMNS = {"id_col": "doc_id", "text_col": "text", "source_col": "source"}
-#: Hex digits of the hash looked at in each of the two steps of the search.
-DIGITS = 3
+#: Hex digits of a row's place that the steps of the search look at: of its id's hash, the
+#: whole of that, its text's hash, and then, for rows that are alike, of its row's.
+STEPS = (3, 6, 32, 48, 51, 54)
 
 
 def text_size(text: Column) -> Column:
@@ -89,36 +91,37 @@ def mix(
     ``whole`` repetitions and ``part`` words of one more. A null source is a
     source; null and empty texts have size 0 and are taken as 0 words. Rows
     that share an id are placed next to each other in the order, each with its
-    own size. Without rows there is no result.
+    own size; which of several rows that are alike is taken is all that the
+    layout of the input decides. Without rows there is no result.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    sized = stage(
-        docs.select(
-            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_key"),
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).alias("source"),
-            text_size(F.col(text_col)).alias("size"),
-            key.alias("order_key"),
-        ),
-        "mix-sizes",
+    own_text = F.substring(F.md5(F.coalesce(F.col(text_col), F.lit(""))), 1, 16)
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    numbered = docs.select(
+        row.alias("row_key"),
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).alias("source"),
+        text_size(F.col(text_col)).alias("size"),
+        F.concat(key, own_text).alias("order_key"),
     )
+    own_row = F.substring(F.md5(F.col("row_key").cast("string")), 1, 8)
+    sized = stage(numbered.withColumn("order_key", F.concat("order_key", own_row)), "mix-sizes")
     goal = targets(sized, weights, share, max_epochs)
     some = F.greatest(F.col("source_size"), F.lit(1))
     wanted = F.floor(F.col("target") + 0.5).cast("long")
     goal = goal.withColumn("whole", F.floor(wanted / some).cast("long"))
     want = wanted - F.col("whole") * F.col("source_size")
-    cut = goal.select("source", F.lit("").alias("cut"), want.alias("rest"))
-    for _ in range(2):
-        cut = _finer(sized, cut)
-    cut = stage(cut, "mix-cuts")
+    cut = stage(goal.select("source", F.lit("").alias("cut"), want.alias("rest")), "mix-cuts")
+    for digits in STEPS:
+        cut = stage(_finer(sized, small_side(cut, 200), digits), "mix-cuts")
 
     cut = cut.withColumnRenamed("source", "cut_source")
     goal = goal.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left")
     goal = stage(goal.drop("cut_source"), "mix-goals")
     one = _by_source(sized, small_side(goal, 200))
-    prefix = F.substring("order_key", 1, 2 * DIGITS)
+    prefix = F.substring("order_key", 1, STEPS[-1])
     before, at = prefix < F.col("cut"), prefix == F.col("cut")
-    inner = Window.partitionBy("source", "cut").orderBy("order_key", "doc_id", "row_key")
+    inner = Window.partitionBy("source", "cut").orderBy("order_key", "row_key")
     so_far = F.coalesce(
         F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -141,12 +144,12 @@ def _by_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(named, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
 
 
-def _finer(sized: DataFrame, cut: DataFrame) -> DataFrame:
-    """Lengthen each source's cut by some digits: the hash prefix where ``rest`` runs out.
+def _finer(sized: DataFrame, cut: DataFrame, digits: int) -> DataFrame:
+    """Lengthen each source's cut to ``digits``: the hash prefix where ``rest`` runs out.
 
     ``rest`` becomes what is wanted of the documents under the new prefix.
     """
-    longer = F.substring("order_key", 1, F.length("cut") + DIGITS)
+    longer = F.substring("order_key", 1, digits)
     sums = (
         _by_source(sized, cut)
         .where(F.col("order_key").startswith(F.col("cut")))
