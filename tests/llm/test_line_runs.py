@@ -71,3 +71,15 @@ def test_runs_are_compacted_by_level(spark):
     assert got[b"x"] == (10, 9) and len(got) == 11
     assert runs.repeated(2).select(F.col("h").cast("string")).collect()[0][0] == "x"
     runs.clear()
+
+
+def test_many_repeated_lines_in_a_document(documents):
+    """Tens of thousands of lines that go: each is looked up, not compared with all others."""
+    lines = [f"line {n} that is long enough to count as a repeated line" for n in range(40_000)]
+    own = [f"line {n} of its own that is long enough to count as one" for n in range(50)]
+    rows = [(d, "\n".join([*lines, own[d], "short"])) for d in range(6)]
+    out = dedup_lines(documents(rows)).select("doc.doc_id", "rest.*").collect()
+    for r in out:
+        kept = [*lines, own[5], "short"] if r["doc_id"] == 5 else [own[r["doc_id"]], "short"]
+        assert r["text"] == "\n".join(kept)
+        assert (r["n_lines"], r["n_dropped"]) == (40_002, 0 if r["doc_id"] == 5 else 40_000)

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPACES, let, stage, with_text
 from tidemark.operators.staging import shared_dir
 
+#: Up to so many values are compared one by one.
+_SHORT = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,6 +43,34 @@ def _hash(key: Column) -> Column:
     return F.unhex(F.md5(key))
 
 
+def _holds(values: Column, wanted: Column) -> Column:
+    """Whether a sorted array holds a value: looked through if short, halved if long."""
+
+    def halved(h: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
+
+        def half(at: Column, _: Column) -> Column:
+            middle = F.shiftright(at["low"] + at["high"], 1)
+            right = F.get(values, middle) < h
+            return F.when(
+                at["low"] >= at["high"], at
+            ).otherwise(
+                F.struct(
+                    F.when(right, middle + 1).otherwise(at["low"]).alias("low"),
+                    F.when(right, at["high"]).otherwise(middle).alias("high"),
+                )
+            )
+
+        whole = F.struct(F.lit(0).alias("low"), F.size(values).alias("high"))
+        found = F.get(values, F.aggregate(steps, whole, half)["low"])
+        return F.coalesce(found == h, F.lit(False))
+
+    return let(
+        wanted,
+        lambda h: F.when(F.size(values) <= _SHORT, F.array_contains(values, h)).otherwise(halved(h)),
+    )
+
+
 class LineRuns:
     """Sorted runs of (h, n_docs, keeper), by level, in the shared folder."""
 
@@ -150,13 +180,11 @@ def dedup_lines(
         keys.join(repeated, "h")
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("doc_id").alias("gone_id"))
-        .agg(F.collect_set("h").alias("gone"))
+        .agg(F.sort_array(F.collect_set("h")).alias("gone"))
     )
 
     def survivors(lines: Column) -> Column:
-        stay = F.filter(
-            lines, lambda line: ~F.array_contains(F.col("gone"), _hash(line_key(line)))
-        )
+        stay = F.filter(lines, lambda line: ~_holds(F.col("gone"), _hash(line_key(line))))
         kept = F.when(F.col("gone").isNull(), lines).otherwise(stay)
         return let(
             kept,
