@@ -58,6 +58,72 @@ def test_marks_around_the_whole_text(page):
     assert main_text(f"<div class='no-widgets modal-page'>{menu}{page}{foot}</div>") == text
 
 
+TALK = "".join(f"<p>Reader {n} writes at great length about this, {'and more of it, ' * 18}and ends here.</p>" for n in range(40))
+SHORT = "<h1>Story</h1><p>A short piece that tells what there is to tell in a few words.</p>"
+SHORT_TEXT = "Story\n\nA short piece that tells what there is to tell in a few words."
+
+
+@pytest.mark.parametrize("page", [
+    f"<article>{SHORT}</article><div id='comments'>{TALK}</div>",
+    f"<main>{SHORT}</main><section class='replies'>{TALK}</section>",
+    f"<div>{SHORT}</div><div id='comments'>{TALK}</div>",
+    f"<div>{SHORT}</div><ol class='commentlist'>{TALK.replace('<p>', '<li><article><p>')}</ol>",
+    f"<main>{SHORT}<div class='comments'>{TALK}</div></main>",
+    f"<article>{SHORT}</article><div class='sidebar'>{TALK}</div>",
+    f"<div class='comments-page'><main>{SHORT.replace('few', 'plain ' * 60 + 'few')}</main></div>",
+])
+def test_long_comments_beside_a_short_text(page):
+    got = main_text(f"<body><nav><a href='/'>Home</a></nav>{page}</body>")
+    assert got.replace("plain ", "") == SHORT_TEXT
+
+
+@pytest.mark.parametrize("attributes", [
+    "style=\"overflow:hidden\"", "data-id='comments'", "title=\"my class=ad here\"", "alt='id=sidebar'",
+    "data-role=navigation", "aria-label=\"role='dialog'\"", "onclick=\"a('hidden')\" data-hidden", "hidden=until-found",
+    "class=story class=ad", "CLASS='Story'", "data-x=a/b id=x", "hidden-x",
+])
+def test_nothing_is_looked_for_in_values(attributes):
+    assert main_text(f"<div {attributes}><article>{SHORT}</article></div>") == SHORT_TEXT
+    assert main_text(f"<article {attributes}>{SHORT}</article>") == SHORT_TEXT
+    inner = f"<article><header {attributes}>{SHORT[:14]}</header>{SHORT[14:]}</article>"
+    assert main_text(inner) == SHORT_TEXT
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "hidden class='x'", "hidden='hidden'", "class=x hidden", "HIDDEN=''", "hidden=\"true\" id=x",
+    "class = 'ad'", "id=sidebar", "CLASS=\"x AD\"", "role='navigation'", "data-x='>' class='ad'",
+])
+def test_attributes_that_count(attributes):
+    assert main_text(f"<div {attributes}><p>Buy this. It is good.</p></div><article>{SHORT}</article>") == SHORT_TEXT
+
+
+def test_many_marks_take_time_in_proportion():
+    """Nested forms, and marked comments with prose, by the thousand."""
+    import time
+
+    start = time.process_time()
+    for n in (4_000, 8_000):
+        page = "".join(f"<form><p>Field {k} is here and says something. </p>" for k in range(n))
+        assert main_text(page) is not None
+        said = "We say so at some length, " * 8
+        page = "".join(f"<div class='comment'><p>{said}{k}.</p></div>" for k in range(n))
+        assert main_text(f"<article>{SHORT}</article>{page}") == SHORT_TEXT
+    assert time.process_time() - start < 20
+
+
+def test_very_long_page_and_clashing_columns(spark):
+    """Nothing is cut; columns besides the three are left out, whatever their names."""
+    paragraphs = [f"Paragraph {n} tells what there is to tell and ends." for n in range(20_000)]
+    page = "<article>" + "".join(f"<p>{p}" for p in paragraphs) + "</article>"
+    table = spark.createDataFrame(
+        [(1, "u", page, "x", 3), (None, None, "", "y", 4)],
+        "page_id long, url string, html string, text string, n_chars long",
+    )
+    got = {r["page_id"]: tuple(r) for r in extract(table).collect()}
+    text = "\n\n".join(paragraphs)
+    assert got == {1: (1, "u", text, len(text)), None: (None, None, "", 0)}
+
+
 def test_cut_is_least():
     rng = random.Random(0)
     for _ in range(300):

@@ -61,6 +61,8 @@ BOILERPLATE_WORDS = frozenset(
     "search share sharing sidebar signup skip skyscraper social sponsor sponsored subscribe "
     "toolbar topbar widget widgets".split()
 )
+#: Of these, what names what readers wrote.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
 CONTENT_WORDS = frozenset(
     "article articlebody body content entry entrycontent main maincontent post postbody "
     "postcontent story text".split()
@@ -74,7 +76,8 @@ TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A name and its value, one after the other, so that nothing is looked for inside a value.
+ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 NAME_WORD = re.compile(r"[a-z]+")
 #: What follows one of these in a name is a state of the element, not what it is.
 STATE_WORDS = frozenset("has no not with without".split())
@@ -84,6 +87,7 @@ SENTENCE = re.compile(r"[.!?…](?:[\"'”’»)\]]*)(?:\s|$)")
 class Element:
     __slots__ = (
         "tag", "parent", "depth", "home", "open_p", "silent", "link", "good", "bad", "soft", "core",
+        "talk",
     )
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
@@ -101,23 +105,26 @@ class Element:
         self.soft = parent.soft if parent else None
         self.core = parent.core if parent else None
         words: set[str] = set()
+        values: dict[str, str] = {}
         for m in ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
-            name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if name == "hidden":
-                self.silent = self.silent or m[0].lower() in ("hidden", 'hidden=""', "hidden=hidden")
-            elif name == "role":
-                self.bad = self.bad or value in BOILERPLATE_ROLES
-                words |= {"main"} if value in ("main", "article") else set()
-            elif tag not in ("body", "html"):
-                for token in value.split():
-                    named = NAME_WORD.findall(token)
-                    words.update(takewhile(lambda w: w not in STATE_WORDS, named))
+            values.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+        if values.get("hidden", "until-found") != "until-found":
+            self.silent = True
+        role = values.get("role", "").strip()
+        self.bad = self.bad or role in BOILERPLATE_ROLES
+        words |= {"main"} if role in ("main", "article") else set()
+        for name in ("class", "id") if tag not in ("body", "html") else ():
+            for token in values.get(name, "").split():
+                named = NAME_WORD.findall(token)
+                words.update(takewhile(lambda w: w not in STATE_WORDS, named))
         # A page's header is boilerplate, the header of an article is its heading.
         named_bad = bool(words & BOILERPLATE_WORDS)
         if tag in BOILERPLATE_TAGS - {"form"} and not (tag == "header" and self.good):
             self.bad = True
         if tag == "form" or named_bad:
             self.soft = self
+        #: Whether its own name is one of readers' comments.
+        self.talk = bool(words & COMMENT_WORDS)
         if tag in CONTENT_TAGS or (words & CONTENT_WORDS and not named_bad):
             self.good = True
         if tag in CONTENT_TAGS and not named_bad:
@@ -235,62 +242,97 @@ PROSE_WORDS, PROSE_LINKS = 20, 0.3
 RELIEF_WORDS, RELIEF_SHARE = 50, 0.25
 
 
-def soft_marks(e: Element) -> list[Element]:
-    """The elements around ``e`` that only their names or a form mark, innermost first."""
+def outer_mark(e: Element) -> Element | None:
+    """The next element around ``e`` that only its name or a form marks."""
+    return e.parent.soft if e.parent else None
+
+
+def soft_marks(found: list[tuple[Block, str]]) -> list[Element]:
+    """The elements around blocks that only their names or a form mark, outer ones first."""
+    seen: set[int] = set()
     out = []
-    while e and e.soft:
-        out.append(e.soft)
-        e = e.soft.parent
+    for b, _ in found:
+        inward, e = [], b.element.soft
+        while e is not None and id(e) not in seen:
+            seen.add(id(e))
+            inward.append(e)
+            e = outer_mark(e)
+        out += reversed(inward)
     return out
 
 
 def mark_weights(found: list[tuple[Block, str]]) -> dict[int, float]:
-    """By id of a softly marked element, the share of the weight that its mark keeps.
+    """By id of a softly marked element, the share of the weight that its text has to bear.
 
     A mark around most of a page's prose names a wrapper, not boilerplate. The one
     with the most prose of its own is taken first, that in an article or main
     counting more and that within further marks less; what it frees is what the
-    next is compared with.
+    next is compared with. A mark beside an article or main that says something is
+    never a wrapper, and one that names comments only if there is a main in it.
     """
-    clean, own, bonus, marks = 0, Counter(), Counter(), {}
+    clean, told, own, bonus = 0, False, Counter(), Counter()
+    main: set[int] = set()
     for b, text in found:
         e, words = b.element, text.count(" ") + 1
-        if e.soft:
-            marks[id(e.soft)] = e.soft
-        if e.bad or words < PROSE_WORDS or b.link_chars > PROSE_LINKS * b.chars:
+        if e.bad:
             continue
-        if not SENTENCE.search(text):
+        ends = bool(SENTENCE.search(text))
+        inside = bool(e.soft and e.core and e.core.depth > e.soft.depth)
+        if inside and e.core.tag == "main":
+            main.add(id(e.soft))
+        told = told or bool(ends and e.core and not e.soft)
+        if words < PROSE_WORDS or b.link_chars > PROSE_LINKS * b.chars or not ends:
             continue
         if not e.soft:
             clean += words
             continue
         own[id(e.soft)] += words
-        bonus[id(e.soft)] += 2 * words * bool(e.core and e.core.depth > e.soft.depth)
+        bonus[id(e.soft)] += 2 * words * inside
+    order = soft_marks(found)
+    for e in reversed(order):  # a main within further marks is in the outer ones too
+        if id(e) in main and (around := outer_mark(e)):
+            main.add(id(around))
+    kept: dict[int, float] = {}
+    for _ in order:
+        full: dict[int, int] = {}
+        best, most = None, 0.0
+        for e in order:
+            around = outer_mark(e)
+            full[id(e)] = (full[id(around)] if around else 0) + (kept.get(id(e), 1.0) == 1.0)
+            # Only what has much more prose than what is free can be freed.
+            if own[id(e)] < RELIEF_WORDS or own[id(e)] * RELIEF_SHARE <= clean * (1 - RELIEF_SHARE):
+                continue
+            if (told and not e.core) or (e.talk and id(e) not in main) or id(e) in kept:
+                continue
+            claim = (own[id(e)] + bonus[id(e)]) / 8 ** min(full[id(e)], 100)
+            if claim > most:
+                best, most = e, claim
+        if best is None:
+            break
+        share = clean / (clean + own[id(best)])
+        told = told or bonus[id(best)] > 0
+        clean += round(own[id(best)] * (1 - share / RELIEF_SHARE))
+        e = best
+        while e is not None:
+            kept[id(e)] = min(kept.get(id(e), 1.0), share / RELIEF_SHARE)
+            e = outer_mark(e)
     weights: dict[int, float] = {}
-    chain = {m: [id(s) for s in soft_marks(marks[m])] for m in own if own[m] >= RELIEF_WORDS}
-
-    def claim(m: int) -> float:
-        return (own[m] + bonus[m]) / 8 ** sum(weights.get(s, 1.0) == 1.0 for s in chain[m])
-
-    while chain:
-        best = max(chain, key=claim)
-        share = clean / (clean + own[best])
-        kept = min(1.0, share / RELIEF_SHARE)
-        for s in chain.pop(best):
-            weights[s] = min(weights.get(s, 1.0), kept)
-        clean += round(own[best] * (1 - kept))
+    for e in order:
+        around = outer_mark(e)
+        weights[id(e)] = max(kept.get(id(e), 1.0), weights[id(around)] if around else 0.0)
     return weights
 
 
 def preference(block: Block, text: str, marked: bool, weights: dict[int, float]) -> float:
     """How much rather the block is content than boilerplate.
 
-    ``marked``: some part of the page is marked as its content. ``weights``: of soft marks.
+    ``marked``: some part of the page is marked as its content. ``weights``: of the
+    soft marks around it, by the innermost.
     """
     e, w = block.element, WEIGHTS
     words = text.count(" ") + 1
     score = w["bias"] + w["per_ten_words"] * min(words, 60) / 10
-    bad = max((weights.get(id(s), 1.0) for s in soft_marks(e)), default=0.0)
+    bad = weights[id(e.soft)] if e.soft else 0.0
     score += w["bad"] * max(e.bad, bad) + (w["good"] if e.good else w["unmarked"] * marked)
     score += w["heading"] * (e.tag in ("h1", "h2", "h3", "h4", "h5", "h6"))
     score += w["item"] * (e.tag in ("li", "option", "td", "th"))
@@ -393,8 +435,9 @@ def _max_flow(nodes: list[int], pull: list[int], near: list[dict[int, int]]) ->
 def main_text(page: str) -> str:
     """The blocks labelled content, two line feeds between them; empty if there are none."""
     found = blocks_of(page)
-    marked = any(b.element.good for b, _ in found)
     weights = mark_weights(found)
+    held = (b.element for b, _ in found)
+    marked = any(e.good and not e.bad and (not e.soft or weights[id(e.soft)] < 1) for e in held)
     prefer = [round(UNIT * preference(b, text, marked, weights)) for b, text in found]
     edges: list[tuple[int, int, int]] = []
     last: dict[int, int] = {}
