@@ -1,9 +1,17 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import random
+import re
 import string
+from collections import defaultdict
 
-from tidemark.llm.secrets import KINDS, base_spans, scan, statistic
+import pytest
+
+from tidemark.llm import secrets
+from tidemark.llm.queries import QUERIES
+from tidemark.llm.secrets import KINDS, base_spans, scan, statistic, word_like
 
 from .conftest import prose
 
@@ -67,3 +75,98 @@ def test_keys_in_prose_without_long_words(documents):
         for s in r["spans"]
     }
     assert flagged <= set(keys) and len(flagged) >= 18
+
+
+@pytest.mark.parametrize("size", secrets.WORD_LIKE)
+@pytest.mark.parametrize("length", range(len(secrets.LENGTHS)))
+def test_fixed_values_are_those_of_the_model(size, length):
+    """Median and lower tail of runs drawn anew."""
+    alphabet = next(a for a in secrets.ALPHABETS if len(a) == size)
+    rng = random.Random(size + length)
+    drawn = sorted(
+        math.log1p(statistic(word_like(rng, alphabet, secrets.LENGTHS[length]), alphabet)) for _ in range(1200)
+    )
+    middle, width = secrets.WORD_LIKE[size][length]
+    assert abs(drawn[600] - middle) < 0.1
+    assert abs((drawn[600] - drawn[12]) / 2.326 - width) < 0.2 * width + 0.02
+
+
+@pytest.mark.parametrize("beside,least", [(1_000, 45), (100_000, 30)])
+def test_a_key_is_found_beside_any_number_of_runs(beside, least):
+    """Of 50 keys, each the only one, so many; of the word-like runs nearly none."""
+    rng = random.Random(beside)
+    alphabet = secrets.BASE62
+    at = secrets._length_class(40) * len(secrets.ALPHABETS) + secrets.ALPHABETS.index(alphabet)
+    drawn = [secrets._cell(statistic(word_like(rng, alphabet, 40), alphabet)) for _ in range(5_000)]
+    cells = defaultdict(int)
+    for cell in drawn:
+        cells[at, cell] += beside // 5_000 or 1
+    if beside < 5_000:
+        cells = defaultdict(int)
+        for cell in drawn[:beside]:
+            cells[at, cell] += 1
+    keys = [secrets._cell(statistic("".join(rng.choice(alphabet) for _ in range(40)), alphabet)) for _ in range(50)]
+    found = 0
+    for cell in keys:
+        with_key = dict(cells)
+        with_key[at, cell] = with_key.get((at, cell), 0) + 1
+        found += cell < secrets.accepted_cells(with_key, 0.01)[at]
+    assert found >= least
+    limit = secrets.accepted_cells(dict(cells), 0.01)[at]
+    assert sum(c < limit for c in drawn) <= 1
+
+
+def flagged_by_definition(texts):
+    """Sorted p-values of each class against their ranks, over all texts."""
+    classes = defaultdict(list)
+    for n, text in enumerate(texts):
+        for start, end, cls, cell in secrets.random_candidates(text or "", base_spans(text or "")):
+            p = secrets.p_value(cls, cell) if cell < int(2 * secrets.REJECTED) else 1.0
+            classes[cls].append((p, n, start, end))
+    out = defaultdict(set)
+    for found in classes.values():
+        found.sort()
+        passed = [k for k, (p, *_) in enumerate(found, 1) if p <= 0.01 * k / len(found)]
+        limit = found[max(passed) - 1][0] if passed else -1
+        for p, n, start, end in found:
+            if p <= limit:
+                out[n].add((start, "random", end))
+    return out
+
+
+def test_query_against_its_definition(spark, tmp_path):
+    """All columns, for known forms of every kind, nulls, and keys among words."""
+    rng = random.Random(5)
+    chars = string.ascii_letters + string.digits
+    pieces = [
+        "token=abcdef", "Api_Key: 'x.y-z_1/2+3='", 'SECRET"="abcdefgh"', "passwd=12345", "pass word=abcdefg",
+        "apikey=token=secret=abcdefg", "AKIA" + "Z9" * 8, "AKIA" + "Z" * 15, "AKIAAKIA" + "A" * 20, "a" * 24, "0f" * 11,
+        "g" + "ab01" * 9 + "G", "password = \t x", "tokentoken==abcdefg",
+    ]
+    rows = []
+    for n in range(300):
+        words = [rng.choice(pieces) for _ in range(rng.randint(0, 4))] + [prose(rng, 3), "é🔑"]
+        words.append("".join(rng.choice(chars) for _ in range(rng.choice([22, 36, 70]))))
+        words.append(word_like(rng, secrets.BASE62, rng.randint(20, 60)))
+        rng.shuffle(words)
+        rows.append((rng.choice([n, n, None]), rng.choice([" ", "\n", ",", ""]).join(words)))
+    rows += [(1, None), (2, ""), (None, None)]
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, spans string, kind int")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    names = "password passwd secret token api_?key".split()
+    either = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name) for name in names]
+    assign = re.compile(rf"""({"|".join(either)})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    more = flagged_by_definition([t for _, t in rows])
+    want = []
+    for n, (doc_id, text) in enumerate(rows):
+        text = text or ""
+        found = [(m.start(), "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+        found += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        found += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        order = lambda s: (s[0], KINDS.index(s[1]))
+        shown = [",".join(f"{k}:{s}:{e}" for s, k, e in sorted(x, key=order)) for x in (found, [*found, *more[n]])]
+        counts = [sum(k == kind for _, k, _ in found) for kind in KINDS[:3]]
+        want.append((doc_id, *counts, hashlib.sha256(shown[0].encode()).hexdigest(), shown[1]))
+    got = map(tuple, QUERIES["op9_secrets"](spark, str(tmp_path)).collect())
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(map(len, more.values())) > 200
