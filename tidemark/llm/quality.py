@@ -6,8 +6,9 @@ A line fails if any rule holds:
 
 * punctuation: it does not end like a sentence, or more than a tenth of its
   characters are ``# * $ % & | < >``;
-* navigation: it has three or more menu separators;
-* boilerplate: it carries a licence, copyright, cookie or sign-up phrase.
+* navigation: it has three or more separators of menus or paths;
+* boilerplate: it carries a licence, copyright, cookie or sign-up phrase, in one of
+  four languages.
 
 Failing lines are removed. A text that loses more than ``max_loss`` of the
 characters of its words is rejected, as is one that fails the base rules (too
@@ -28,12 +29,19 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: A sentence ends in one of these, before closing quotes or brackets.
 ENDING = r"[.!?:;…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
-SEPARATORS = "|»›•·"
+SEPARATORS = "|»›•·>"
+#: Fixed values, by language: English, German, French, Spanish.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "licenced under", "released under the",
     "general public license", "copyright (c)", "©", "terms of use", "terms of service",
     "privacy policy", "accept cookies", "use of cookies", "subscribe to our", "sign up for",
     "enable javascript",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookies akzeptieren",
+    "newsletter abonnieren",
+    "tous droits réservés", "conditions d'utilisation", "politique de confidentialité",
+    "accepter les cookies", "abonnez-vous",
+    "todos los derechos reservados", "términos de uso", "política de privacidad",
+    "aceptar las cookies", "suscríbete",
 )
 
 

@@ -177,6 +177,8 @@ QUALIFY row_number() OVER best <= 20
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_PHRASES = ", ".join("'" + p.replace("'", "''") + "'" for p in quality.BOILERPLATE)
+
 _OP3 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws,
@@ -200,7 +202,7 @@ WITH d AS (
            OR (regexp_matches(x, '{quality.ENDING.replace("'", "''")}')
                AND length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) * 10 <= length(x)
                AND length(regexp_replace(x, '[^{quality.SEPARATORS}]', '', 'g')) < 3
-               AND len(list_filter({list(quality.BOILERPLATE)}, lambda p: contains(lower(x), p))) = 0)
+               AND len(list_filter([{_PHRASES}], lambda p: contains(lower(x), p))) = 0)
          ), ''), '[\x20\x09-\x0D]', '', 'g')) AS left_chars
   FROM d LEFT JOIN repeats USING (doc_id)
 )
