@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from tidemark.llm import topk
 from tidemark.llm.topk import exact_top_k
 
 
@@ -41,3 +42,40 @@ def test_unusable_rows_and_few_rows(spark):
 def test_scores_beyond_a_long_are_the_nearest(spark):
     rows = [(0, [3e30], 1), (1, [3e30], 1), (2, [-3e30], 1)]
     assert run(spark, rows, 2, 20) == {(0, 1, 1, 2**63 - 1), (0, 2, 2, -(2**63))}
+
+
+def test_few_whole_scores_are_computed(spark, monkeypatch):
+    """Nodes see their slice only; what the cutoffs leave over is all that is added up."""
+    rng = np.random.default_rng(4)
+    raw = {i: rng.normal(size=16).astype(np.float32) for i in range(3000)}
+    rows = [(i, v.tolist(), 0) for i, v in raw.items()]
+    counted = []
+    whole, stage = topk._whole, topk.stage
+
+    def counting(pairs, *args):
+        counted.append(pairs.count())
+        return whole(pairs, *args)
+
+    def kept(df, label):
+        out = stage(df, label)
+        if label == "handed-in":
+            counted.append(out.where("nodes = 2").count())
+        return out
+
+    monkeypatch.setattr(topk, "_whole", counting)
+    monkeypatch.setattr(topk, "stage", kept)
+    got = run(spark, rows, 10, 50, block=500)
+    whole_vectors = {i: np.floor(64 * v.astype(float)).astype(int) for i, v in raw.items()}
+    assert got == brute(whole_vectors, 10, 50)
+    pairs = 60 * 3000
+    listed, handed, resolved = counted
+    assert listed <= 60 * 2 * 11 and listed + handed + resolved < 0.2 * pairs
+
+
+def test_clashing_columns_and_short_vectors(spark):
+    rows = [(i, [float(i % 7), 1.0][: 1 + i % 2], i, "x", 2) for i in range(45)] + [(90, [], 1, "y", 3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, cls int, node string, score int")
+    got = {tuple(r) for r in exact_top_k(table, F.col("vec_id") % 10 == 0, k=3, block=8).collect()}
+    filled = {r[0]: np.array([*(64 * int(x) for x in r[1]), 0, 0][:2]) for r in rows}
+    assert got == brute(filled, 3, 10)
+    assert exact_top_k(table.select("vec_id", F.array().cast("array<float>").alias("embedding")), F.lit(True), k=2).count() == 92

@@ -1,26 +1,32 @@
 """Exact top-k search by inner product with a three-phase uniform threshold.
 
-Every vector is cut into ``nodes`` slices of its dimensions; a slice scores a
-candidate by the inner product over its dimensions, and a candidate's score is
-the sum of its slices' scores.
-
-1. Each slice lists its best candidates per query. The listed candidates' whole
-   scores give the cutoff: the (k+1)-th best of them, so that at least k other
-   candidates than the query's own vector reach it.
-2. The cutoff goes back with the queries. If all slices of a candidate scored
-   less than ``cutoff / nodes``, their sum would be less than the cutoff;
-   so each slice hands in the candidates that reach that uniform threshold.
-3. Of the candidates handed in, those whose bound (what is known, and the
-   threshold for the slices that did not hand them in) reaches the cutoff are
-   resolved exactly.
-
-Slice scores may be negative: the argument of step 2 does not need their sign.
+Every vector is cut into ``nodes`` slices of its dimensions. A node holds one
+slice of a block of vectors; it scores a candidate by the inner product over its
+dimensions and sees no other slice. A candidate's score is the sum of its nodes'
+scores. Nodes are rows of their own, dealt out by node and block, and exchange
+nothing but lists of scores.
+
+1. Each node lists its best candidates per query. The nodes that did not list a
+   candidate are asked for it, and the listed candidates' whole scores give the
+   cutoff: the (k+1)-th best of them, so that at least k other candidates than
+   the query's own vector reach it.
+2. The cutoff goes back with the queries. If all nodes of a candidate scored less
+   than ``cutoff / nodes``, their sum would be less than the cutoff; so each node
+   hands in the candidates that reach that uniform threshold. Those that all nodes
+   handed in have whole scores, which raise the cutoff.
+3. Of the others, those whose bound (what is known, and the threshold for the nodes
+   that did not hand them in) reaches the raised cutoff are asked for, and resolved
+   exactly.
+
+Node scores may be negative: the argument of step 2 does not need their sign.
 Step 1 completes the listed candidates, because an absent signed score has no
 useful lower bound.
 
 Rows lie in blocks of about ``block`` vectors; a query block meets each row
 block once per phase. Equal vectors are searched once and at most k+1 of their
-ids are carried, the smallest, which is all that a result can use.
+ids are carried, the smallest, which is all that a result can use. Vectors so
+large that sums of products are not exact in float64 are searched by one node, in
+integers of any size.
 """
 
 from __future__ import annotations
@@ -77,34 +83,61 @@ def exact_top_k(
     share an id the one with the smallest vector counts. No rows: no result.
     Scores beyond a long become the nearest long.
     """
-    spark = vectors.sparkSession
     rows = stage(integer_vectors(vectors, id_col, vec_col), "vectors")
-    size = rows.agg(F.max(F.size("q")).alias("dims"), F.count("*").alias("n")).first()
-    dims, n = size["dims"] or 0, size["n"]
+    size = rows.agg(
+        F.max(F.size("q")).alias("dims"),
+        F.count("*").alias("n"),
+        F.max(F.array_max(F.transform("q", lambda c: F.abs(c.cast("double"))))).alias("top"),
+    ).first()
+    dims, n, top = size["dims"] or 0, size["n"], size["top"] or 0.0
+    exact = top * top * max(dims, 1) < EXACT
+    nodes = max(1, min(nodes, dims)) if exact else 1
 
     same = Window.partitionBy("q").orderBy("vec_id")
     members = rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
     members = members.withColumn("cls", F.min("vec_id").over(Window.partitionBy("q")))
     members = stage(members, "classes")
-    blocks = max(1, -(-n // block))
-    row_blocks = stage(_packed(members.where("nth = 1"), blocks, dims, "r"), "row-blocks")
-
-    queries = rows.where(is_query)
-    query_blocks = max(1, -(-queries.count() // block))
+    queries = stage(rows.where(is_query), "queries")
+    blocks = max(1, -(-n // block)), max(1, -(-queries.count() // block))
     unbounded = queries.withColumn("cutoff", F.lit(None).cast("long"))
-    met = _met(unbounded, query_blocks, row_blocks, dims)
-    listed = met.mapInPandas(lambda it: _list(it, dims, nodes, k), "query_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
-    cutoffs = (
-        listed.withColumn("nth", F.row_number().over(best))
-        .where(F.col("nth") == k + 1)
-        .select(F.col("query_id").alias("vec_id"), F.col("score").alias("cutoff"))
+    row_nodes = stage(_nodes(members.where("nth = 1"), blocks[0], dims, nodes, "r"), "row-nodes")
+    query_nodes = stage(_nodes(unbounded, blocks[1], dims, nodes, "q"), "query-nodes")
+
+    def whole(pairs: DataFrame) -> DataFrame:
+        return _whole(pairs, query_nodes, row_nodes, blocks, exact)
+
+    met = _met(query_nodes, row_nodes, blocks[0])
+    listed = met.mapInPandas(
+        lambda it: _list(it, exact, k), "query_id long, cls long, node int, score long"
+    )
+    best = Window.partitionBy("query_id", "node").orderBy(F.desc("score"))
+    listed = listed.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
+    first = stage(whole(listed.select("query_id", "cls").distinct()), "listed")
+    cutoffs = stage(_cutoffs(first, k), "cutoffs")
+
+    bounded = queries.join(cutoffs.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+    met = _met(_nodes(bounded, blocks[1], dims, nodes, "q"), row_nodes, blocks[0])
+    handed = met.mapInPandas(
+        lambda it: _hand_in(it, exact, nodes), "query_id long, cls long, score long, cutoff long"
     )
-    cutoffs = stage(cutoffs, "cutoffs")
-    met = _met(queries.join(cutoffs, "vec_id", "left"), query_blocks, row_blocks, dims)
-    found = met.mapInPandas(
-        lambda it: _resolve(it, dims, nodes), "query_id long, cls long, score long"
+    known = stage(
+        handed.groupBy("query_id", "cls").agg(
+            F.sum("score").alias("score"),
+            F.count(F.lit(1)).alias("nodes"),
+            F.first("cutoff").alias("cutoff"),
+        ),
+        "handed-in",
     )
+    complete = known.where(F.col("nodes") == nodes).select("query_id", "cls", "score")
+    raised = stage(_cutoffs(complete, k), "raised").withColumnRenamed("cutoff", "raised")
+    limits = known.where(F.col("nodes") < nodes).join(raised, "query_id", "left")
+    # nodes * (what is known + the threshold for each node that is not) against the cutoff
+    bound = nodes * F.col("score") + (nodes - F.col("nodes")) * F.col("cutoff")
+    limit = F.greatest("cutoff", "raised") * nodes
+    left = limits.where(F.coalesce(bound >= limit, F.lit(True)))
+    resolved = whole(left.select("query_id", "cls"))
+
+    found = complete.unionByName(resolved.select("query_id", "cls", "score"))
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.join(members.select("cls", "vec_id"), "cls")
@@ -115,10 +148,25 @@ def exact_top_k(
     )
 
 
-def _packed(rows: DataFrame, blocks: int, dims: int, prefix: str) -> DataFrame:
-    """Rows (vec_id, q, cutoff) as matrices, about as many rows in each."""
+def _cutoffs(scores: DataFrame, k: int) -> DataFrame:
+    """(query_id, cutoff): the (k+1)-th best score of each query that has so many."""
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    return (
+        scores.withColumn("nth", F.row_number().over(best))
+        .where(F.col("nth") == k + 1)
+        .select("query_id", F.col("score").alias("cutoff"))
+    )
+
+
+def _block(name: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(blocks))
+
+
+def _nodes(rows: DataFrame, blocks: int, dims: int, nodes: int, prefix: str) -> DataFrame:
+    """Rows (vec_id, q[, cutoff]) as blocks of vectors, one row for each node's slice."""
     if "cutoff" not in rows.columns:
         rows = rows.withColumn("cutoff", F.lit(None).cast("long"))
+    edges = np.linspace(0, dims, nodes + 1).astype(int)
 
     def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
         matrix = np.zeros((len(pdf), dims), dtype=np.int64)
@@ -126,46 +174,83 @@ def _packed(rows: DataFrame, blocks: int, dims: int, prefix: str) -> DataFrame:
             matrix[i, : len(q)] = q
         open_ = pdf["cutoff"].isna().to_numpy()
         cutoffs = pdf["cutoff"].fillna(0).to_numpy().astype(np.int64)
-        ids = pdf["vec_id"].to_numpy().astype(np.int64)
+        ids = pdf["vec_id"].to_numpy().astype(np.int64).tobytes()
         return pd.DataFrame(
-            [[key[0], ids.tobytes(), matrix.tobytes(), cutoffs.tobytes(), open_.tobytes()]]
-        )
+            [
+                [key[0], node, ids, np.ascontiguousarray(matrix[:, a:b]).tobytes(),
+                 cutoffs.tobytes(), open_.tobytes()]
+                for node, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))
+            ]
+        )
 
     return (
-        rows.select("vec_id", "q", "cutoff", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("b"))
+        rows.select("vec_id", "q", "cutoff", _block("vec_id", blocks).alias("b"))
         .groupBy("b")
         .applyInPandas(
             pack,
-            f"{prefix}_block long, {prefix}_ids binary, {prefix}_matrix binary, "
+            f"{prefix}_block long, node int, {prefix}_ids binary, {prefix}_matrix binary, "
             f"{prefix}_cutoffs binary, {prefix}_open binary",
         )
     )
 
 
-def _met(queries: DataFrame, blocks: int, row_blocks: DataFrame, dims: int) -> DataFrame:
-    """Each query block beside each row block; the query blocks are what is copied."""
-    packed = _packed(queries, blocks, dims, "q")
-    places = row_blocks.agg(F.collect_set("r_block")).first()[0]
-    spread = packed.withColumn(
-        "r_block", F.explode(F.lit(places) if places else F.array().cast("array<long>"))
+def _met(queries: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
+    """Each node's query blocks beside each of its row blocks; the query blocks are copied."""
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    return queries.withColumn("r_block", everywhere).join(rows, ["node", "r_block"])
+
+
+def _whole(
+    pairs: DataFrame, queries: DataFrame, rows: DataFrame, blocks: tuple[int, int], exact: bool
+) -> DataFrame:
+    """(query_id, cls, score): the whole scores of pairs, each node asked for its part."""
+    asked = (
+        pairs.withColumn("q_block", _block("query_id", blocks[1]))
+        .withColumn("r_block", _block("cls", blocks[0]))
+        .groupBy("q_block", "r_block")
+        .agg(F.collect_list(F.struct("query_id", "cls")).alias("pairs"))
+        .select("q_block", "r_block", F.col("pairs.query_id").alias("of"), F.col("pairs.cls").alias("to"))
     )
-    return spread.join(row_blocks, "r_block")
+
+    def score(batches):
+        for pdf in batches:
+            for row in pdf.itertuples():
+                q_ids, r_ids, q, r = _vectors(row, exact)
+                of, to = np.asarray(row.of, np.int64), np.asarray(row.to, np.int64)
+                by_q, by_r = np.argsort(q_ids), np.argsort(r_ids)
+                i = by_q[np.searchsorted(q_ids, of, sorter=by_q)]
+                j = by_r[np.searchsorted(r_ids, to, sorter=by_r)]
+                parts = [
+                    (q[i[a : a + 65536]] * r[j[a : a + 65536]]).sum(axis=1)
+                    for a in range(0, len(of), 65536)
+                ]
+                yield pd.DataFrame({"query_id": of, "cls": to, "score": _longs(np.concatenate(parts))})
+
+    met = asked.join(queries, "q_block").join(rows, ["node", "r_block"])
+    scored = met.mapInPandas(score, "query_id long, cls long, score long")
+    return scored.groupBy("query_id", "cls").agg(F.sum("score").alias("score"))
 
 
-def _slices(row, dims: int, nodes: int):
-    """Query ids, row ids, and each slice's score matrix."""
-    q = np.frombuffer(row.q_matrix, dtype=np.int64).reshape(-1, dims)
-    r = np.frombuffer(row.r_matrix, dtype=np.int64).reshape(-1, dims)
-    top = lambda m: np.abs(m.astype(np.float64)).max(initial=0.0)
-    exact = top(q) * top(r) * max(dims, 1) < EXACT
+def _vectors(row, exact: bool):
+    """Query ids, row ids and the node's slices of both."""
+    q_ids, r_ids = (np.frombuffer(x, dtype=np.int64) for x in (row.q_ids, row.r_ids))
     kind = np.float64 if exact else object  # Python integers do not overflow
-    q, r = q.astype(kind), r.astype(kind)
-    edges = np.linspace(0, dims, nodes + 1).astype(int)
-    scores = [q[:, a:b] @ r[:, a:b].T for a, b in zip(edges[:-1], edges[1:], strict=True) if b > a]
-    if not scores:
-        scores = [np.zeros((len(q), len(r)))]
-    ids = np.frombuffer(row.q_ids, dtype=np.int64), np.frombuffer(row.r_ids, dtype=np.int64)
-    return *ids, scores
+    q, r = (
+        np.frombuffer(m, dtype=np.int64).reshape(len(ids), -1).astype(kind)
+        for m, ids in ((row.q_matrix, q_ids), (row.r_matrix, r_ids))
+    )
+    return q_ids, r_ids, q, r
+
+
+def _scores(row, exact: bool):
+    """Query ids, row ids and the node's score matrix."""
+    q_ids, r_ids, q, r = _vectors(row, exact)
+    if not q.shape[1]:
+        return q_ids, r_ids, np.zeros((len(q), len(r)))
+    scores = q @ r.T
+    if not exact:
+        scores = np.clip(scores, LONG_MIN, LONG_MAX)
+    return q_ids, r_ids, scores
 
 
 def _longs(scores: np.ndarray) -> np.ndarray:
@@ -174,53 +259,38 @@ def _longs(scores: np.ndarray) -> np.ndarray:
     return scores.astype(np.int64)
 
 
-def _list(batches, dims: int, nodes: int, k: int):
-    """Phase 1: the whole scores of the candidates that some slice ranks highest."""
+def _list(batches, exact: bool, k: int):
+    """Phase 1: the candidates that the node ranks highest, with its scores."""
     for pdf in batches:
         for row in pdf.itertuples():
-            q_ids, r_ids, scores = _slices(row, dims, nodes)
-            total = sum(scores)
+            q_ids, r_ids, scores = _scores(row, exact)
             take = min(k + 1, len(r_ids))
-            listed = np.concatenate(
-                [np.argpartition(-s, take - 1, axis=1)[:, :take] for s in scores], axis=1
-            )
-            listed.sort(axis=1)
-            sums = np.take_along_axis(total, listed, axis=1)
-            again = np.zeros(listed.shape, dtype=bool)
-            again[:, 1:] = listed[:, 1:] == listed[:, :-1]
-            best = -np.sort(-np.where(again, -np.inf, sums), axis=1)[:, : k + 1]
-            there = best > -np.inf
+            best = np.argpartition(-scores, take - 1, axis=1)[:, :take]
             yield pd.DataFrame(
-                {"query_id": np.repeat(q_ids, there.sum(axis=1)), "score": _longs(best[there])}
+                {
+                    "query_id": np.repeat(q_ids, take),
+                    "cls": r_ids[best.ravel()],
+                    "node": np.full(best.size, row.node, dtype=np.int32),
+                    "score": _longs(np.take_along_axis(scores, best, axis=1).ravel()),
+                }
             )
 
 
-def _resolve(batches, dims: int, nodes: int):
-    """Phases 2 and 3: who reaches the uniform threshold, and their exact scores."""
+def _hand_in(batches, exact: bool, nodes: int):
+    """Phase 2: the candidates that reach the uniform threshold, or all without a cutoff."""
     for pdf in batches:
         for row in pdf.itertuples():
-            q_ids, r_ids, scores = _slices(row, dims, nodes)
+            q_ids, r_ids, scores = _scores(row, exact)
             cutoff = np.frombuffer(row.q_cutoffs, dtype=np.int64)
-            cutoff = cutoff.astype(scores[0].dtype)[:, None]
-            free = np.frombuffer(row.q_open, dtype=bool)[:, None]
-            parts = len(scores)
-            reach = [parts * s >= cutoff for s in scores]
-            handed = free | np.logical_or.reduce(reach)
-            i, j = np.nonzero(handed)
-            limit, open_ = cutoff[i, 0], free[i, 0]
-            # parts * (what is known + threshold for each slice that is not)
-            bound = sum(
-                np.where(hit[i, j], parts * s[i, j], limit)
-                for s, hit in zip(scores, reach, strict=True)
-            )
-            keep = open_ | (bound >= parts * limit)
-            i, j, limit, open_ = i[keep], j[keep], limit[keep], open_[keep]
-            total = sum(s[i, j] for s in scores)
-            keep = open_ | (total >= limit)
+            free = np.frombuffer(row.q_open, dtype=bool)
+            i, j = np.nonzero(free[:, None] | (nodes * scores >= cutoff.astype(scores.dtype)[:, None]))
+            limits = pd.array(cutoff[i], dtype="Int64")
+            limits[free[i]] = pd.NA
             yield pd.DataFrame(
                 {
-                    "query_id": q_ids[i[keep]],
-                    "cls": r_ids[j[keep]],
-                    "score": _longs(total[keep]),
+                    "query_id": q_ids[i],
+                    "cls": r_ids[j],
+                    "score": _longs(scores[i, j]),
+                    "cutoff": limits,
                 }
             )
