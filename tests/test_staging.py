@@ -66,6 +66,8 @@ def test_a_cluster_must_name_its_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_dir(Session(spark__master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_dir(Session(spark__master="local-cluster[3,2,1000]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_dir(Session())  # a session that does not say where it runs
     named = Session(spark__master="yarn", spark__checkpoint__dir="hdfs:///ck/")

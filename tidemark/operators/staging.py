@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -21,13 +22,13 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a session that is known to be local may do without the setting; it
-    gets a fresh temporary folder, one per application.
+    Only a session that is known to run in one process may do without the
+    setting; it gets a fresh temporary folder, one per application.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
