@@ -70,7 +70,7 @@ def _facts(text: Column) -> Column:
     return F.struct(
         _count(text, SYMBOLS).alias("symbols"),
         _any_of(text, SEPARATORS).alias("separators"),
-        _any_of(F.lower(text), BOILERPLATE).alias("phrases"),
+        let(F.lower(text), lambda small: _any_of(small, BOILERPLATE)).alias("phrases"),
     )
 
 
@@ -78,7 +78,7 @@ def line_passes(line: Column, facts: Column) -> Column:
     """Whether a line survives the three rules; a line without words does."""
     few_symbols = (facts["symbols"] == 0) | (_count(line, SYMBOLS) * 10 <= F.length(line))
     no_menu = ~facts["separators"] | (_count(line, SEPARATORS) < 3)
-    own_words = ~facts["phrases"] | ~_any_of(F.lower(line), BOILERPLATE)
+    own_words = ~facts["phrases"] | ~let(F.lower(line), lambda small: _any_of(small, BOILERPLATE))
     return _wordless(line) | (line.rlike(ENDING) & few_symbols & no_menu & own_words)
 
 
