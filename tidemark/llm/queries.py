@@ -282,10 +282,74 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r
 """
 
+#: CRC-32 of an id in decimal, by its table; periods are tried where six words come again.
+_OP12 = rf"""
+WITH codes AS (
+  SELECT list(c ORDER BY n) AS code FROM (
+    SELECT n, list_reduce([n::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, bit:
+             CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS c
+    FROM range(256) AS numbers(n))
+), d AS (
+  SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS ws,
+         xor(list_reduce(
+           [4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT),
+           lambda c, byte: xor(c // 256, code[(1 + xor(c, byte) % 256)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS h
+  FROM documents, codes
+), a AS (
+  SELECT *, len(ws) AS n, (h // 10) % nullif(len(ws), 0) AS since FROM d
+), p AS (
+  SELECT *, 1 + (n - since) // (3 + (h // 10) % 8) AS period FROM a
+), texts AS (
+  SELECT id, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+           THEN list_transform(range(n), lambda i: CASE WHEN i < since THEN ws[i + 1]
+                                                        ELSE ws[1 + since + (i - since) % period] END)
+           ELSE ws END AS ws
+  FROM p
+), w AS (
+  SELECT id, unnest(range(n)) AS i, unnest(ws) AS w FROM texts
+), six AS (
+  SELECT * FROM (
+    SELECT id, i, array_to_string([w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o,
+                                   lead(w, 4) OVER o, lead(w, 5) OVER o], ' ') AS g,
+           lead(w, 5) OVER o IS NOT NULL AS whole
+    FROM w WINDOW o AS (PARTITION BY id ORDER BY i))
+  WHERE whole
+), tried AS (
+  SELECT DISTINCT x.id, y.i - x.i AS q
+  FROM six x JOIN six y ON x.id = y.id AND x.g = y.g AND x.i < y.i
+), same AS (
+  SELECT t.id, t.q, x.i, x.i - row_number() OVER (PARTITION BY t.id, t.q ORDER BY x.i) AS stretch
+  FROM tried t JOIN w x ON x.id = t.id JOIN w y ON y.id = t.id AND y.i = x.i + t.q AND y.w = x.w
+), found AS (
+  SELECT id, min(i) AS start, count(*) + q AS length, q AS period
+  FROM same GROUP BY id, q, stretch HAVING count(*) >= greatest(q, 12 - q)
+), runs AS (
+  SELECT * FROM found f WHERE NOT EXISTS (
+    SELECT 1 FROM found o
+    WHERE o.id = f.id AND o.period < f.period AND f.period % o.period = 0
+      AND o.start <= f.start AND o.start + o.length >= f.start + f.length)
+), listed AS (
+  SELECT id, count(*) AS n_runs,
+         first(struct_pack(s := start, l := length, p := period) ORDER BY length DESC, start, period) AS top,
+         string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY id
+), gone AS (
+  SELECT DISTINCT id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT id, string_agg(w, ' ' ORDER BY i) AS text FROM w ANTI JOIN gone USING (id, i) GROUP BY id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start,
+       top.l::BIGINT AS length, top.p::BIGINT AS period,
+       (1000 * top.l // top.p)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (id) LEFT JOIN kept USING (id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_top_k": _OP1,
     "op3_quality": _OP3,
     "op5_mix": _OP5,
     "op10_line_dedup": _OP10,
     "op11_warc": _OP11,
+    "op12_periodic_runs": _OP12,
 }
