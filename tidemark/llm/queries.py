@@ -282,18 +282,25 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r
 """
 
-#: CRC-32 of an id in decimal, by its table; periods are tried where six words come again.
-_OP12 = rf"""
-WITH codes AS (
+#: The table of CRC-32 by its rule, and the sum of a list of bytes.
+_CRC_TABLE = """codes AS (
   SELECT list(c ORDER BY n) AS code FROM (
     SELECT n, list_reduce([n::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, bit:
              CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS c
     FROM range(256) AS numbers(n))
-), d AS (
+)"""
+
+
+def _crc(bytes_: str) -> str:
+    return f"""xor(list_reduce([4294967295::UBIGINT] || {bytes_},
+           lambda c, byte: xor(c // 256, code[(1 + xor(c, byte) % 256)::BIGINT])), 4294967295::UBIGINT)::BIGINT"""
+
+
+#: Periods are tried where six words come again.
+_OP12 = rf"""
+WITH {_CRC_TABLE}, d AS (
   SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS ws,
-         xor(list_reduce(
-           [4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT),
-           lambda c, byte: xor(c // 256, code[(1 + xor(c, byte) % 256)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS h
+         {_crc("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)")} AS h
   FROM documents, codes
 ), a AS (
   SELECT *, len(ws) AS n, (h // 10) % nullif(len(ws), 0) AS since FROM d
@@ -345,6 +352,53 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start,
 FROM texts LEFT JOIN listed USING (id) LEFT JOIN kept USING (id)
 """
 
+#: Two words are near if they are alike without the same place, or one without a place is the other.
+_OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE}, found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[A-Za-z\x{{00C0}}-\x{{00FF}}]{{7,}}')) AS run
+  FROM documents
+), runs AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS tagged, count(*) AS n
+  FROM found GROUP BY run, tagged
+), hashed AS (
+  SELECT run, n, {_crc("""flatten(list_transform(string_split(tagged, ''), lambda x:
+           CASE WHEN unicode(x) < 128 THEN [unicode(x)::UBIGINT]
+                ELSE [(192 + unicode(x) // 64)::UBIGINT, (128 + unicode(x) % 64)::UBIGINT] END))""")} AS h
+  FROM runs, codes
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, 2 + h % length(run))
+                ELSE run END AS word, n
+    FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), less AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM less a JOIN less b
+  ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n
+  FROM near GROUP BY word
+), formed AS (
+  SELECT words.word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN other_n >= 10 * n THEN other END AS form,
+         CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), steps AS (
+  SELECT word, word AS seen FROM formed
+  UNION ALL
+  SELECT steps.word, form FROM steps JOIN formed ON formed.word = seen WHERE form IS NOT NULL
+), ends AS (
+  SELECT steps.word, seen AS root FROM steps JOIN formed ON formed.word = seen WHERE form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_top_k": _OP1,
     "op3_quality": _OP3,
@@ -352,4 +406,5 @@ ORACLES: dict[str, str] = {
     "op10_line_dedup": _OP10,
     "op11_warc": _OP11,
     "op12_periodic_runs": _OP12,
+    "op13_spelling": _OP13,
 }
