@@ -107,3 +107,56 @@ def test_sums_to_one(documents):
         ws = [None, *t.split(), None]
         want = sum(math.log10(p(w, v)) for v, w in zip(ws[:-1], ws[1:], strict=True))
         assert got[i] == pytest.approx(want, abs=0.03 * len(ws))
+
+
+def test_successors_are_sought_between_the_pointers_of_their_context():
+    """Ids go on from the context before, so that without its pointers no successor is found."""
+    contexts = np.repeat(np.arange(40, dtype=np.uint64), 5)
+    words = np.tile(np.arange(0, 50, 10, dtype=np.uint64), 40)
+    trie = Trie(Trie.build(contexts, words, np.arange(200, dtype=np.uint16)))
+    assert trie.find(contexts, words).tolist() == list(range(200))
+    assert (trie.find(contexts, words + np.uint64(1)) == -1).all()
+    assert (trie.fan() == 5).all()
+    trie.pointers, _ = EliasFano.open(EliasFano.encode(np.zeros(41, np.int64), 201), 0)
+    assert (trie.find(contexts, words) == -1).all()
+
+
+def test_levels_are_mixed_by_counted_successors(documents):
+    """Against brute force, also where a context's successors lie in many shards."""
+    rows = corpus()
+    texts = {
+        i: [None, *(w.lower() if w.isascii() else w for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")), None]
+        for i, t in rows
+    }
+    pairs, c, kinds = Counter(), Counter(), Counter()
+    for i, ws in texts.items():
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            pairs.update(zip(ws[:-1], ws[1:], strict=True))
+            c.update(ws[1:])
+    for context, _ in pairs:
+        kinds[context] += 1
+    total = sum(c.values())
+
+    def p(w, context):
+        p1 = (c[w] + 0.5) / (total + 0.5 * (len(c) + 1))
+        if not c[context]:
+            return p1
+        rest = kinds[context] / (kinds[context] + c[context])
+        return (1 - rest) * pairs[context, w] / c[context] + rest * p1
+
+    for options in ({}, {"lot_words": 200, "shard_chars": 500}):
+        got = score_corpus(documents(rows), counted=True, **options).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            ws = texts[r["doc_id"]]
+            want = sum(math.log10(p(w, v)) for v, w in zip(ws[:-1], ws[1:], strict=True))
+            assert r["score"] == pytest.approx(want, abs=0.022 * len(ws))
+
+
+def test_counted_successors_of_three_levels_in_any_cut(documents):
+    rows = corpus()
+    one = {r["doc_id"]: r["score"] for r in score_corpus(documents(rows), order=3, counted=True).collect()}
+    many = score_corpus(documents(rows), order=3, lot_words=100, shard_chars=500, counted=True).collect()
+    assert {r["doc_id"]: r["score"] for r in many} == pytest.approx(one, rel=1e-9)
+    two = {r["doc_id"]: r["score"] for r in score_corpus(documents(rows), counted=True).collect()}
+    assert sum(one.values()) > sum(two.values())

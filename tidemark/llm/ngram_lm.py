@@ -11,26 +11,29 @@ frequent word lie in all shards.
 
 A trie has sorted contexts, an Elias-Fano list of pointers to where each
 context's successors begin, and the successors themselves as one Elias-Fano
-list: successor ids grow within a context, and adding the context's number times
-the vocabulary size makes them grow throughout. A query finds the context, then
-the successor relative to it. Beside the successors lie their quantised
-log-probabilities (of the n-gram among the training n-grams of its level). All
-levels are in one flat buffer that is opened in place, from a memory-mapped
-file or from memory.
+list: successor ids grow within a context, and adding the last value of the
+context before makes them grow throughout. A query finds the context, and seeks
+the successor between its two pointers. Beside the successors lie their quantised
+log-probabilities (of the n-gram among the training n-grams of its level). A
+trie is one flat buffer; a shard writes it to a file and opens it memory-mapped.
 
 A word's probability mixes the levels::
 
     P1 = (c(w) + 0.5) / (N + 0.5 (V + 1))
     Pn = (1 - l) c(context w) / c(context) + l Pn-1,   l = r / (r + c(context))
 
-where r = KAPPA * c(context) ** GAMMA estimates how many different words have
-followed the context. Contexts without counts leave Pn-1 as it is. For any
-l this sums to one over the vocabulary and the unknown word, apart from the
-rounding of the quantised level.
+where r is how many different words have followed the context in training. The
+levels are answered from the highest down: the pointers of a shard's trie say how
+many successors a context has there, and the shard one level below that holds the
+context as an n-gram adds up what all shards say. (Without ``counted``,
+r = KAPPA * c(context) ** GAMMA estimates it.) Contexts without counts leave Pn-1
+as it is. For any l this sums to one over the vocabulary and the unknown word,
+apart from the rounding of the quantised level.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 import zlib
 
@@ -51,6 +54,8 @@ SHARD_CHARS = 6_000_000
 FRAME_FROM = 256
 #: Quantised log10: steps to a unit.
 STEPS = 24
+#: A lot's n-grams for a shard.
+CELL = "lot string, shard int, contexts binary, lengths binary, words binary, counts binary"
 
 
 # Elias-Fano ------------------------------------------------------------------
@@ -101,12 +106,15 @@ class EliasFano:
         high = np.searchsorted(self.starts, i, side="right") - 1
         return (high.astype(np.int64) << self.low_bits) | self.low[i].astype(np.int64)
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """The place of each value, or -1: the successor is sought among equal high parts."""
+    def find(
+        self, values: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | None = None
+    ) -> np.ndarray:
+        """The place of each value from ``begin`` to ``end``, or -1: sought among equal high parts."""
         high = values >> self.low_bits
         inside = high < len(self.starts) - 1
         high = np.where(inside, high, 0)
-        lo, hi = self.starts[high], self.starts[high + 1]
+        lo = np.maximum(self.starts[high], begin)
+        hi = np.minimum(self.starts[high + 1], self.size if end is None else end)
         end, low = hi.copy(), (values & ((1 << self.low_bits) - 1)).astype(self.low.dtype)
         if not self.size:
             return np.full(len(values), -1)
@@ -137,16 +145,18 @@ class Trie:
         """From distinct n-grams sorted by (context, word)."""
         own, first = np.unique(contexts, return_index=True)
         vocabulary, ids = np.unique(words, return_inverse=True)
-        number = np.searchsorted(own, contexts).astype(np.int64)
-        size = max(len(vocabulary), 1)
+        pointers = np.append(first, len(words))
+        # Each context's ids go on from the last value of the context before.
+        last = np.cumsum(ids[pointers[1:] - 1]) if len(own) else np.zeros(0, np.int64)
+        values = np.repeat(np.append(0, last)[: len(own)], np.diff(pointers)) + ids
         head = np.array([len(own), len(vocabulary), len(words), 8 * codes.itemsize], dtype=np.int64)
         return b"".join(
             [
                 head.tobytes(),
                 own.astype(np.uint64).tobytes(),
                 vocabulary.astype(np.uint64).tobytes(),
-                EliasFano.encode(np.append(first, len(words)), len(words) + 1),
-                EliasFano.encode(number * size + ids, len(own) * size + 1),
+                EliasFano.encode(pointers, len(words) + 1),
+                EliasFano.encode(values, int(values[-1]) + 1 if len(values) else 1),
                 codes.tobytes(),
             ]
         )
@@ -163,9 +173,13 @@ class Trie:
         c = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
         w = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         known = (self.contexts[c] == contexts) & (self.words[w] == words)
-        place = self.successors.find(c.astype(np.int64) * len(self.words) + w)
         begin, end = self.pointers[c], self.pointers[c + 1]
-        return np.where(known & (place >= begin) & (place < end), place, -1)
+        base = np.where(begin > 0, self.successors[np.maximum(begin - 1, 0)], 0)
+        return np.where(known, self.successors.find(base + w, begin, end), -1)
+
+    def fan(self) -> np.ndarray:
+        """How many successors each context has."""
+        return np.diff(self.pointers[np.arange(self.pointers.size)])
 
 
 def quantise(counts: np.ndarray, total: int) -> np.ndarray:
@@ -289,10 +303,11 @@ class Lot:
             reach = pair >= 0
             distinct, inverse = np.unique(pair[reach], return_inverse=True)
             source, word = distinct // len(self.words), distinct % len(self.words)
-            contexts = context[source] if level > 1 else np.zeros(len(distinct), dtype=np.uint64)
-            words = self.words[word]
-            key = mixed(contexts * np.uint64(0x9E3779B97F4A7C15) + words)
-            shard = (key % np.uint64(shards)).astype(np.int64)
+            # As much of the hashes as is sent, so that a shard knows the n-grams' own hashes.
+            contexts = _upper(context[source], 6) if level > 1 else np.zeros(len(distinct), np.uint64)
+            words = _upper(self.words[word], _word_bytes(level))
+            key = _gram(contexts, words)
+            shard = _shard(key, shards)
             by_shard = np.argsort(shard, kind="stable")
             rank = np.empty(len(by_shard), dtype=np.int64)
             rank[by_shard] = np.arange(len(by_shard))
@@ -307,29 +322,26 @@ class Lot:
                 end_gram = int(rank[0])
 
 
-def _cells(lots: DataFrame, order: int, shards: int) -> DataFrame:
-    """What each lot sends to each shard of each level."""
+def _cells(lots: DataFrame, level: int, shards: int) -> DataFrame:
+    """What each lot sends to each shard of a level."""
 
     def cells(batches):
         for pdf in batches:
             for row in pdf.itertuples():
                 out = []
-                for level, (contexts, words, shard, counts, _) in enumerate(
-                    Lot(row, order, shards).levels, 1
-                ):
-                    edges = np.searchsorted(shard, np.arange(shards + 1))
-                    for s in range(shards):
-                        a, b = edges[s], edges[s + 1]
-                        if a < b:
-                            own, lengths = _run_lengths(contexts[a:b])
-                            out.append(
-                                (row.lot, level, s, _short(own, 6), squeezed(lengths),
-                                 _short(words[a:b], _word_bytes(level)), squeezed(counts[a:b]))
-                            )
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
-
-    kind = "lot string, level int, shard int, contexts binary, lengths binary, words binary, counts binary"
-    return lots.mapInPandas(cells, kind)
+                contexts, words, shard, counts, _ = Lot(row, level, shards).levels[-1]
+                edges = np.searchsorted(shard, np.arange(shards + 1))
+                for s in range(shards):
+                    a, b = edges[s], edges[s + 1]
+                    if a < b:
+                        own, lengths = _run_lengths(contexts[a:b])
+                        out.append(
+                            (row.lot, s, _short(own, 6), squeezed(lengths),
+                             _short(words[a:b], _word_bytes(level)), squeezed(counts[a:b]))
+                        )
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in CELL.split(", ")])
+
+    return lots.mapInPandas(cells, CELL)
 
 
 def _run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,54 +360,123 @@ def _short(hashes: np.ndarray, n: int) -> bytes:
     return np.ascontiguousarray(raw[:, 8 - n :]).tobytes()
 
 
+def _upper(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of which the upper ``n`` bytes are left."""
+    return hashes >> np.uint64(64 - 8 * n) << np.uint64(64 - 8 * n)
+
+
+def _gram(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams; they are the contexts one level up."""
+    return mixed(contexts * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
+def _shard(grams: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each n-gram, by what of its hash is sent of contexts."""
+    return ((grams >> np.uint64(16)) % np.uint64(shards)).astype(np.int64)
+
+
 def _long(raw: bytes, n: int) -> np.ndarray:
     out = np.zeros((len(raw) // n, 8), dtype=np.uint8)
     out[:, 8 - n :] = np.frombuffer(raw, np.uint8).reshape(-1, n)
     return out.view("<u8").ravel()
 
 
-def _answers(cells: DataFrame, totals: int) -> DataFrame:
-    """Build each shard's trie and look every lot's n-grams up in it.
+def _answers(lots: DataFrame, order: int, shards: int, total: int) -> DataFrame:
+    """What the shards answer each lot on its n-grams of all levels.
 
-    At the first level ``counts`` are exact; above, they are quantised.
+    ``found`` are counts, at the first level exact, above quantised; ``kinds`` say
+    how many different words have followed the n-gram, but for the highest level.
+    """
+    out, sent = None, None
+    for level in range(order, 0, -1):
+        dealt = _cells(lots, level, shards)
+        if sent is not None:
+            dealt = dealt.unionByName(sent, allowMissingColumns=True)
+        answered = stage(_looked_up(dealt, level, order, shards, total), f"answers-{level}")
+        own = answered.where("lot IS NOT NULL").drop("contexts", "counts")
+        out = own if out is None else out.unionByName(own)
+        sent = answered.where("lot IS NULL").select("lot", "shard", "contexts", "counts")
+    return out
+
+
+def _looked_up(dealt: DataFrame, level: int, order: int, shards: int, total: int) -> DataFrame:
+    """Build each shard's trie of a level and look every lot's n-grams up in it.
+
+    Rows without a lot say how many successors contexts have in a shard: those that
+    come in are of the level above, those that go out are for the level below.
     """
 
     def answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        level = int(key[0])
+        told, cells = pdf[pdf["lot"].isna()], pdf[pdf["lot"].notna()]
         parts = []
-        for r in pdf.itertuples():
+        for r in cells.itertuples():
             contexts = np.repeat(_long(r.contexts, 6), expanded(r.lengths))
             parts.append((contexts, _long(r.words, _word_bytes(level)), expanded(r.counts)))
         sizes = [len(p[1]) for p in parts]
         contexts, words, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
         seen = counts > 0
-        order = np.lexsort((words[seen], contexts[seen]))
-        c, w, n = contexts[seen][order], words[seen][order], counts[seen][order].astype(np.int64)
+        order_ = np.lexsort((words[seen], contexts[seen]))
+        c, w, n = contexts[seen][order_], words[seen][order_], counts[seen][order_].astype(np.int64)
         new = np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))[: len(c)]
         first = np.flatnonzero(new)
         n = np.add.reduceat(n, first) if len(first) else n
         c, w = c[first], w[first]
-        trie = Trie(Trie.build(c, w, quantise(n, totals) if level > 1 else np.arange(len(n), dtype=np.uint32)))
-        place = trie.find(contexts, words)
+        codes = quantise(n, total) if level > 1 else np.arange(len(n), dtype=np.uint32)
+        with tempfile.NamedTemporaryFile() as file:
+            file.write(Trie.build(c, w, codes))
+            file.flush()
+            trie = Trie.map(file.name)
+            place = trie.find(contexts, words)
         values = n if level == 1 else trie.codes
-        found = np.where(place >= 0, np.append(values, 0)[place], 0)
-        width = 8 if level == 1 else 4
         ends = np.cumsum(sizes)
-        return pd.DataFrame(
+
+        def cut(values: np.ndarray, width: int) -> list:
+            found = np.where(place >= 0, np.append(values, 0)[place], 0)
+            return [squeezed(found[a:b], width) for a, b in zip(ends - sizes, ends, strict=True)]
+
+        out = pd.DataFrame(
             {
-                "lot": pdf["lot"],
+                "lot": cells["lot"].to_numpy(),
                 "level": level,
-                "shard": pdf["shard"],
-                "found": [squeezed(found[a:b], width) for a, b in zip(ends - sizes, ends, strict=True)],
-                "distinct": [len(n)] + [0] * (len(pdf) - 1),
+                "shard": int(key[0]),
+                "found": cut(values, 8 if level == 1 else 4),
+                "kinds": cut(_kinds(_gram(c, w), told), 4) if level < order else None,
+                "distinct": [len(n)] + [0] * (len(cells) - 1),
+                "contexts": None,
+                "counts": None,
             }
         )
-
-    return cells.groupBy("level", "shard").applyInPandas(
-        answer, "lot string, level int, shard int, found binary, distinct long"
+        if level == 1:
+            return out
+        to = _shard(trie.contexts, shards)
+        by_shard = np.argsort(to, kind="stable")
+        fan, owners = trie.fan()[by_shard], trie.contexts[by_shard]
+        edges = np.searchsorted(to[by_shard], np.arange(shards + 1))
+        rows = [
+            (None, level, s, None, None, 0, _short(owners[a:b], 6), squeezed(fan[a:b]))
+            for s, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))
+            if a < b
+        ]
+        return pd.concat([out, pd.DataFrame(rows, columns=out.columns)]) if rows else out
+
+    return dealt.groupBy("shard").applyInPandas(
+        answer,
+        "lot string, level int, shard int, found binary, kinds binary, distinct long, "
+        "contexts binary, counts binary",
     )
 
 
+def _kinds(grams: np.ndarray, told: pd.DataFrame) -> np.ndarray:
+    """The successors of each n-gram in all shards together."""
+    if not len(told):
+        return np.zeros(len(grams), np.int64)
+    contexts = np.concatenate([_long(x, 6) for x in told["contexts"]])
+    own, number = np.unique(contexts, return_inverse=True)
+    sums = np.bincount(number, weights=np.concatenate([expanded(x) for x in told["counts"]]))
+    place = np.minimum(np.searchsorted(own, _upper(grams, 6)), len(own) - 1)
+    return np.where(own[place] == _upper(grams, 6), sums[place], 0).astype(np.int64)
+
+
 def score_corpus(
     docs: DataFrame,
     order: int = 2,
@@ -403,6 +484,7 @@ def score_corpus(
     shard_chars: int = SHARD_CHARS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    counted: bool = False,
 ) -> DataFrame:
     """Train on the texts that are not held out and score all.
 
@@ -411,6 +493,8 @@ def score_corpus(
     in training; rows that share an id are texts of their own. Without training
     texts N and V are 0, and every token has probability 1. Words are told apart
     by 64-bit hashes, contexts by 48 and successors above the first level by 40 bits.
+    With ``counted`` the levels are mixed by how many different words have followed
+    a context in training, without it by an estimate from its count.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
@@ -425,17 +509,17 @@ def score_corpus(
     total = lots.agg(
         F.sum(F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x))
     ).first()[0] or 0
-    answers = stage(_answers(_cells(lots, order, shards), total), "answers")
+    answers = _answers(lots, order, shards, total)
     vocabulary = answers.where("level = 1").agg(F.sum("distinct")).first()[0] or 0
 
     found = answers.groupBy("lot").agg(
-        F.sort_array(F.collect_list(F.struct("level", "shard", "found"))).alias("found")
+        F.sort_array(F.collect_list(F.struct("level", "shard", "found", "kinds"))).alias("found")
     )
 
     def score(batches):
         for pdf in batches:
             for row in pdf.itertuples():
-                yield _scores(row, order, shards, total, vocabulary)
+                yield _scores(row, order, shards, total, vocabulary, counted)
 
     return lots.join(found, "lot").mapInPandas(
         score,
@@ -444,13 +528,18 @@ def score_corpus(
     )
 
 
-def _scores(row, order: int, shards: int, total: int, vocabulary: int) -> pd.DataFrame:
+def _scores(
+    row, order: int, shards: int, total: int, vocabulary: int, counted: bool
+) -> pd.DataFrame:
     lot = Lot(row, order, shards)
 
     def answered(n: int) -> np.ndarray:
         width = 8 if n == 1 else 4
         return np.concatenate([expanded(f["found"], width) for f in row.found if f["level"] == n])
 
+    def followers(n: int) -> np.ndarray:
+        return np.concatenate([expanded(f["kinds"]) for f in row.found if f["level"] == n])
+
     counts = answered(1)
     own = lot.levels[0][4]
     c = counts[own].astype(np.float64)
@@ -459,17 +548,23 @@ def _scores(row, order: int, shards: int, total: int, vocabulary: int) -> pd.Dat
     p = base
     before = np.roll(c, 1)
     before[starts] = float(counts[own[lot.ends - 1]][0]) if len(lot.ends) else 0.0
+    if counted and order > 1:
+        kinds = followers(1)
+        followed = np.roll(kinds[own], 1)
+        followed[starts] = kinds[own[lot.ends - 1]][0] if len(lot.ends) else 0
     for n in range(2, order + 1):
         codes = answered(n)
         gram = lot.levels[n - 1][4]
         joint = np.where(gram >= 0, np.append(probabilities(codes) * total, 0.0)[gram], 0.0)
         use = (gram >= 0) & (before > 0)
         context = np.where(use, before, 1.0)
-        kinds = KAPPA * context**GAMMA
+        kinds = np.where(use, followed, 1.0) if counted else KAPPA * context**GAMMA
         rest = kinds / (kinds + context)
         p = np.where(use, (1 - rest) * np.minimum(joint / context, 1.0) + rest * p, p)
         before = np.roll(joint, 1)
         before[starts] = 0.0
+        if counted and n < order:
+            followed = np.roll(np.where(gram >= 0, np.append(followers(n), 0)[gram], 0), 1)
     n_docs = len(lot.ends)
     add = lambda x: np.bincount(lot.doc, weights=x, minlength=n_docs)
     return pd.DataFrame(
