@@ -25,14 +25,16 @@ def components(edges: DataFrame) -> DataFrame:
     now = stage(edges.distinct(), "edges")
     mark = _mark(now)
     while True:
+        # A round's large stars are one for an edge at most, its small stars two.
+        size = 16 * mark[0]
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _least(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
+        least = _least(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), 2 * size)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), "large-stars")
-        least = _least(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = stage(large.where("u <> v").distinct(), "large-stars", size)
+        least = _least(large.groupBy("u").agg(F.min("v").alias("m")), size)
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         star = least.select("u", F.col("m").alias("v"))
-        now = stage(small.unionByName(star).where("u <> v").distinct(), "edges")
+        now = stage(small.unionByName(star).where("u <> v").distinct(), "edges", 2 * size)
         last, mark = mark, _mark(now)
         if mark == last:
             break
@@ -42,9 +44,9 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _least(nodes: DataFrame) -> DataFrame:
+def _least(nodes: DataFrame, size: int) -> DataFrame:
     """One row a node: broadcast if they are few, else joined apart from their grouping."""
-    return small_side(stage(nodes, "least"), 16)
+    return small_side(stage(nodes, "least", size), 16)
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -36,6 +36,8 @@ HASHES = BANDS * BAND_ROWS
 #: MinHash values compared between two looks at the posterior.
 STEP = 16
 SEED = 20
+#: What a class takes, about: its key and numbers, its bands and its sketch.
+CLASS_BYTES = 64 + 8 * BANDS + 2 * HASHES
 
 
 def _multipliers() -> np.ndarray:
@@ -205,6 +207,7 @@ def near_duplicates(
         )
         .withColumn("cls", F.monotonically_increasing_id()),
         "set-classes",
+        sketches.count() * CLASS_BYTES,
     )
     found = stage(_links(rows, classes, n, threshold, tolerance, block), "links")
     links = found.groupBy("cls").agg(
@@ -243,11 +246,15 @@ def _links(
     rows: DataFrame, classes: DataFrame, n: int, threshold: float, tolerance: float, block: int
 ) -> DataFrame:
     """(cls, links, linked_docs, root): partial counts and stars of the links."""
+    count = classes.count()
     bands = classes.select("cls", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.min("cls").alias("first"), F.count("*").alias("size"))
-    shared = small_side(stage(buckets.where("size > 1").drop("size"), "buckets"), 24)
+    # Grouping all bands is the work here, of which few may be left.
+    shared = stage(buckets.where("size > 1").drop("size"), "buckets", 16 * BANDS * count)
+    shared = small_side(shared, 24)
     stars = bands.join(shared, "band").where("cls <> first")
-    parts = stage(components(stars.select(F.col("cls").alias("u"), F.col("first").alias("v"))), "parts")
+    stars = stars.select(F.col("cls").alias("u"), F.col("first").alias("v"))
+    parts = stage(components(stars), "parts", 16 * count)
     sizes = parts.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     parts = parts.join(sizes, "root").select(
         F.col("node").alias("cls"),
@@ -256,7 +263,9 @@ def _links(
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
     candidates = stage(
-        parts.join(classes.select("cls", "key", "text_id", "n_copies", "sketch"), "cls"), "candidates"
+        parts.join(classes.select("cls", "key", "text_id", "n_copies", "sketch"), "cls"),
+        "candidates",
+        count * CLASS_BYTES,
     )
     # Their n-grams, from one document of each class.
     wanted = small_side(candidates.select(F.col("text_id").alias("doc_id")), 16)
