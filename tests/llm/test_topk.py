@@ -79,3 +79,43 @@ def test_clashing_columns_and_short_vectors(spark):
     filled = {r[0]: np.array([*(64 * int(x) for x in r[1]), 0, 0][:2]) for r in rows}
     assert got == brute(filled, 3, 10)
     assert exact_top_k(table.select("vec_id", F.array().cast("array<float>").alias("embedding")), F.lit(True), k=2).count() == 92
+
+
+def test_copies_of_blocks_are_not_broadcast(spark, monkeypatch):
+    """Blocks are copied as often as there are blocks on the other side: too much for a driver."""
+    plans, stage = [], topk.stage
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(topk, "stage", kept)
+    rng = np.random.default_rng(7)
+    raw = {i: rng.normal(size=4).astype(np.float32) for i in range(120)}
+    whole = {i: np.floor(64 * v.astype(float)).astype(int) for i, v in raw.items()}
+    assert run(spark, [(i, v.tolist(), 0) for i, v in raw.items()], 5, 10, block=30) == brute(whole, 5, 10)
+    copied = [plan for plan in plans if "explode" in plan]
+    assert copied and not any("Broadcast" in plan for plan in copied)
+
+
+def test_cells_of_many_blocks_and_pairs_asked_for_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ASKED", 3)
+    rng = np.random.default_rng(8)
+    raw = {i: rng.integers(-200, 200, 6) / 64 for i in range(260)}
+    whole = {i: np.floor(64 * v).astype(int) for i, v in raw.items()}
+    got = run(spark, [(i, v.tolist(), 0) for i, v in raw.items()], 4, 13, block=7, nodes=3)
+    assert got == brute(whole, 4, 13)
+
+
+def test_no_queries(spark):
+    assert run(spark, [(i, [float(i)], 0) for i in range(1, 30)], 4, 50, block=8) == set()
+
+
+def test_packed_lists_come_back(spark):
+    lowest, highest = -(2**63), 2**63 - 1
+    for scores in ([], [5], [-3, 4, 200], [lowest, 0, highest]):
+        places = np.array([0, 3, 70000][: len(scores)], np.int64)
+        packed = topk._list_of(places, np.array(scores, np.int64))
+        row = dict(zip(("places", "scores", "least"), packed))
+        back = topk._places_and_scores(type("Row", (), row))
+        assert back[0].tolist() == places.tolist() and back[1].tolist() == scores
